@@ -5,15 +5,69 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from evigrade.llm.minhash_dedup import near_duplicates
+from evigrade.llm.mixing import mix_plan
+from evigrade.llm.packing import pack_documents
+from evigrade.llm.sharding import balanced_shards
 from evigrade.session import load
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(load(spark, sf_dir, "documents"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(load(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op9_balanced_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balanced_shards(load(spark, sf_dir, "documents"))
+
+
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_plan(load(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op9_balanced_sharding": op9_balanced_sharding,
+    "op10_source_mixing": op10_source_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+#: DuckDB SQL for the same rows.
+ORACLES: dict[str, str] = {
+    "op10_source_mixing": r"""
+WITH sized AS (
+  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS place,
+         CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+  FROM documents
+), totals AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source
+), weighted AS (
+  SELECT *, CAST([5, 2, 1][1 + (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3] AS DOUBLE) AS weight,
+         CAST(source_size * 2 AS DOUBLE) AS most
+  FROM totals
+), levels AS (
+  SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) * 150 / 100
+             - coalesce(sum(most) OVER (ORDER BY most / weight, source ASC NULLS LAST
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY most / weight, source ASC NULLS LAST
+                                ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighted
+), targets AS (
+  SELECT source, source_size,
+         CASE WHEN most / weight <= level THEN most
+              ELSE weight * max(CASE WHEN most / weight > level THEN level END) OVER () END AS target
+  FROM levels
+), placed AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, CAST(floor(t.target + 0.5) AS BIGINT) AS wanted,
+         CAST(coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place, d.size
+                                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST(least(greatest(wanted - start, 0), size)
+            + least(greatest(wanted - start - source_size, 0), size) AS BIGINT) AS taken
+FROM placed
+""",
+}
