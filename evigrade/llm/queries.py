@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from evigrade.llm.embedding_join import cosine_links
+from evigrade.llm.fingerprints import fingerprints_with_edits
+from evigrade.llm.license_scan import scan_licenses
 from evigrade.llm.minhash_dedup import near_duplicates
 from evigrade.llm.mixing import mix_plan
 from evigrade.llm.packing import pack_documents
@@ -15,6 +18,18 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(load(spark, sf_dir, "documents"))
 
 
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints_with_edits(load(spark, sf_dir, "documents"))
+
+
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cosine_links(load(spark, sf_dir, "embeddings"), 0.9)
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(load(spark, sf_dir, "documents"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(load(spark, sf_dir, "documents"), width=3, percent=85)
 
@@ -29,6 +44,9 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_document_fingerprints": op4_document_fingerprints,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
+    "op7_license_scan": op7_license_scan,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_balanced_sharding": op9_balanced_sharding,
     "op10_source_mixing": op10_source_mixing,
