@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from evigrade.llm.embedding_join import cosine_links
@@ -10,8 +12,19 @@ from evigrade.llm.license_scan import scan_licenses
 from evigrade.llm.minhash_dedup import near_duplicates
 from evigrade.llm.mixing import mix_plan
 from evigrade.llm.packing import pack_documents
+from evigrade.llm.rollups import RollupStore, count_documents, inserts, revisions
 from evigrade.llm.sharding import balanced_shards
-from evigrade.session import load
+from evigrade.llm.surrogates import replace_pii
+from evigrade.llm.toxicity import score_documents
+from evigrade.session import cut, load, shared_dir
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_pii(load(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities", "entity_kinds")
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +35,21 @@ def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints_with_edits(load(spark, sf_dir, "documents"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents come in under two tokenizer versions; the second is then revised; batches are committed twice."""
+    counts = cut(count_documents(load(spark, sf_dir, "documents")))
+    store = RollupStore(spark, f"{shared_dir(spark)}/rollups-{uuid.uuid4().hex}")
+    batches = {
+        "001-word-bpe": inserts(counts, "word_bpe_49k@1", "tokens"),
+        "002-white-space": inserts(counts, "white_space@1", "words"),
+        "003-utf8-words": inserts(counts, "word_bpe_49k@2", "words"),
+        "004-recount": revisions(counts, "word_bpe_49k@2", "words", "tokens"),
+    }
+    for name in [*batches, *batches]:
+        store.commit(name, batches[name])
+    return store.totals()
+
+
 def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cosine_links(load(spark, sf_dir, "embeddings"), 0.9)
 
@@ -43,8 +71,11 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_pii_surrogates": op2_pii_surrogates,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_document_fingerprints": op4_document_fingerprints,
+    "op5_token_counts": op5_token_counts,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_license_scan": op7_license_scan,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
