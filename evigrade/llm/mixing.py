@@ -102,12 +102,13 @@ def mix_plan(
     schedules: Sequence[Sequence[tuple[float, float]]] = SCHEDULES,
     demand_percent: int = DEMAND_PERCENT,
     most_repeats: int = MOST_REPEATS,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """What the mix takes of every document, and when.
 
-    docs: doc_id, text, source and any other columns, which are ignored.  One row
-    per row: doc_id, source, size, source_size, target, taken (words, repeats
-    counted), takes: array of (copy, words, time).  A source's stream is its
+    docs: doc_id, text, source and any other columns, which are ignored but for
+    those to keep.  One row per row: doc_id, source, size, source_size, target,
+    taken (words, repeats counted), takes: array of (copy, words, time).  A source's stream is its
     documents in the order of md5(doc_id), again and again; the mix takes its
     first round(target) words, so only one document of a source is taken in part.
     Null and empty texts have size 0 and are never due.  A null source is a source
@@ -115,7 +116,8 @@ def mix_plan(
     An empty table gives an empty result.
     """
     order = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    sized = cut(docs.select("doc_id", "source", count_words(F.col("text")).alias("size"), order.alias("place")))
+    sized = docs.select("doc_id", "source", count_words(F.col("text")).alias("size"), order.alias("place"), *keep)
+    sized = cut(sized)
     sized = sized.withColumn("bucket", F.substring("place", 1, BUCKET_DIGITS))
     sized = sized.withColumn("stream", F.coalesce(F.concat(F.lit("="), "source"), F.lit("null")))
     buckets = cut(sized.groupBy("stream", "bucket").agg(F.first("source").alias("source"), F.sum("size").alias("words")))
@@ -145,7 +147,34 @@ def mix_plan(
     placed = placed.withColumn("start", F.col("offset") + F.col("within")).withColumn("wanted", wanted)
     placed = placed.withColumn("takes", F.filter(F.array(*copies), lambda take: take["words"] > 0))
     taken = F.aggregate("takes", F.lit(0).cast("long"), lambda total, take: total + take["words"])
-    return placed.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "takes")
+    return placed.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "takes", *keep)
+
+
+def row_key() -> Column:
+    """What names a row by its doc_id and text."""
+    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.xxhash64("text"))
+
+
+def mix_documents(docs: DataFrame) -> DataFrame:
+    """docs as the mix takes them, range-sorted by the time at which each take is due.
+
+    Same columns as docs.  A document that is taken twice has two rows; one that is
+    taken in part has its first words only, with the white space between them,
+    and n_chars, if there, is that of the text.  Equal rows count one by one.
+    """
+    keyed = docs.withColumn("_key", row_key())
+    plan = mix_plan(keyed, keep=["_key"]).where("taken > 0")
+    takes = plan.groupBy("_key").agg(F.flatten(F.collect_list("takes")).alias("_takes"))
+    first = Window.partitionBy("_key").orderBy("_key")
+    met = keyed.join(takes, "_key").withColumn("_first", F.row_number().over(first)).where("_first = 1")
+    rows = met.withColumn("_take", F.explode("_takes"))
+    words = F.col("_take")["words"]
+    part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0)), 1, words.cast("int")), "")
+    shown = F.when(words >= count_words(F.col("text")), F.col("text")).otherwise(part)
+    rows = rows.withColumn("text", shown)
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.length("text").cast("long"))
+    return rows.orderBy(F.col("_take")["time"], "_key", F.col("_take")["copy"]).select(*docs.columns)
 
 
 def training_order(plan: DataFrame) -> DataFrame:

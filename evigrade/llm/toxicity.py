@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from evigrade.llm import text_kernel as tk
 from evigrade.llm.label_model import LabelModel, fit_label_model, fit_linear
+from evigrade.llm.mixing import row_key
 from evigrade.session import cut
 
 #: Labelled rows from which lexicons are mined, and rows on which the classifier is fitted, at most.
@@ -179,7 +180,7 @@ def _member(values: np.ndarray, table: np.ndarray, members: np.ndarray) -> np.nd
 
 
 def read_texts(docs: DataFrame, features: list[int], mined: set[int]) -> DataFrame:
-    """Votes, features and shape of every whole text: doc_id, votes, hits, shape."""
+    """Votes, features and shape of every whole text: doc_id, row_key, votes, hits, shape."""
     place = {f: i for i, f in enumerate(features)}
     is_mined = np.array([f in mined for f in features] or [False])
 
@@ -246,17 +247,18 @@ def read_texts(docs: DataFrame, features: list[int], mined: set[int]) -> DataFra
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(part.first, n),
+                        batch.column(2).slice(part.first, n),
                         pa.array(code.astype(np.int32)),
                         pa.ListArray.from_arrays(pa.array(bounds), pa.array(hits)),
                         pa.ListArray.from_arrays(
                             pa.array(np.arange(0, 4 * n + 1, 4, dtype=np.int32)), pa.array(shape.ravel())
                         ),
                     ],
-                    names=["doc_id", "votes", "hits", "shape"],
+                    names=["doc_id", "row_key", "votes", "hits", "shape"],
                 )
 
-    given = docs.select(F.col("doc_id").cast("long"), "text")
-    return given.mapInArrow(run, "doc_id long, votes int, hits array<int>, shape array<double>")
+    given = docs.select(F.col("doc_id").cast("long"), "text", row_key().alias("row_key"))
+    return given.mapInArrow(run, "doc_id long, row_key string, votes int, hits array<int>, shape array<double>")
 
 
 def _votes_of(codes: np.ndarray) -> np.ndarray:
@@ -337,3 +339,11 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """docs without the rows whose score is at least the threshold; same columns."""
+    model, seen = fit(docs, labels)
+    bad = cut(model.score(seen).where(F.col("score") >= threshold).select("row_key").distinct())
+    keyed = docs.withColumn("row_key", row_key())
+    return keyed.join(bad, "row_key", "left_anti").select(*docs.columns)
