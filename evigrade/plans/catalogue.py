@@ -2,5 +2,667 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from evigrade.functions import html as H
+from evigrade.functions import text as T
+from evigrade.functions import urls as U
+from evigrade.functions import vocab
+from evigrade.operators import audit, batch, capture, classify, images, quality, readiness, validate
+from evigrade.plans import synthetic as S
+from evigrade.session import load
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(oracle: str | None = None):
+    """Register a query under its function's name."""
+
+    def add(function):
+        QUERIES[function.__name__] = function
+        if oracle:
+            ORACLES[function.__name__] = oracle
+        return function
+
+    return add
+
+
+def _in(values) -> str:
+    return "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + ")"
+
+
+def _count(text: str, terms) -> str:
+    return "(" + " + ".join(f"CAST(contains({text}, '{t}') AS INT)" for t in terms) + ")"
+
+
+def _any(text: str, terms) -> str:
+    return "(" + " OR ".join(f"contains({text}, '{t}')" for t in terms) + ")"
+
+
+_NETLOC = r"regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)', 1)"
+_PATH = r"regexp_extract(regexp_replace(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?', ''), '^([^?#]*)', 1)"
+_QUERY = r"regexp_extract(url, '^[^?#]*\?([^#]*)', 1)"
+_DOMAIN = rf"regexp_replace(regexp_extract(regexp_replace(lower({_NETLOC}), '^.*@', ''), '^([^:]*)', 1), '^www\.', '')"
+
+
+# --- URLs and text ---
+@query(rf"SELECT page_id, {_DOMAIN} AS domain, regexp_replace(lower({_NETLOC}), '^www\.', '') AS site FROM pages")
+def url_domain(spark, sf):
+    return load(spark, sf, "pages").select("page_id", U.domain("url").alias("domain"), U.site("url").alias("site"))
+
+
+@query(rf"""
+WITH p AS (SELECT page_id, regexp_replace(regexp_replace(replace(regexp_replace({_PATH}, '^/+|/+$', '', 'g'), '/', '_'), '[^A-Za-z0-9._-]+', '-', 'g'), '^[-._]+|[-._]+$', '', 'g') AS base,
+  regexp_replace(regexp_replace({_NETLOC}, '[^A-Za-z0-9.-]+', '-', 'g'), '^-+|-+$', '', 'g') AS host FROM pages)
+SELECT page_id, CASE WHEN host <> '' THEN host || '__' ELSE '' END || left(coalesce(nullif(base, ''), 'root'), 80) AS slug FROM p""")
+def url_slug(spark, sf):
+    return load(spark, sf, "pages").select("page_id", U.slug("url").alias("slug"))
+
+
+@query(rf"""
+WITH p AS (SELECT page_id, list_filter(string_split_regex(regexp_replace({_PATH}, '^/+|/+$', '', 'g'), '[/_-]+'), lambda s: s <> '') AS segments,
+  list_distinct(list_filter(string_split_regex(url, '[/&?=#._-]+'), lambda t: regexp_full_match(t, '[A-Za-z0-9]{{8,14}}'))) AS ids FROM pages)
+SELECT page_id, len(segments) AS n_segments, array_to_string(list_filter(segments, lambda s: NOT regexp_full_match(s, '[A-Za-z0-9]{{8,14}}'))[1:14], ' ') AS title_hint,
+  array_to_string(list_sort(ids), ',') AS identifiers FROM p""")
+def url_evidence(spark, sf):
+    return load(spark, sf, "pages").select(
+        "page_id",
+        F.size(U.segments("url")).alias("n_segments"),
+        U.title_hint("url").alias("title_hint"),
+        F.array_join(F.array_sort(U.identifiers("url")), ",").alias("identifiers"),
+    )
+
+
+_MARKDOWN = "concat('![i](http://x/', CAST(p_partkey AS STRING), ')  [', p_name, '](http://y) and    more', chr(10), chr(10), chr(10), chr(10), p_type, '   ')"
+
+
+@query(rf"""SELECT p_partkey, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace({_MARKDOWN}, '!\[[^\]]*\]\([^)]+\)', '', 'g'),
+  '\[([^\]]*)\]\([^)]+\)', '\1', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g'), '[ \t]{{3,}}', ' ', 'g')) AS clean FROM part""")
+def clean_markdown(spark, sf):
+    return load(spark, sf, "part").select("p_partkey", T.clean_markdown(F.expr(_MARKDOWN)).alias("clean"))
+
+
+@query("""SELECT doc_id, CASE WHEN length(text) > 200 THEN left(text, 200) || chr(10) || '…[truncated, ' || (length(text) - 200) || ' more chars]'
+  ELSE text END AS shown FROM documents""")
+def truncate_text(spark, sf):
+    return load(spark, sf, "documents").select("doc_id", T.truncate_marked("text", 200).alias("shown"))
+
+
+@query(r"""SELECT c_custkey, coalesce(nullif(regexp_replace(regexp_replace(trim(c_name || ' /' || c_mktsegment || '#'), '[^A-Za-z0-9._-]+', '-', 'g'), '^[-._]+|[-._]+$', '', 'g'), ''),
+  'row_' || lpad(CAST(c_custkey AS VARCHAR), 6, '0')) AS stable_id, regexp_replace(c_name, '[^0-9]', '', 'g') AS digits,
+  'row_' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS blank_id FROM customer""")
+def digits_and_ids(spark, sf):
+    raw = F.concat("c_name", F.lit(" /"), "c_mktsegment", F.lit("#"))
+    return load(spark, sf, "customer").select(
+        "c_custkey",
+        T.stable_id(raw, "c_custkey").alias("stable_id"),
+        T.digits_only("c_name").alias("digits"),
+        T.stable_id(F.lit(" / "), "c_custkey").alias("blank_id"),
+    )
+
+
+_BUSINESS_TOKENS = f"""list_distinct(list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda t: length(t) >= 3
+  AND NOT (t IN {_in(vocab.BUSINESS_STOPWORDS)}) AND NOT (regexp_full_match(t, '[0-9]+') AND length(t) < 4)))"""
+
+
+@query(f"""SELECT doc_id, len({_BUSINESS_TOKENS}) AS n_tokens, array_to_string(list_sort({_BUSINESS_TOKENS}), ' ') AS tokens FROM documents""")
+def tokens_ordered(spark, sf):
+    tokens = T.business_tokens("text")
+    return load(spark, sf, "documents").select(
+        "doc_id", F.size(tokens).alias("n_tokens"), F.array_join(F.array_sort(tokens), " ").alias("tokens")
+    )
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 5 = 0 THEN true WHEN event_id % 5 = 1 THEN false END AS flag,
+  CASE WHEN event_id % 3 = 0 THEN CAST(trunc(value) AS INT) WHEN event_id % 3 = 1 THEN -7 ELSE -7 END AS whole FROM events""")
+def tristate_and_int_parse(spark, sf):
+    word = F.element_at(F.array(*map(F.lit, (" YES ", "off", "maybe", "", "2"))), (F.col("event_id") % 5 + 1).cast("int"))
+    number = F.when(F.col("event_id") % 3 == 0, F.col("value").cast("string")).when(F.col("event_id") % 3 == 1, "NaN").otherwise("x1")
+    return load(spark, sf, "events").select(
+        "event_id", T.tri_state(word).alias("flag"), T.int_or(number, -7).alias("whole")
+    )
+
+
+# --- pages ---
+_KEYS = "|".join(vocab.SEARCH_KEYS)
+_PAGE = rf"""
+SELECT page_id, {_DOMAIN} AS domain,
+  regexp_matches({_PATH}, '(?i){vocab.CATEGORY_PATH}') OR regexp_matches('&' || {_QUERY}, '(?i)&({_KEYS})=[^&]') AS listing,
+  regexp_matches({_PATH}, '(?i){vocab.NON_PRODUCT_PATH}') AS other,
+  lower(url || chr(10) || html) AS blob FROM pages"""
+_PAGE_CLASS = f"""
+WITH p AS ({_PAGE}), q AS (SELECT *, {_count('blob', vocab.PAGE_PRODUCT_SIGNALS)} AS signals, {_any('left(blob, 39990)', vocab.PAGE_BLOCK_SIGNALS)} AS blocked FROM p)
+SELECT page_id, domain, CASE WHEN blocked THEN 'block_or_challenge_page' WHEN listing OR other THEN 'category_or_search_or_non_product_page'
+  WHEN signals > 0 THEN 'ambiguous_product_page' ELSE 'unknown_or_thin_page' END AS page_class,
+  CASE WHEN blocked THEN 90 WHEN listing OR other THEN CASE WHEN signals < 5 THEN 80 ELSE 60 END
+  WHEN signals > 0 THEN 45 + least(4 * signals, 25) ELSE 25 END AS confidence FROM q"""
+
+
+def _page_classes(spark, sf):
+    pages = load(spark, sf, "pages").select("page_id", F.col("url").alias("product_url"), "html")
+    found = classify.classify_pages(pages, F.col("html"))
+    return found.select(
+        "page_id",
+        U.domain("product_url").alias("domain"),
+        F.col("page_classification_status").alias("page_class"),
+        F.col("page_classification_confidence").alias("confidence"),
+    )
+
+
+@query(_PAGE_CLASS)
+def page_class(spark, sf):
+    return _page_classes(spark, sf)
+
+
+@query(f"SELECT domain, page_class, count(*) AS n, min(confidence) AS low, max(confidence) AS high FROM ({_PAGE_CLASS}) GROUP BY ALL")
+def page_class_by_domain(spark, sf):
+    counts = _page_classes(spark, sf).groupBy("domain", "page_class")
+    return counts.agg(F.count("*").alias("n"), F.min("confidence").alias("low"), F.max("confidence").alias("high"))
+
+
+# --- batches ---
+_REQUEST_ROWS = """SELECT CAST(s_suppkey AS INT) AS row_number, CASE WHEN s_suppkey % 3 = 0 THEN concat(' SKU/', s_name) ELSE '' END AS serial_id,
+  CASE WHEN s_suppkey % 7 = 0 THEN '  ' ELSE concat('https://x.example.com/', s_name) END AS url, s_name AS title, concat('EAN ', CAST(10000000 + s_suppkey AS STRING)) AS gtin,
+  'Shop ' AS retailer, ' de' AS country, CASE WHEN s_suppkey % 2 = 0 THEN 'Global-Fallback' ELSE '' END AS url_role FROM {supplier}"""
+
+
+@query(f"""WITH r AS ({S.for_oracle(_REQUEST_ROWS)})
+SELECT row_number, trim(url) AS product_url, CASE WHEN serial_id <> '' THEN replace(replace(trim(serial_id), '/', '-'), '#', '-') ELSE 'row_' || lpad(CAST(row_number AS VARCHAR), 6, '0') END AS scrape_id,
+  title AS main_text, regexp_replace(gtin, '[^0-9]', '', 'g') AS ean, 'Shop' AS requested_retailer_name, 'DE' AS requested_country_code,
+  CASE WHEN url_role <> '' THEN 'global_fallback' ELSE 'unknown' END AS source_url_role,
+  title || ' | ' || regexp_replace(gtin, '[^0-9]', '', 'g') || ' | Shop | DE' AS hint FROM r WHERE trim(url) <> ''""")
+def request_normalise(spark, sf):
+    good, _ = batch.requests_from_rows(S.make(spark, sf, _REQUEST_ROWS))
+    return good.select(
+        "row_number", "product_url", "scrape_id", "main_text", "ean", "requested_retailer_name", "requested_country_code",
+        "source_url_role", batch.compact_hint().alias("hint"),
+    )
+
+
+_IDS = """SELECT CAST(l_orderkey AS INT) AS row_number, CASE WHEN l_partkey % 20 = 0 THEN '' ELSE concat('sku-', CAST(l_partkey AS STRING)) END AS raw,
+  l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice FROM {lineitem}"""
+_ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice"
+_RESOLVED = f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+  CASE WHEN raw = '' THEN 'row_' || lpad(CAST(row_number AS VARCHAR), 6, '0') WHEN k > 1 THEN raw || '__DUP' || (CASE WHEN k < 10 THEN '0' ELSE '' END) || k ELSE raw END AS input_id,
+  CAST(CASE WHEN raw = '' THEN 1 ELSE n END AS INT) AS input_id_duplicate_count, CAST(CASE WHEN raw = '' THEN 1 ELSE k END AS INT) AS input_id_duplicate_index
+FROM (SELECT *, count(*) OVER (PARTITION BY raw) AS n, row_number() OVER (PARTITION BY raw ORDER BY {_ORDER}) AS k FROM ({S.for_oracle(_IDS)}))"""
+
+
+@query(_RESOLVED)
+def dedup_input_ids(spark, sf):
+    resolved = batch.unique_ids(S.make(spark, sf, _IDS), F.col("raw"), _ORDER.split(", "))
+    return resolved.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "input_id", "input_id_duplicate_count", "input_id_duplicate_index",
+    )
+
+
+@query(f"""SELECT count(*) AS total_rows, count(*) FILTER (input_id_duplicate_count > 1 AND input_id_duplicate_index = 1) AS duplicate_groups,
+  count(*) FILTER (input_id_duplicate_count > 1) AS duplicate_rows, count(*) FILTER (input_id_duplicate_count > 1) > 0 AS changed FROM ({_RESOLVED})""")
+def dedup_report(spark, sf):
+    return batch.duplicate_report(batch.unique_ids(S.make(spark, sf, _IDS), F.col("raw"), _ORDER.split(", ")))
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM orders d WHERE d.o_orderstatus = 'F' AND d.o_custkey = orders.o_custkey)")
+def resume_antijoin(spark, sf):
+    orders = load(spark, sf, "orders").withColumn("input_id", F.col("o_custkey").cast("string"))
+    results = orders.select("input_id", F.when(F.col("o_orderstatus") == "F", " Yes").otherwise("no").alias("success"))
+    return batch.still_to_do(orders, results).select("o_orderkey", "o_custkey")
+
+
+_FLAGS = f"""SELECT row_number, capture_grade IN ('weak', 'blocked_or_shell', 'mixed_capture') AS is_weak_capture,
+  access_status IN {_in(vocab.REFUSED_ACCESS)} OR contains(capture_decision, 'block') OR contains(weak_capture_reasons, 'block') AS is_block_or_challenge,
+  CASE capture_decision WHEN 'rich_product_capture' THEN 'rich' WHEN 'usable_product_capture' THEN 'usable' WHEN 'mixed_capture_needs_review' THEN 'mixed_review'
+    WHEN 'weak_no_real_product_capture' THEN 'weak' ELSE 'blocked' END AS capture_decision_bucket FROM ({S.for_oracle(S.RESULTS)})"""
+
+
+@query(_FLAGS)
+def capture_flags(spark, sf):
+    flags = capture.capture_flags()
+    return S.make(spark, sf, S.RESULTS).select("row_number", *[c.alias(n) for n, c in flags.items()])
+
+
+@query(f"""SELECT count(*) AS total, count(*) FILTER (success = 'true') AS succeeded, count(*) FILTER (success <> 'true') AS failed,
+  count(*) FILTER (requires_manual_review = 'true') AS needs_review FROM ({S.for_oracle(S.RESULTS)})""")
+def batch_summary(spark, sf):
+    return batch.batch_summary(S.make(spark, sf, S.RESULTS))
+
+
+_PRIORITY = "CASE b " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in vocab.TRIAGE_PRIORITY.items()) + f" ELSE {vocab.DEFAULT_PRIORITY} END"
+_BUCKETS = _in([*vocab.TRIAGE_PRIORITY, "OTHER"])[1:-1]
+
+
+@query(f"""SELECT o_orderkey, b AS manual_review_bucket, triage_priority, row_number() OVER (ORDER BY triage_priority DESC, o_orderkey) AS place
+  FROM (SELECT o_orderkey, b, {_PRIORITY} AS triage_priority FROM (SELECT o_orderkey, [{_BUCKETS}][o_orderkey % 12 + 1] AS b FROM orders))""")
+def triage_order(spark, sf):
+    """Ranks come from a count of each priority and a rank inside it, so no task sorts all rows."""
+    names = F.array(*[F.lit(b) for b in [*vocab.TRIAGE_PRIORITY, "OTHER"]])
+    rows = load(spark, sf, "orders").select(
+        "o_orderkey", F.element_at(names, (F.col("o_orderkey") % 12 + 1).cast("int")).alias("manual_review_bucket")
+    )
+    rows = rows.withColumn("triage_priority", validate.triage_priority("manual_review_bucket"))
+    w = Window
+    above = rows.groupBy("triage_priority").agg(F.count("*").alias("n"))
+    over = w.partitionBy(F.lit(0)).orderBy(F.desc("triage_priority")).rowsBetween(w.unboundedPreceding, -1)
+    above = above.select("triage_priority", F.coalesce(F.sum("n").over(over), F.lit(0)).alias("above"))
+    inside = F.row_number().over(w.partitionBy("triage_priority").orderBy("o_orderkey"))
+    ranked = rows.withColumn("inside", inside).join(above, "triage_priority")
+    return ranked.select("o_orderkey", "manual_review_bucket", "triage_priority", (F.col("above") + F.col("inside")).alias("place"))
+
+
+# --- HTML ---
+@query("""SELECT p_partkey, trim(p_name) AS title, 'https://shop.example.com/c/' || p_partkey AS canonical_url, p_type AS description,
+  p_name AS og_title, p_brand AS brand FROM part""")
+def head_meta(spark, sf):
+    meta = H.head_meta("html")
+    return S.make(spark, sf, S.PAGES).select(
+        "p_partkey",
+        meta["title"].alias("title"),
+        meta["canonical_url"].alias("canonical_url"),
+        meta["description"].alias("description"),
+        meta["og"]["og:title"].alias("og_title"),
+        meta["product_meta"]["product:brand"].alias("brand"),
+    )
+
+
+@query("""SELECT p_partkey, p_name AS name, p_brand AS brand, 'S' || p_partkey AS sku, CAST(4000000000000 + p_partkey AS VARCHAR) AS gtin,
+  CAST(p_size AS VARCHAR) AS price, 'EUR' AS currency, 'https://schema.org/InStock' AS availability FROM part""")
+def jsonld_products(spark, sf):
+    found = H.json_ld_products(S.make(spark, sf, S.PAGES), "p_partkey")
+    return found.select("p_partkey", "name", "brand", "sku", "gtin", "price", "currency", "availability")
+
+
+@query("""SELECT p_partkey, 1 AS "index", 'Facts ' || p_size AS caption, 2 AS n_rows, 2 AS n_columns,
+  '| Size | Brand |' || chr(10) || '| --- | --- |' || chr(10) || '| ' || p_size || ' | ' || trim(p_brand) || ' |' AS markdown FROM part""")
+def table_extract(spark, sf):
+    found = H.extract_pages(S.make(spark, sf, S.PAGES), "p_partkey")
+    return found.select("p_partkey", F.explode("tables").alias("t")).select("p_partkey", "t.*")
+
+
+@query("""SELECT p_partkey, 'https://shop.example.com/img/' || p_partkey || '.jpg' AS url, p_name AS alt FROM part
+  UNION ALL SELECT p_partkey, 'https://shop.example.com/a/' || p_size || '.png', p_name FROM part
+  UNION ALL SELECT p_partkey, 'https://shop.example.com/b/' || p_size || '.png', p_name FROM part""")
+def image_candidates(spark, sf):
+    found = H.extract_pages(S.make(spark, sf, S.PAGES), "p_partkey")
+    return found.select("p_partkey", F.explode("images").alias("i")).select("p_partkey", "i.*")
+
+
+@query("SELECT p_partkey, CAST(3 AS INT) AS n_images, CAST(1 AS INT) AS n_tables, length('https://shop.example.com/p/' || p_partkey) AS url_chars FROM part")
+def payload_counts(spark, sf):
+    pages = S.make(spark, sf, S.PAGES)
+    found = H.extract_pages(pages, "p_partkey").join(pages.select("p_partkey", F.length("url").alias("url_chars")), "p_partkey")
+    return found.select("p_partkey", F.size("images").alias("n_images"), F.size("tables").alias("n_tables"), "url_chars")
+
+
+# --- captures ---
+_ACCESS = """SELECT event_id, CAST(CASE event_id % 9 WHEN 0 THEN 451 WHEN 1 THEN 403 WHEN 2 THEN 429 WHEN 3 THEN 503 ELSE 200 END AS INT) AS status,
+  CASE event_id % 7 WHEN 0 THEN 'please solve the captcha now' WHEN 1 THEN 'not available in your country' WHEN 2 THEN 'access denied' WHEN 3 THEN 'rate limit hit' WHEN 4 THEN '' ELSE event_type END AS markdown,
+  CASE WHEN event_id % 5 = 0 THEN 'net down' ELSE '' END AS error FROM {events}"""
+_BY_TEXT = """CASE WHEN markdown = 'not available in your country' THEN 'geo_restricted' WHEN markdown = 'access denied' THEN 'access_denied'
+  WHEN contains(markdown, 'captcha') THEN 'bot_challenge' WHEN contains(markdown, 'rate limit') THEN 'rate_limited' END"""
+
+
+@query(f"""WITH a AS (SELECT *, {_BY_TEXT} AS by_text FROM ({S.for_oracle(_ACCESS)})), b AS (SELECT event_id,
+  CASE WHEN status = 451 THEN 'geo_restricted' WHEN status = 403 THEN coalesce(by_text, 'access_denied') WHEN status = 429 THEN 'rate_limited' WHEN status = 503 THEN 'server_error'
+  ELSE coalesce(by_text, CASE WHEN error <> '' AND markdown = '' THEN 'fetch_error' ELSE 'none' END) END AS issue FROM a)
+SELECT event_id, issue, issue = 'geo_restricted' AS geo FROM b""")
+def access_class(spark, sf):
+    issue = capture.access_issue("status", F.lit(""), "markdown", "error")
+    return S.make(spark, sf, _ACCESS).select("event_id", issue["type"].alias("issue"), issue["geo"].alias("geo"))
+
+
+_SCORE = f"""
+WITH c AS (SELECT *, lower(concat_ws(chr(10), trim(title), description, raw_markdown, left(raw_html, 25000))) AS t, length(raw_markdown) AS md, length(raw_html) AS hl,
+    lower(trim(title)) IN {_in(vocab.GENERIC_TITLES)} AS generic, n_json_ld + n_tables + n_og + n_meta AS structured FROM ({S.for_oracle(S.CAPTURES)})),
+d AS (SELECT *, {_count('t', vocab.CAPTURE_PRODUCT_TERMS)} AS products, {_count('t', vocab.CAPTURE_BLOCK_TERMS)} AS blocks FROM c),
+e AS (SELECT *, blocks > 0 AND (access_status <> 'accessible' OR (md < 2500 AND hl < 8000)) AS severe, md + hl = 0 AND structured = 0 AS nothing FROM d),
+f AS (SELECT *, blocks > 0 AND NOT severe AS mild,
+  (CASE WHEN access_status <> 'accessible' THEN -25 WHEN success THEN 12 ELSE 5 END) + (CASE WHEN md >= 12000 THEN 30 WHEN md >= 6000 THEN 22 WHEN md >= 2500 THEN 13 WHEN md >= 900 THEN 6 ELSE 0 END)
+  + (CASE WHEN hl >= 80000 THEN 12 WHEN hl >= 25000 THEN 8 WHEN hl < 5000 AND md < 2500 THEN -10 ELSE 0 END) + (CASE WHEN generic THEN -7 ELSE 8 END)
+  + (CASE WHEN n_json_ld > 0 THEN least(28, 18 + 5 * n_json_ld) ELSE 0 END) + (CASE WHEN n_tables > 0 THEN least(18, 8 + 4 * n_tables) ELSE 0 END)
+  + (CASE WHEN n_og + n_meta > 0 THEN least(12, 4 + n_og + n_meta) ELSE 0 END) + (CASE WHEN n_images >= 12 THEN 12 WHEN n_images >= 4 THEN 7 ELSE 0 END)
+  + (CASE WHEN products >= 8 THEN 15 WHEN products >= 3 THEN 8 ELSE 0 END)
+  - (CASE WHEN severe THEN least(70, 35 + 10 * blocks) WHEN blocks > 0 THEN least(18, 6 + 4 * blocks) ELSE 0 END)
+  - (CASE WHEN md < 1200 AND hl < 8000 AND structured = 0 THEN 18 ELSE 0 END) - (CASE WHEN generic AND md < 2500 THEN 12 ELSE 0 END) AS points,
+  NOT severe AND (n_json_ld > 0 OR n_tables > 0 OR n_meta > 0 OR (md >= 2500 AND products >= 3) OR (md >= 6000 AND NOT generic) OR (hl >= 80000 AND n_images >= 4 AND products >= 2)) AND NOT nothing AS real0 FROM e),
+g AS (SELECT *, CAST(CASE WHEN nothing THEN 0 ELSE greatest(0, least(100, points)) END AS INT) AS capture_score FROM f),
+h AS (SELECT *, CASE WHEN nothing THEN 'input_url_only_artifact' WHEN NOT real0 THEN CASE WHEN access_status <> 'accessible' OR severe THEN 'blocked_shell_capture' ELSE 'weak_no_real_product_capture' END
+  WHEN mild THEN 'mixed_capture_needs_review' WHEN capture_score >= 78 THEN 'rich_product_capture' WHEN capture_score >= 58 THEN 'usable_product_capture' WHEN capture_score >= 35 THEN 'weak_product_capture'
+  ELSE 'blocked_shell_capture' END AS capture_decision, CASE WHEN nothing THEN 'blocked_or_shell' WHEN NOT real0 THEN CASE WHEN capture_score < 35 THEN 'blocked_or_shell' ELSE 'weak' END
+  WHEN mild THEN 'mixed_capture' WHEN capture_score >= 78 THEN 'strong' WHEN capture_score >= 58 THEN 'usable' WHEN capture_score >= 35 THEN 'weak' ELSE 'blocked_or_shell' END AS capture_grade FROM g),
+scored AS (SELECT *, real0 AND capture_decision <> 'blocked_shell_capture' AS real_scrape_evidence FROM h)"""
+_SCORED = ("scrape_id", "ordinal", "capture_score", "capture_grade", "capture_decision", "real_scrape_evidence")
+
+
+def _scored(spark, sf):
+    return capture.score_captures(S.make(spark, sf, S.CAPTURES))
+
+
+@query(f"{_SCORE} SELECT {', '.join(_SCORED)} FROM scored")
+def capture_score(spark, sf):
+    return _scored(spark, sf).select(*_SCORED)
+
+
+@query(f"""{_SCORE}, s AS (SELECT *, min(CASE WHEN capture_score >= 82 AND real_scrape_evidence THEN ordinal END) OVER (PARTITION BY scrape_id) AS stop FROM scored),
+r AS (SELECT *, row_number() OVER (PARTITION BY scrape_id ORDER BY capture_score DESC, md DESC, n_images DESC, ordinal) AS k FROM s WHERE stop IS NULL OR ordinal <= stop)
+SELECT scrape_id, ordinal, fetch_profile, capture_score FROM r WHERE k = 1""")
+def best_capture(spark, sf):
+    best = capture.best_capture(capture.tried_captures(_scored(spark, sf)))
+    return best.select("scrape_id", "ordinal", "fetch_profile", "capture_score")
+
+
+@query(f"""{_SCORE}, r AS (SELECT *, row_number() OVER (PARTITION BY scrape_id ORDER BY capture_score DESC, md DESC, n_images DESC, ordinal) AS k FROM scored),
+m AS (SELECT * FROM r WHERE k = 1 OR capture_score >= 25)
+SELECT scrape_id, count(*) AS n_profiles, array_to_string(list_sort(list_distinct(list('img' || n_images))), ',') AS images,
+  array_to_string(list_sort(list(fetch_profile)), ',') AS profiles FROM m GROUP BY scrape_id""")
+def merged_capture(spark, sf):
+    none, empty = F.array().cast("array<string>"), F.from_json(F.lit("{}"), "map<string,string>")
+    rows = _scored(spark, sf).withColumns(
+        {
+            "image_urls": F.array(F.concat(F.lit("img"), "n_images")),
+            "json_ld": none,
+            "tables_html": none,
+            "og": F.create_map(F.lit("p"), F.col("fetch_profile")),
+            "product_meta": empty,
+            "canonical_url": F.lit(""),
+        }
+    )
+    merged = capture.merge_captures(rows)
+    return merged.select(
+        "scrape_id",
+        F.size("profiles").cast("long").alias("n_profiles"),
+        F.array_join(F.array_sort("image_urls"), ",").alias("images"),
+        F.array_join(F.array_sort("profiles"), ",").alias("profiles"),
+    )
+
+
+@query(f"""{_SCORE} SELECT scrape_id, ordinal, CASE WHEN access_status <> 'accessible' OR capture_decision <> 'rich_product_capture' THEN 'retry_relaxed'
+  WHEN md < 5000 AND hl > 3 * md THEN 'expand_common_sections' WHEN md < 8000 AND n_tables = 0 AND n_json_ld = 0 THEN 'full_page_scroll'
+  WHEN n_images < 3 THEN 'extract_gallery_sources' END AS action FROM scored""")
+def followup_action(spark, sf):
+    return _scored(spark, sf).select("scrape_id", "ordinal", capture.followup_action().alias("action"))
+
+
+@query("""WITH e AS (SELECT event_id, user_id AS domain, CASE WHEN value > 50 THEN event_type END AS learned FROM events)
+SELECT event_id, domain, last_value(learned IGNORE NULLS) OVER (PARTITION BY domain ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS preferred_profile FROM e""")
+def profile_learning(spark, sf):
+    rows = load(spark, sf, "events").select(
+        "event_id",
+        F.col("user_id").alias("domain"),
+        F.col("event_id").alias("row_number"),
+        F.col("event_type").alias("profile"),
+        F.lit(True).alias("real"),
+        F.when(F.col("value") > 50, 90).otherwise(10).alias("score"),
+        F.lit("rich_product_capture").alias("decision"),
+    )
+    return capture.learned_profile(rows).select("event_id", "domain", "preferred_profile")
+
+
+# --- sources and identity ---
+@query(f"""WITH a AS (SELECT *, coalesce(nullif(replace(replace(lower(source_url_role), '-', '_'), ' ', '_'), ''), 'unknown') AS role,
+  CASE WHEN requested_retailer_name <> '' THEN replace(lower(requested_retailer_name), '-', '') = replace(source_retailer_name, ' ', '') END AS rm,
+  CASE WHEN source_country_code <> '' THEN requested_country_code = upper(source_country_code) END AS cm FROM ({S.for_oracle(S.SOURCES)}))
+SELECT s_suppkey, c_custkey, rm AS retailer_match, cm AS country_match, CASE WHEN role IN {_in(vocab.PRIMARY_ROLES)} THEN 'primary_requested_source' WHEN role IN {_in(vocab.FALLBACK_ROLES)} THEN 'fallback_source_used'
+  WHEN rm IS TRUE AND cm IS TRUE THEN 'primary_requested_source' WHEN rm IS FALSE OR cm IS FALSE THEN 'source_context_mismatch' ELSE 'not_declared' END AS alignment_status FROM a""")
+def source_alignment(spark, sf):
+    return classify.align_sources(S.make(spark, sf, S.SOURCES)).select(
+        "s_suppkey", "c_custkey", "retailer_match", "country_match", "alignment_status"
+    )
+
+
+_RUNS = "list_sort(list_distinct(list_filter(string_split_regex(text, '[^0-9]+'), lambda r: length(r) IN (8, 12, 13, 14))))"
+
+
+@query(f"""WITH d AS (SELECT doc_id, {_RUNS} AS runs, regexp_replace(text, '[^0-9]', '', 'g') AS digits, CASE WHEN doc_id % 10 = 0 THEN '' WHEN doc_id % 3 = 0 THEN '555' ELSE '99990000' END AS ean FROM documents)
+SELECT doc_id, CASE WHEN ean = '' THEN 'not_provided' WHEN contains(digits, ean) THEN 'matched' WHEN len(list_filter(runs, lambda r: r <> ean)) > 0 THEN 'possible_identifier_conflict' ELSE 'not_found_in_source' END AS status,
+  CASE WHEN ean = '' THEN '' WHEN contains(digits, ean) THEN ean ELSE array_to_string(list_filter(runs, lambda r: r <> ean)[1:8], ',') END AS candidates FROM d""")
+def ean_status(spark, sf):
+    ean = F.when(F.col("doc_id") % 10 == 0, "").when(F.col("doc_id") % 3 == 0, "555").otherwise("99990000")
+    found = validate.ean_status(ean, F.col("text"))
+    return load(spark, sf, "documents").select(
+        "doc_id", found["status"].alias("status"), F.array_join(found["candidates"], ",").alias("candidates")
+    )
+
+
+_HITS = "list_filter(words, lambda w: contains(lower(doc), w))"
+
+
+@query(f"""WITH j AS (SELECT d.doc_id, d.text AS doc, b.text AS text FROM documents d JOIN benchmark b ON d.doc_id % 40 = b.item_id % 40),
+w AS (SELECT doc_id, doc, list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda t: length(t) >= 3 AND NOT (t IN {_in(vocab.BUSINESS_STOPWORDS)}) AND NOT (regexp_full_match(t, '[0-9]+') AND length(t) < 4)) AS all_words FROM j),
+u AS (SELECT doc_id, doc, list_filter(all_words, lambda x, i: list_position(all_words, x) = i)[1:32] AS words FROM w),
+h AS (SELECT doc_id, len(words) AS n, len({_HITS}) AS k FROM u)
+SELECT doc_id, CASE WHEN n = 0 THEN 'no_input_identity' WHEN k >= 4 AND k / n >= 0.65 THEN 'matched_by_title_tokens' WHEN k >= 3 AND k / n >= 0.45 THEN 'weak_match_by_title_tokens' WHEN k > 0 THEN 'partial_token_overlap'
+  ELSE 'input_not_found_in_capture' END AS status, CASE WHEN n = 0 THEN 0.0 ELSE round_even(CAST(k AS DOUBLE) / n, 3) END AS score FROM h""")
+def identity_match(spark, sf):
+    docs = load(spark, sf, "documents").select("doc_id", F.lower("text").alias("doc"), (F.col("doc_id") % 40).alias("k"))
+    items = load(spark, sf, "benchmark").select("text", (F.col("item_id") % 40).alias("k"))
+    found = validate.identity_status("text", F.lit("not_provided"), F.col("doc"))
+    return docs.join(items, "k").select("doc_id", found["status"].alias("status"), found["score"].alias("score"))
+
+
+@query("""WITH t AS (SELECT p_partkey, p_name AS main_text, CASE p_partkey % 4 WHEN 0 THEN '' WHEN 1 THEN p_name WHEN 2 THEN p_type ELSE p_name || ' ' || p_type END AS product_title,
+  CASE WHEN p_partkey % 3 = 0 THEN '12-34' ELSE '' END AS ean, CASE WHEN p_partkey % 6 = 0 THEN '1234' WHEN p_partkey % 6 = 3 THEN '99' ELSE '' END AS found,
+  CASE p_partkey % 3 WHEN 0 THEN 'strong' WHEN 1 THEN 'usable' ELSE 'partial' END AS quality, p_partkey % 7 = 0 AS review FROM part),
+w AS (SELECT *, list_distinct(list_filter(string_split_regex(lower(main_text), '[^a-z0-9]+'), lambda x: length(x) >= 3 AND NOT (x IN ('the', 'and', 'for', 'with', 'product', 'item', 'toy', 'toys')))) AS a,
+  list_distinct(list_filter(string_split_regex(lower(product_title), '[^a-z0-9]+'), lambda x: length(x) >= 3 AND NOT (x IN ('the', 'and', 'for', 'with', 'product', 'item', 'toy', 'toys')))) AS b FROM t),
+s AS (SELECT *, CASE WHEN len(a) = 0 OR len(b) = 0 THEN 0.0 ELSE round_even(CAST(len(list_intersect(a, b)) AS DOUBLE) / len(a), 3) END AS score FROM w),
+i AS (SELECT *, CASE WHEN ean <> '' AND found = '1234' THEN 'strong' WHEN ean <> '' AND found <> '' THEN CASE WHEN score < 0.35 THEN 'wrong_item' ELSE 'weak' END
+  WHEN score >= 0.65 THEN 'strong' WHEN score >= 0.40 THEN 'medium' WHEN product_title <> '' THEN 'weak' ELSE 'unknown' END AS identity_status FROM s)
+SELECT p_partkey, score AS main_text_match_score, identity_status, identity_status IN ('strong', 'medium') AND quality IN ('strong', 'usable') AND NOT review AS ready_for_coding,
+  CASE WHEN identity_status = 'wrong_item' THEN 'do_not_code_rescrape' WHEN identity_status IN ('strong', 'medium') AND quality IN ('strong', 'usable') AND NOT review THEN 'safe_for_automated_product_coding'
+  WHEN quality IN ('partial', 'usable') THEN 'code_supported_features_only_and_review_gaps' ELSE 'manual_review_or_rescrape_recommended' END AS recommended_downstream_action FROM i""")
+def identity_and_coding(spark, sf):
+    k = F.col("p_partkey")
+    title = F.when(k % 4 == 0, "").when(k % 4 == 1, F.col("p_name")).when(k % 4 == 2, F.col("p_type"))
+    rows = load(spark, sf, "part").select(
+        "p_partkey",
+        F.col("p_name").alias("main_text"),
+        title.otherwise(F.concat_ws(" ", "p_name", "p_type")).alias("product_title"),
+        F.when(k % 3 == 0, "12-34").otherwise("").alias("ean"),
+        F.when(k % 6 == 0, "1234").when(k % 6 == 3, "99").otherwise("").alias("ean_detected"),
+        F.when(k % 3 == 0, "strong").when(k % 3 == 1, "usable").otherwise("partial").alias("artifact_quality"),
+        F.lit("").alias("visual_evidence_status"),
+        (k % 7 == 0).alias("requires_manual_review"),
+    )
+    done = readiness.coding_readiness(readiness.verify_identity(rows))
+    return done.select("p_partkey", "main_text_match_score", "identity_status", "ready_for_coding", "recommended_downstream_action")
+
+
+# --- images ---
+_SKIP = vocab.SKIPPED_IMAGE
+
+
+@query(f"""WITH u AS (SELECT * FROM ({S.for_oracle(S.IMAGES)}) WHERE NOT starts_with(url, 'data:') AND NOT regexp_matches(url, '{_SKIP}')),
+f AS (SELECT scrape_id, url, min(ordinal) AS ordinal, arg_min(alt, ordinal) AS alt FROM u GROUP BY ALL),
+q AS (SELECT *, row_number() OVER (PARTITION BY scrape_id ORDER BY ordinal, url) AS position FROM f)
+SELECT scrape_id, CAST(position AS INT) AS position, url, alt, ordinal FROM q WHERE position <= 30""")
+def image_queue(spark, sf):
+    return images.image_queue(S.make(spark, sf, S.IMAGES))
+
+
+@query("""SELECT source AS scrape_id, left(sha1(text), 8) AS sha8, min(doc_id) AS ordinal, count(*) AS copies, lang_of AS alt FROM
+  (SELECT *, 'en' AS lang_of FROM documents) GROUP BY source, left(sha1(text), 8), lang_of""")
+def sha_dedup(spark, sf):
+    docs = load(spark, sf, "documents").select(
+        F.col("source").alias("scrape_id"), F.col("doc_id").alias("ordinal"), images.content_hash("text").alias("sha8"), F.lit("en").alias("alt")
+    )
+    return images.exact_duplicates(docs)
+
+
+@query()
+def phash_dedup(spark, sf):
+    bits = F.transform("embedding", lambda v, i: F.when(v > 0, F.expr("1L")).otherwise(F.expr("0L")))
+    phash = F.aggregate(F.slice(bits, 1, 63), F.expr("0L"), lambda a, b: a * 2 + b)
+    rows = load(spark, sf, "embeddings").select(
+        (F.col("vec_id") % 50).alias("scrape_id"), F.col("vec_id").alias("ordinal"), phash.alias("phash"),
+        F.col("label").cast("long").alias("area"), F.col("vec_id").alias("bytes"),
+    )
+    return images.near_duplicates(rows, near=24)
+
+
+@query(f"""SELECT *, CASE WHEN clean_product_image_count >= 1 THEN 'final_product_images_available' WHEN screenshot_fallback_used THEN 'screenshot_fallback_only'
+  WHEN image_downloaded_count >= 1 THEN 'unverified_images_retained' ELSE 'image_recovery_failed' END AS visual_evidence_status FROM (
+SELECT scrape_id, count(*) AS image_candidate_count, count(*) FILTER (retained) AS image_downloaded_count,
+  count(*) FILTER (retained AND relevance = 'yes' AND download_source <> 'screenshot_fallback') AS clean_product_image_count,
+  count(*) FILTER (retained AND description <> '') AS vision_described_count, count(*) FILTER (error <> '') AS image_download_errors,
+  bool_or(retained AND download_source = 'screenshot_fallback') AS screenshot_fallback_used FROM ({S.for_oracle(S.IMAGES)}) GROUP BY scrape_id)""")
+def visual_decision(spark, sf):
+    return images.visual_decision(S.make(spark, sf, S.IMAGES))
+
+
+@query(f"""WITH i AS (SELECT *, sum(CASE WHEN retained AND relevance IN ('yes', 'no') THEN 1 ELSE 0 END) OVER (PARTITION BY scrape_id) < floor(sum(CASE WHEN retained THEN 1 ELSE 0 END) OVER (PARTITION BY scrape_id) / 2) AS degraded
+  FROM ({S.for_oracle(S.IMAGES)})), k AS (SELECT *, retained AND (relevance = 'yes' OR (relevance = '' AND degraded)) AS kept FROM i)
+SELECT scrape_id, ordinal, degraded, kept, CASE WHEN kept AND (relevance = 'yes' OR description = 'RELATED: yes') THEN 'yes' WHEN kept THEN 'unverified_kept' ELSE relevance END AS relevance_final FROM k""")
+def relevance_pruning(spark, sf):
+    found = images.prune_by_relevance(S.make(spark, sf, S.IMAGES))
+    return found.select("scrape_id", "ordinal", "degraded", "kept", "relevance_final")
+
+
+@query(f"""WITH e AS (SELECT scrape_id, ordinal, CASE error WHEN 'HTTP 403' THEN 'image_fetch_forbidden' WHEN 'timeout' THEN 'timeout' WHEN 'mime=text' THEN 'non_image_payload' WHEN 'odd' THEN 'other_image_error' END AS b FROM ({S.for_oracle(S.IMAGES)})),
+c AS (SELECT scrape_id, b, count(*) AS n, min(ordinal) AS f FROM e WHERE b IS NOT NULL GROUP BY ALL),
+h AS (SELECT scrape_id, string_agg(b || ':' || n, '; ' ORDER BY n DESC, f) AS buckets, arg_max(b, n * 1000000000 - f) AS top FROM c GROUP BY scrape_id),
+r AS (SELECT scrape_id, count(*) AS items, count(*) FILTER (retained) AS files FROM ({S.for_oracle(S.IMAGES)}) GROUP BY scrape_id)
+SELECT r.scrape_id, CASE WHEN files = 0 THEN coalesce(top, 'all_image_downloads_failed') ELSE coalesce(top, 'downloaded_but_no_final_product_image') END AS image_failure_bucket,
+  coalesce(buckets, '') AS image_error_buckets, items AS image_manifest_item_count FROM r LEFT JOIN h USING (scrape_id)""")
+def image_diagnostics(spark, sf):
+    items = S.make(spark, sf, S.IMAGES).withColumn("local_path", F.when(F.col("retained"), F.col("url")).otherwise(""))
+    items = items.withColumn("attempts", F.array(F.concat(F.lit("direct:"), (F.col("ordinal") % 3).cast("string"))))
+    rows = items.select("scrape_id").distinct().select(
+        "scrape_id", F.lit("").alias("visual_evidence_status"), F.lit(0).alias("final_image_count"), F.lit(5).alias("image_candidate_count"),
+        F.lit(0).alias("image_downloaded_count"), F.lit(False).alias("screenshot_fallback_used"),
+    )
+    found = images.image_diagnostics(rows, items)
+    return found.select("scrape_id", "image_failure_bucket", "image_error_buckets", "image_manifest_item_count")
+
+
+@query(f"""SELECT scrape_id, ordinal, CAST(pick AS INT) AS pick FROM (SELECT *, row_number() OVER (PARTITION BY scrape_id ORDER BY area DESC, bytes DESC, ordinal) AS pick
+  FROM ({S.for_oracle(S.IMAGES)})) WHERE pick <= 3""")
+def vision_topk(spark, sf):
+    return images.vision_picks(S.make(spark, sf, S.IMAGES), 3).select("scrape_id", "ordinal", "pick")
+
+
+# --- validation ---
+_VALIDATED = f"""
+WITH r AS (SELECT *, lower(concat_ws(chr(10), nullif(product_url, ''), nullif(title, ''), nullif(weak_capture_reasons, ''), nullif(missing_critical_fields, ''), nullif(artifact_text, ''))) AS blob FROM ({S.for_oracle(S.RESULTS)})),
+a AS (SELECT *, regexp_replace(blob, '[^0-9]', '', 'g') AS digits, list_sort(list_distinct(list_filter(string_split_regex(blob, '[^0-9]+'), lambda x: length(x) IN (8, 12, 13, 14)))) AS runs,
+  list_filter(['wooden', 'puzzle', 'horse', split_part(main_text, ' ', 4)], lambda w: length(w) >= 3 AND NOT (regexp_full_match(w, '[0-9]+') AND length(w) < 4)) AS words, {_count('blob', vocab.BUSINESS_PRODUCT_TERMS)} AS terms, real_scrape_evidence = 'true' AS real FROM r),
+b AS (SELECT *, CASE WHEN ean = '' THEN 'not_provided' WHEN contains(digits, ean) THEN 'matched' WHEN len(list_filter(runs, lambda x: x <> ean)) > 0 THEN 'possible_identifier_conflict' ELSE 'not_found_in_source' END AS ean_match_status,
+  len(words) AS n, len(list_filter(words, lambda w: contains(blob, w))) AS k, (regexp_matches(product_url, '(?i){vocab.BUSINESS_CATEGORY_PATH}') OR regexp_matches(product_url, '(?i){vocab.BUSINESS_CATEGORY_QUERY}')) AND NOT (real AND terms >= 4) AS category FROM a),
+c AS (SELECT *, CASE WHEN ean_match_status = 'matched' THEN 'matched_by_ean' WHEN n = 0 THEN 'no_input_identity' WHEN k >= 4 AND k / n >= 0.65 THEN 'matched_by_title_tokens' WHEN k >= 3 AND k / n >= 0.45 THEN 'weak_match_by_title_tokens'
+  WHEN k > 0 THEN 'partial_token_overlap' ELSE 'input_not_found_in_capture' END AS identity_match_status, CASE WHEN ean_match_status = 'matched' THEN 1.0 ELSE round_even(CAST(k AS DOUBLE) / n, 3) END AS identity_match_score,
+  NOT category AND real AND (capture_decision IN ('rich_product_capture', 'usable_product_capture') OR terms >= 4) AS detail, success = 'true' AND error = '' AS technical,
+  real AS scrape, visual_evidence_status = 'final_product_images_available' AND CAST(final_image_count AS INT) >= 1 AS visual,
+  CASE source_url_role WHEN 'primary' THEN 'primary_requested_source' WHEN 'global-fallback' THEN 'fallback_source_used' ELSE 'not_declared' END AS source FROM b),
+d AS (SELECT *, artifact_quality IN ('strong', 'usable') AND missing_critical_fields = '' AND detail AND identity_match_status IN ('matched_by_ean', 'matched_by_title_tokens', 'weak_match_by_title_tokens', 'no_input_identity') AS evidence FROM c),
+v AS (SELECT row_number, ean_match_status, identity_match_status, identity_match_score, CASE WHEN NOT technical THEN 'FAILED_TECHNICAL' WHEN access_status IN {_in(vocab.BLOCKED_ACCESS)} OR capture_decision = 'blocked_shell_capture' THEN 'REVIEW_BLOCKED_ACCESS'
+  WHEN ean_match_status = 'possible_identifier_conflict' OR identity_match_status = 'input_not_found_in_capture' THEN 'REVIEW_IDENTITY_CONFLICT' WHEN category OR NOT detail THEN 'REVIEW_NOT_PRODUCT_DETAIL_PAGE'
+  WHEN NOT visual THEN CASE WHEN visual_evidence_status = 'screenshot_fallback_only' THEN 'REVIEW_IMAGE_ONLY' ELSE 'REVIEW_IMAGE_FAILED' END WHEN source = 'fallback_source_used' THEN 'REVIEW_SOURCE_FALLBACK'
+  WHEN capture_grade IN ('weak', 'blocked_or_shell', 'mixed_capture') OR capture_decision IN {_in(vocab.REVIEW_DECISIONS)} THEN 'REVIEW_WEAK_CAPTURE' WHEN missing_critical_fields <> '' OR NOT evidence THEN 'REVIEW_MISSING_CRITICAL_FIELDS'
+  WHEN requires_manual_review = 'true' THEN 'REVIEW_REQUIRED_BY_QUALITY_GATE' ELSE 'READY_FOR_CODING' END AS manual_review_bucket,
+  CAST(greatest(0, least(100, 100 - (CASE WHEN technical THEN 0 ELSE 60 END) - (CASE WHEN scrape THEN 0 ELSE 25 END) - (CASE WHEN evidence THEN 0 ELSE 20 END) - (CASE WHEN visual THEN 0 ELSE 30 END)
+  - (CASE WHEN identity_match_status = 'input_not_found_in_capture' THEN 35 WHEN identity_match_status IN ('partial_token_overlap', 'weak_match_by_title_tokens') THEN 10 ELSE 0 END)
+  - (CASE WHEN ean_match_status = 'possible_identifier_conflict' THEN 40 ELSE 0 END) - (CASE WHEN category THEN 35 ELSE 0 END) - (CASE WHEN source = 'fallback_source_used' THEN 10 ELSE 0 END))) AS INT) AS business_validation_score FROM d)"""
+
+
+def _validated(spark, sf):
+    return validate.validate_rows(S.make(spark, sf, S.RESULTS), ("artifact_text",))
+
+
+@query(f"{_VALIDATED} SELECT * FROM v")
+def business_validation(spark, sf):
+    return _validated(spark, sf).select(
+        "row_number", "ean_match_status", "identity_match_status", "identity_match_score", "manual_review_bucket", "business_validation_score"
+    )
+
+
+@query(f"""{_VALIDATED} SELECT 'manual_review_bucket' AS dimension, manual_review_bucket AS value, count(*) AS n FROM v GROUP BY ALL
+  UNION ALL SELECT 'identity_match_status', identity_match_status, count(*) FROM v GROUP BY ALL
+  UNION ALL SELECT 'ean_match_status', ean_match_status, count(*) FROM v GROUP BY ALL""")
+def triage_summary(spark, sf):
+    rows = validate.triage_rows(S.make(spark, sf, S.RESULTS), ("artifact_text",))
+    return validate.triage_summary(rows, ("manual_review_bucket", "identity_match_status", "ean_match_status"))
+
+
+_GATE = """SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN concat('{{"product_name":"', p_name, '","brand":"', p_brand, '"}}') WHEN 1 THEN '{{"title":"x","sku":"1"}}' ELSE '{{}}' END AS evidence_text,
+  '' AS page_title, '' AS main_text, '' AS ean, CASE WHEN p_partkey % 17 = 0 THEN '' ELSE 'https://x' END AS url, '' AS raw_markdown, CAST(p_size * 4 AS INT) AS product_text_chars, 0 AS n_retailer_claims,
+  CAST(p_partkey % 8 AS INT) AS n_claims, CAST(p_partkey % 2 AS INT) AS n_structured, CAST(p_partkey % 2 AS INT) AS n_tables, 0 AS n_json_ld, 12 AS n_images, CAST(p_partkey % 6 AS INT) AS n_downloaded,
+  CAST(p_partkey % 5 AS INT) AS n_clean, CAST(CASE WHEN p_partkey % 10 = 5 THEN 1 ELSE 0 END AS INT) AS n_screenshots, CAST(p_partkey % 3 AS INT) AS n_described, CAST(p_partkey % 4 AS INT) AS n_errors, 0 AS n_forbidden,
+  CAST(p_partkey % 4 AS INT) AS n_axes, true AS image_required, p_partkey % 7 <> 0 AS real_scrape_evidence, false AS weak_capture, 'accessible' AS access_status, CASE WHEN p_partkey % 9 = 0 THEN 'weak' ELSE 'strong' END AS capture_grade,
+  CASE WHEN p_partkey % 19 = 0 THEN 'mixed_capture_needs_review' ELSE 'rich_product_capture' END AS capture_decision, 'primary_requested_source' AS alignment_status FROM {part}"""
+
+
+@query(f"""WITH g AS (SELECT *, p_partkey % 3 <> 2 AS nm, p_partkey % 3 = 0 AS br, p_partkey % 3 = 1 AS idn, url <> '' AS ur, product_text_chars >= 80 AS tx, n_clean > 0 AS vis, n_screenshots > 0 AS sh, n_structured > 0 AS st, n_axes > 0 AS ax,
+  (CASE WHEN n_errors > 0 AND n_downloaded < 3 THEN 1 ELSE 0 END) + (CASE WHEN n_clean > 0 THEN 0 ELSE 1 END) + n_screenshots + (CASE WHEN n_described = 0 THEN 1 ELSE 0 END) + (CASE WHEN n_tables = 0 THEN 1 ELSE 0 END)
+  + (CASE WHEN real_scrape_evidence THEN 0 ELSE 1 END) + (CASE WHEN capture_grade = 'weak' THEN 1 ELSE 0 END) + (CASE WHEN capture_decision = 'mixed_capture_needs_review' THEN 1 ELSE 0 END) AS n_warnings FROM ({S.for_oracle(_GATE)})),
+s AS (SELECT *, NOT nm OR NOT br OR NOT ur OR NOT vis OR (NOT tx AND NOT st AND NOT vis) OR NOT ax AS gaps, CAST(greatest(0, least(100, (CASE WHEN nm THEN 20 ELSE 0 END) + (CASE WHEN br THEN 15 ELSE 0 END) + (CASE WHEN idn THEN 10 ELSE 0 END)
+  + (CASE WHEN ur THEN 10 ELSE 0 END) + (CASE WHEN tx THEN 15 ELSE 0 END) + (CASE WHEN st THEN 10 ELSE 0 END) + (CASE WHEN vis THEN 15 ELSE 0 END) + (CASE WHEN sh THEN 4 ELSE 0 END) + (CASE WHEN ax THEN 10 ELSE 0 END) + 5
+  + (CASE WHEN n_claims >= 5 THEN 5 ELSE 0 END) - (CASE WHEN n_warnings >= 3 THEN 10 ELSE 0 END) - (CASE WHEN real_scrape_evidence THEN 0 ELSE 25 END) - (CASE WHEN capture_decision = 'mixed_capture_needs_review' THEN 8 ELSE 0 END)
+  - (CASE WHEN capture_grade = 'weak' THEN 10 ELSE 0 END) - (CASE WHEN vis THEN 0 WHEN sh THEN 20 ELSE 30 END))) AS INT) AS quality_score FROM g),
+q AS (SELECT *, CASE WHEN NOT vis AND NOT sh THEN 'insufficient' WHEN NOT vis THEN 'partial' WHEN gaps THEN CASE WHEN quality_score >= 45 THEN 'partial' ELSE 'insufficient' END
+  WHEN NOT real_scrape_evidence THEN CASE WHEN quality_score >= 55 THEN 'partial' ELSE 'insufficient' END WHEN capture_decision = 'mixed_capture_needs_review' THEN CASE WHEN quality_score >= 75 THEN 'usable' ELSE 'partial' END
+  WHEN quality_score >= 85 AND n_warnings <= 1 THEN 'strong' WHEN quality_score >= 65 THEN 'usable' ELSE 'partial' END AS artifact_quality FROM s)
+SELECT p_partkey, CAST(n_warnings AS INT) AS n_warnings, quality_score, artifact_quality, artifact_quality IN ('partial', 'insufficient') OR gaps OR capture_decision = 'mixed_capture_needs_review' AS requires_manual_review FROM q""")
+def quality_gate(spark, sf):
+    done = quality.quality_gate(S.make(spark, sf, _GATE))
+    return done.select("p_partkey", "n_warnings", "quality_score", "artifact_quality", "requires_manual_review")
+
+
+_RECOVERY = "SELECT p_partkey, p_partkey % 2 = 0 AS browser_visible, p_partkey % 3 = 0 AS proxy_used, p_partkey % 5 = 0 AS has_upstream, p_partkey % 7 = 0 AS has_metadata, p_partkey % 4 <> 3 AS recovered FROM {part}"
+
+
+@query(f"""SELECT p_partkey, CASE WHEN NOT recovered THEN 'insufficient_evidence' WHEN browser_visible THEN 'browser_primary' WHEN proxy_used THEN 'proxy_primary' WHEN has_upstream THEN 'upstream_recovery'
+  WHEN has_metadata THEN 'metadata_recovery' ELSE 'recovered' END AS recovery_status FROM ({S.for_oracle(_RECOVERY)})""")
+def recovery_status(spark, sf):
+    return quality.recovery_status(S.make(spark, sf, _RECOVERY)).select("p_partkey", "recovery_status")
+
+
+# --- claims ---
+_FEATURE = "CASE " + " ".join(f"WHEN {_any('blob', aliases)} THEN '{name}'" for name, aliases in vocab.FEATURE_ALIASES) + f" ELSE '{vocab.GENERAL_FEATURE}' END"
+_BLOB = f"SELECT *, coalesce(nullif(attribute, ''), 'claim') AS attr FROM ({S.for_oracle(S.CLAIMS)})"
+
+
+@query(f"""WITH c AS (SELECT *, lower(attr || ' ' || value) AS blob FROM ({_BLOB}))
+SELECT scrape_id, claim_no, {_FEATURE} AS coding_relevance, coalesce(confidence, CASE WHEN value <> '' THEN 'medium' ELSE 'missing' END) AS confidence,
+  CASE WHEN claim_source = 'source_specific_claims' THEN 'scraped_source_only' ELSE 'product_level_transferable_when_identity_passes' END AS transferability FROM c""")
+def feature_inference(spark, sf):
+    done = readiness.enrich_claims(S.make(spark, sf, S.CLAIMS))
+    return done.select("scrape_id", "claim_no", "coding_relevance", "confidence", "transferability")
+
+
+_FEATURE_ROWS = " UNION ALL ".join(
+    f"SELECT '{name}' AS feature, scrape_id, confidence, axis FROM c WHERE {_any('blob', aliases)}" for name, aliases in vocab.FEATURE_ALIASES
+)
+_FEATURE_NAMES = " UNION ALL ".join(f"SELECT '{name}' AS feature" for name, _ in vocab.FEATURE_ALIASES)
+
+
+@query(f"""WITH c AS (SELECT *, lower(attr || ' ' || value || ' ') AS blob FROM ({_BLOB})), m AS ({_FEATURE_ROWS}),
+f AS (SELECT scrape_id, feature, count(*) AS matches, coalesce(bool_or(confidence = 'high'), false) AS high, count(DISTINCT axis) AS axes, string_agg(DISTINCT axis, ',' ORDER BY axis) AS axis_list FROM m GROUP BY ALL),
+r AS (SELECT DISTINCT scrape_id FROM c)
+SELECT r.scrape_id, n.feature, CASE WHEN matches IS NULL THEN 'missing' WHEN high OR matches >= 2 OR axes >= 2 THEN 'strong' ELSE 'medium' END AS status, coalesce(matches, 0) AS matches, coalesce(axis_list, '') AS axes
+FROM r CROSS JOIN ({_FEATURE_NAMES}) n LEFT JOIN f ON f.scrape_id = r.scrape_id AND f.feature = n.feature""")
+def feature_readiness(spark, sf):
+    claims = S.make(spark, sf, S.CLAIMS).withColumn("evidence_axis", F.array("axis"))
+    done = readiness.feature_readiness(claims, claims)
+    return done.select("scrape_id", "feature", "status", "matches", F.array_join("evidence_axes", ",").alias("axes"))
+
+
+# --- audit ---
+_AUDIT = f"""WITH f AS (SELECT scrape_id, bool_or(rel_path = '_COMPLETE.json') AS done, bool_or(rel_path = '_FAILED.json') AS failed, bool_or(size = 0) AS empty, count(*) FILTER (rel_path = 'retailer/manifests/agent_trace.json') = 0 AS gone,
+  bool_or(rel_path = 'retailer/vision.md' AND trim(text) <> '') AS seen, max(CASE WHEN rel_path = 'scrape_result.json' THEN text END) AS r FROM ({S.for_oracle(S.FILES)}) GROUP BY scrape_id)
+SELECT scrape_id, CASE WHEN done THEN '_COMPLETE.json' WHEN failed THEN '_FAILED.json' ELSE '' END AS terminal_marker,
+  CASE WHEN NOT done AND NOT failed THEN 'incomplete_no_terminal_marker' WHEN NOT done THEN 'failed_finalized' WHEN empty OR gone OR NOT seen THEN 'complete_but_artifact_files_invalid' WHEN NOT contains(r, 'final_product') THEN 'complete_but_visual_not_ready'
+  WHEN contains(r, 'true') THEN 'complete_but_manual_review_required' WHEN contains(r, 'strong') THEN 'ready_for_coding' ELSE 'complete_but_needs_review' END AS artifact_status FROM f"""
+
+
+@query(_AUDIT)
+def artifact_audit(spark, sf):
+    return audit.audit_artifacts(S.make(spark, sf, S.FILES)).select("scrape_id", "terminal_marker", "artifact_status")
+
+
+@query(f"SELECT artifact_status, count(*) AS n, count(*) FILTER (artifact_status = 'ready_for_coding') AS ready, count(*) AS images FROM ({_AUDIT}) GROUP BY artifact_status")
+def audit_summary(spark, sf):
+    return audit.audit_summary(audit.audit_artifacts(S.make(spark, sf, S.FILES)))
