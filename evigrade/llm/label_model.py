@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-#: Conditional mutual information, in nats, above which two voters count as correlated.
+#: Mutual information given the class, in nats, above which two voters count as correlated.
 CORRELATED = 0.01
 CLIQUE = 3
 #: Rows that the belief in voters is worth.
@@ -35,12 +35,17 @@ class LabelModel:
             out.append(state)
         return out
 
+    def _log_joint(self, votes: np.ndarray) -> np.ndarray:
+        """Log-probability of each row of votes with class 0 and with class 1."""
+        out = np.repeat(np.log([[1 - self.prior], [self.prior]]), len(votes), 1)
+        for table, state in zip(self.tables, self._states(votes)):
+            out += np.log(table[:, state])
+        return out
+
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         """The probability of class 1 for each row of votes."""
-        odds = np.full(len(votes), np.log(self.prior) - np.log1p(-self.prior))
-        for table, state in zip(self.tables, self._states(votes)):
-            odds += np.log(table[1][state]) - np.log(table[0][state])
-        return 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
+        clean, toxic = self._log_joint(votes)
+        return 1 / (1 + np.exp(np.clip(clean - toxic, -50, 50)))
 
     def accuracy(self, voter: int) -> float:
         """How often a voter that doesn't abstain is right, by the model."""
@@ -95,16 +100,28 @@ def conditional_information(votes: np.ndarray, counts: np.ndarray, p: np.ndarray
     return float(information)
 
 
-def fit_label_model(votes: np.ndarray, counts: np.ndarray) -> LabelModel:
-    """votes: distinct patterns [pattern, voter] of 0, 1, 2; counts: rows of each."""
+def fit_label_model(votes: np.ndarray, counts: np.ndarray, label: int | None = None) -> LabelModel:
+    """votes: distinct patterns [pattern, voter] of 0, 1, 2; counts: rows of each.
+
+    label: a voter that stands for people's labels.  Rows where it speaks give the
+    first estimates and show which other voters are correlated given the class, so
+    the class is what the labels speak of; it is part of no clique.  Without
+    such rows the estimates start from a majority vote.
+    """
     votes = np.asarray(votes, np.int64)
     counts = np.asarray(counts, np.float64)
-    voters = votes.shape[1]
-    balance = (votes == 2).sum(1) - 0.5 * (votes == 1).sum(1)
-    start = np.where(balance > 0, 0.9, 0.05)
-    model, p = _expectation_maximisation(votes, counts, [[v] for v in range(voters)], start)
-    pairs = [(conditional_information(votes, counts, p, i, j), i, j) for i in range(voters) for j in range(i)]
-    cliques = [[v] for v in range(voters)]
+    voters = [v for v in range(votes.shape[1]) if v != label]
+    single = [[v] for v in range(votes.shape[1])]
+    told = votes[:, label] > 0 if label is not None else np.zeros(len(votes), bool)
+    if counts[told].sum() >= 100:
+        p = np.where(votes[told, label] == 2, 0.97, 0.03)
+        seen, weight = votes[told], counts[told]
+    else:
+        balance = (votes == 2).sum(1) - 0.5 * (votes == 1).sum(1)
+        _, p = _expectation_maximisation(votes, counts, single, np.where(balance > 0, 0.9, 0.05))
+        seen, weight = votes, counts
+    pairs = [(conditional_information(seen, weight, p, i, j), i, j) for i in voters for j in voters if j < i]
+    cliques = [list(c) for c in single]
     for information, i, j in sorted(pairs, reverse=True):
         if information < CORRELATED:
             break
@@ -112,7 +129,9 @@ def fit_label_model(votes: np.ndarray, counts: np.ndarray) -> LabelModel:
         if a is not b and len(a) + len(b) <= CLIQUE:
             cliques.remove(b)
             a += b
-    return _expectation_maximisation(votes, counts, cliques, p)[0]
+    first = LabelModel(cliques, 0.5, [])
+    _maximise(first, seen, weight, p)
+    return _expectation_maximisation(votes, counts, cliques, first.posterior(votes))[0]
 
 
 def fit_linear(

@@ -304,7 +304,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[ToxicityModel, DataFrame]:
         return ToxicityModel(features, nobody, np.zeros(len(features)), np.zeros(4), -2.0), seen
     codes = np.array([r["votes"] for r in patterns])
     votes = np.column_stack([_votes_of(codes), [r["told"] for r in patterns]])
-    voters = fit_label_model(votes, np.array([r["n"] for r in patterns]))
+    voters = fit_label_model(votes, np.array([r["n"] for r in patterns]), len(VOTERS))
 
     order = (F.xxhash64("doc_id", F.lit(5)), F.col("doc_id"))
     sample = train.select("doc_id", "votes", told, "hits", "shape").orderBy((told == 0).cast("int"), *order)
