@@ -14,7 +14,7 @@ def scan_artifacts(spark: SparkSession, root: str) -> DataFrame:
     name = root.rstrip("/").rpartition("/")[2]
     below = F.regexp_extract("path", rf"/{name}/(.*)$", 1)
     parts = files.withColumn("_below", below).where(F.col("_below").contains("/"))
-    text = F.when(F.col("path").rlike(TEXT_FILES), F.decode("content", F.lit("UTF-8")))
+    text = F.when(F.col("path").rlike(TEXT_FILES), F.decode("content", "UTF-8"))
     return parts.select(
         F.regexp_extract("_below", r"^([^/]+)/", 1).alias("scrape_id"),
         F.regexp_extract("_below", r"^[^/]+/(.*)$", 1).alias("rel_path"),
