@@ -177,8 +177,31 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     return rows.orderBy(F.col("_take")["time"], "_key", F.col("_take")["copy"]).select(*docs.columns)
 
 
-def training_order(plan: DataFrame) -> DataFrame:
-    """(doc_id, source, copy, words, time), range-sorted by the time at which each take is due."""
-    takes = plan.select("doc_id", "source", F.explode("takes").alias("take"))
-    takes = takes.select("doc_id", "source", "take.copy", "take.words", "take.time")
-    return takes.orderBy("time", "source", "copy", "doc_id")
+def training_order(plan: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, source, copy, words, time, position), range-sorted by the time at which each take is due.
+
+    Positions are gapless from 0.  The sort is by ranges of all takes; a table with a
+    row for each range tells how many takes stand before it.
+    """
+    takes = plan.select("doc_id", "source", F.explode("takes").alias("take"), *keep)
+    takes = takes.select("doc_id", "source", "take.copy", "take.words", "take.time", *keep)
+    takes = takes.orderBy("time", "source", "copy", "doc_id", *keep)
+    # the upper bits are the range's number, the lower 33 the place in it
+    takes = cut(takes.withColumn("_at", F.monotonically_increasing_id()))
+    takes = takes.withColumn("_range", F.shiftright("_at", 33))
+    before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = takes.groupBy("_range").agg(F.count("*").alias("_n"))
+    ranges = ranges.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    placed = takes.join(F.broadcast(ranges), "_range")
+    inside = F.col("_at") - F.shiftleft("_range", 33)
+    return placed.select("doc_id", "source", "copy", "words", "time", (F.col("_before") + inside).alias("position"), *keep)
+
+
+def mix_positions(docs: DataFrame) -> DataFrame:
+    """mix_plan() of docs in which each of `takes` also has its position in the training order."""
+    plan = cut(mix_plan(docs.withColumn("_row", F.monotonically_increasing_id()), keep=["_row"]))
+    take = F.struct("copy", "words", "time", "position")
+    ordered = training_order(plan, ["_row"]).groupBy("_row").agg(F.array_sort(F.collect_list(take)).alias("takes"))
+    nothing = F.array().cast("array<struct<copy:int,words:bigint,time:double,position:bigint>>")
+    met = plan.drop("takes").join(ordered, "_row", "left")
+    return met.withColumn("takes", F.coalesce("takes", nothing)).drop("_row")

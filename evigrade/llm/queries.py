@@ -10,7 +10,7 @@ from evigrade.llm.embedding_join import cosine_links
 from evigrade.llm.fingerprints import fingerprints_with_edits
 from evigrade.llm.license_scan import scan_licenses
 from evigrade.llm.minhash_dedup import near_duplicates
-from evigrade.llm.mixing import mix_plan
+from evigrade.llm.mixing import mix_positions
 from evigrade.llm.packing import pack_documents
 from evigrade.llm.rollups import RollupStore, count_documents, inserts, revisions
 from evigrade.llm.sharding import balanced_shards
@@ -67,7 +67,9 @@ def op9_balanced_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_plan(load(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    """The SQL has the first five columns; takes has (copy, words, time, position) of each time a document is due."""
+    plan = mix_positions(load(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target", "taken", "takes")
 
 
 QUERIES = {

@@ -1,8 +1,12 @@
 """Each operator does all of its job: inputs on which a cap, a sample or a missing step shows."""
 
+import hashlib
+import random
 from collections import Counter, defaultdict
 
-from evigrade.llm import sharding
+import duckdb
+
+from evigrade.llm import mixing, queries, sharding
 
 
 def shards_by_text(spark, texts, shards=16):
@@ -44,3 +48,54 @@ def test_propagation_swaps_between_full_shards(spark):
 def test_flows_pass_rings_and_freed_room():
     assert sharding.flows({(0, 1): 3, (1, 2): 3, (2, 0): 2}, [0, 0, 0]) == {(0, 1): 2, (1, 2): 2, (2, 0): 2}
     assert sharding.flows({(0, 1): 5, (1, 2): 4}, [0, 0, 2]) == {(1, 2): 2, (0, 1): 2}
+
+
+def due(share, knots):
+    """When a piecewise linear schedule has used a share of its area, by bisection."""
+
+    def used(time):
+        area = 0.0
+        for (a, u), (b, v) in zip(knots, knots[1:]):
+            end = min(max(time, a), b)
+            area += (end - a) * (u + u + (v - u) * (end - a) / (b - a)) / 2
+        return area
+
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if used(middle) < share * used(1.0) else (low, middle)
+    return low
+
+
+def test_mixing_positions_equal_brute_force(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(i, " ".join(["w"] * rng.randint(0, 30)), rng.choice(["a", "a", "a", "b", "c", None])) for i in range(300)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r for r in queries.op10_source_mixing(spark, str(tmp_path)).collect()}
+    assert len(found) == 300
+    order = []
+    names = sorted({s for _, _, s in rows if s}) + [None]
+    for kind, name in enumerate(names):
+        own = sorted((r for r in rows if r[2] == name), key=lambda r: hashlib.md5(str(r[0]).encode()).hexdigest())
+        wanted, begins = int(found[own[0][0]].target + 0.5), 0
+        for copy in range(2):
+            for i, text, _ in own:
+                words = min(max(wanted - begins, 0), len(text.split()))
+                if words:
+                    order.append((due(begins / wanted, mixing.SCHEDULES[kind % 3]), kind, copy, i, words))
+                begins += len(text.split())
+    got = sorted((t.position, r.doc_id, t.copy, t.words, t.time) for r in found.values() for t in r.takes)
+    assert [g[0] for g in got] == list(range(len(order)))
+    assert sorted(g[1:4] for g in got) == sorted((i, copy, words) for _, _, copy, i, words in order)
+    times = {(i, copy): time for time, _, copy, i, _ in order}
+    assert all(abs(times[i, copy] - time) < 1e-9 for _, i, copy, _, time in got)
+    assert [g[4] for g in got] == sorted(g[4] for g in got)
+
+
+def test_mixing_keeps_the_rows_of_its_sql(spark):
+    folder = "/root/testdata/sf0.001"
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet')")
+    asked = db.sql(queries.ORACLES["op10_source_mixing"])
+    found = queries.op10_source_mixing(spark, folder).select(*asked.columns).collect()
+    assert sorted(map(tuple, found)) == sorted(asked.fetchall())
