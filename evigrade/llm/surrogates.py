@@ -8,10 +8,12 @@ their Luhn verdict, addresses stay private or public, phones keep country and
 area, names keep script, gender and a consistent surname.
 
 Given names come from pools and small formats may hit another entity's real
-value, so collisions are checked over the corpus: a pass gathers the distinct
-entities, and those whose surrogate is another's surrogate or anybody's real
-value take the next attempt, until none is left.  Such exceptions are few; the
-second pass knows them and rewrites the texts.
+value, so collisions are checked over the corpus: a pass gathers the entities of
+every text, and those whose surrogate is another's surrogate or anybody's real
+value take the next attempt, until none is left.  Surnames are settled first, so
+all mentions of one share a surrogate.  A given name tries its whole pool and is
+then permuted.  The exceptions are a table, joined to the texts that have them
+for the second pass, which rewrites the texts.
 """
 
 from __future__ import annotations
@@ -24,15 +26,14 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evigrade.session import cut
 
 KEY = b"evigrade-surrogates-1"
-ATTEMPTS = 12
-#: Exceptions that every task is handed; beyond it given names are permuted too, which can't collide.
-MOST_EXCEPTIONS = 100_000
+#: Attempts in a row without fewer collisions after which there is no way out: a format has no free values.
+STUCK = 40
 
 _TITLES = {
     "Mr": "m", "Herr": "m", "Sr": "m", "Señor": "m", "Monsieur": "m", "Mister": "m", "Sir": "m", "Господин": "m", "Κύριος": "m",
@@ -160,18 +161,21 @@ def _script(name: str) -> str:
     return "cyrillic" if re.search("[А-я]", name) else "greek" if re.search("[Α-ω]", name) else "latin"
 
 
-def _name(text: str, tweak: str, gender: str, strict: bool) -> str:
+def _name(text: str, tweak: str, gender: str, attempt: int, strict: bool, surname_attempt: int) -> str:
     *given, surname = text.split(" ")
-    moved = [permute_text(surname, "surname")]
+    moved = [permute_text(surname, f"surname|{surname_attempt}" if surname_attempt else "surname")]
     for name in given:
         pool = _GIVEN[_script(name), gender]
-        moved.insert(0, permute_text(name, tweak) if strict else pool[_digest("given", tweak, gender, text) % len(pool)])
+        if strict or attempt >= len(pool):
+            moved.insert(0, permute_text(name, tweak))
+        else:
+            moved.insert(0, pool[(_digest("given", "name", gender, text) + attempt) % len(pool)])
     return " ".join(moved)
 
 
 @lru_cache(200_000)
-def surrogate(kind: str, text: str, attempt: int = 0, strict: bool = False) -> str:
-    """The replacement of one entity.  kind of a name: name_f, name_m or name_n."""
+def surrogate(kind: str, text: str, attempt: int = 0, strict: bool = False, surname_attempt: int = 0) -> str:
+    """The replacement of one entity.  kind of a name: name_f, name_m or name_n; surname: a name's last word."""
     tweak = f"{kind}|{attempt}"
     if kind == "email":
         top = len(text) - len(text.rpartition(".")[2])
@@ -187,8 +191,10 @@ def surrogate(kind: str, text: str, attempt: int = 0, strict: bool = False) -> s
         return permute_text(text, tweak, frozenset(range(4)))
     if kind == "iban":
         return permute_text(text, tweak, frozenset(range(4)))
+    if kind == "surname":
+        return _name(text, tweak, "n", 0, strict, attempt)
     if kind.startswith("name_"):
-        return _name(text, tweak if attempt else "name", kind[-1], strict)
+        return _name(text, tweak, kind[-1], attempt, strict, surname_attempt)
     if kind == "secret":
         return permute_text(text, tweak, hexadecimal=re.fullmatch("[0-9a-f]+", text) is not None)
     return permute_text(text, tweak)
@@ -205,7 +211,7 @@ def entities(text: str) -> Iterator[tuple[str, int, int]]:
         if kind == "secret":
             group = "secret"
         elif kind == "name":
-            group, kind = "name", f"name_{_TITLES[match['title']]}"
+            group, kind = "name", f"name_{_TITLES[match['title']] if ' ' in match['name'] else 'n'}"
         yield kind, match.start(group), match.end(group)
 
 
@@ -215,59 +221,92 @@ def _normal(kind: str, text: str) -> str:
 
 
 def find_entities(docs: DataFrame) -> DataFrame:
-    """Distinct (kind, entity) of all whole texts."""
+    """(text_key, kind, entity) of all whole texts; a name also has a row of kind surname."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = {
-                (kind, _normal(kind, text[start:end]))
-                for text in batch.column(0).to_pylist()
-                if text
-                for kind, start, end in entities(text)
-            }
-            kinds, names = [k for k, _ in found], [n for _, n in found]
-            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(names, pa.string())], names=["kind", "entity"])
+            found = set()
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for kind, start, end in entities(text) if text else ():
+                    name = _normal(kind, text[start:end])
+                    found.add((key, kind, name))
+                    if kind.startswith("name_"):
+                        found.add((key, "surname", name.rpartition(" ")[2]))
+            types = (pa.int64(), pa.string(), pa.string())
+            columns = [pa.array([row[i] for row in found], t) for i, t in enumerate(types)]
+            yield pa.RecordBatch.from_arrays(columns, names=["text_key", "kind", "entity"])
 
-    return docs.select("text").mapInArrow(run, "kind string, entity string").distinct()
+    return docs.select(text_key(), "text").mapInArrow(run, "text_key long, kind string, entity string")
 
 
-def _assign(known: DataFrame, strict: bool) -> DataFrame:
+def text_key() -> Column:
+    """What texts meet their exceptions by; two texts of one key just get both's exceptions."""
+    return F.xxhash64("text").alias("text_key")
+
+
+def _assign(known: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = map(surrogate, *(batch.column(i).to_pylist() for i in (0, 1, 2)), [strict] * batch.num_rows)
+            made = [surrogate(k, e, n, False, s) for k, e, n, s in zip(*(batch.column(i).to_pylist() for i in range(4)))]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(list(made), pa.string())], names=["kind", "entity", "attempt", "surrogate"]
+                [*batch.columns, pa.array(made, pa.string())], names=["kind", "entity", "attempt", "surname_attempt", "surrogate"]
             )
 
-    return known.select("kind", "entity", "attempt").mapInArrow(
-        run, "kind string, entity string, attempt int, surrogate string"
+    return known.select("kind", "entity", "attempt", "surname_attempt").mapInArrow(
+        run, "kind string, entity string, attempt int, surname_attempt int, surrogate string"
     )
 
 
-def resolve_collisions(docs: DataFrame) -> tuple[dict[tuple[str, str], int], bool]:
-    """Attempts above 0 by entity, and whether given names have to be permuted."""
-    known = cut(find_entities(docs).withColumn("attempt", F.lit(0)))
-    real = known.select(F.col("entity").alias("surrogate")).distinct()
-    strict = False
-    for _ in range(ATTEMPTS):
-        made = cut(_assign(known, strict))
-        twice = made.groupBy("surrogate").agg(F.count("*").alias("n"), F.min(F.struct("attempt", "kind", "entity")).alias("first"))
-        twice = twice.where("n > 1").select("surrogate", "first")
-        taken = made.join(real.withColumn("real", F.lit(True)), "surrogate", "left").join(twice, "surrogate", "left")
-        again = F.coalesce("real", F.lit(False)) | F.coalesce(
-            F.col("first") != F.struct("attempt", "kind", "entity"), F.lit(False)
-        )
-        bad = cut(taken.where(again).select("kind", "entity"))
-        if bad.isEmpty():
+def _settle(known: DataFrame, values: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Give every (kind, entity, surname_attempt) the first attempt whose surrogate is no other's and none of the values.
+
+    Returns (kind, entity, attempt) of the attempts above 0, and the values with all surrogates.
+    """
+    attempt, fewest, stuck, late = 0, None, 0, None
+    while True:
+        made = cut(_assign(known.withColumn("attempt", F.lit(attempt))))
+        # values are only asked for what was made; they come first, so their surrogates stay
+        met = values.join(made.select("surrogate").distinct(), "surrogate", "left_semi")
+        claims = made.select("surrogate", F.struct(F.lit(1).alias("rank"), "kind", "entity").alias("claim"))
+        held = met.select("surrogate", F.struct(F.lit(0).alias("rank"), F.lit("").alias("kind"), F.lit("").alias("entity")).alias("claim"))
+        first = claims.union(held).groupBy("surrogate").agg(F.min("claim").alias("first"))
+        judged = made.join(first, "surrogate")
+        mine = F.struct(F.lit(1).alias("rank"), "kind", "entity")
+        judged = cut(judged.withColumn("good", F.col("first") == mine).drop("first"))
+        good, bad = judged.where("good"), judged.where("not good")
+        values = values.union(good.select("surrogate"))
+        if attempt:
+            late = good if late is None else late.union(good)
+        n = bad.count()
+        if not n:
             break
-        more = known.join(bad.withColumn("more", F.lit(1)), ["kind", "entity"], "left")
-        known = cut(more.select("kind", "entity", (F.col("attempt") + F.coalesce("more", F.lit(0))).alias("attempt")))
-        if not strict and known.where("attempt > 0").count() > MOST_EXCEPTIONS:
-            strict, known = True, known.withColumn("attempt", F.lit(0))
-    kept = known.where("attempt > 0").limit(MOST_EXCEPTIONS + 1).collect()
-    if len(kept) > MOST_EXCEPTIONS:
-        raise RuntimeError("more exceptions than a task can be handed")
-    return {(r["kind"], r["entity"]): r["attempt"] for r in kept}, strict
+        stuck = 0 if fewest is None or n < fewest else stuck + 1
+        fewest = n if fewest is None else min(n, fewest)
+        if stuck >= STUCK:
+            raise RuntimeError(f"{n} entities have no free surrogate, as {bad.first()['kind']}")
+        known, attempt = bad.select("kind", "entity", "surname_attempt"), attempt + 1
+    late = judged.where("attempt > 0") if late is None else late
+    return late.select("kind", "entity", "attempt"), values
+
+
+def find_exceptions(found: DataFrame) -> DataFrame:
+    """(kind, entity, attempt): the attempts above 0 of find_entities()' entities and surnames."""
+    known = cut(found.select("kind", "entity").distinct())
+    real = cut(known.select(F.col("entity").alias("surrogate")).distinct())
+    surnames, values = _settle(known.where("kind = 'surname'").withColumn("surname_attempt", F.lit(0)), real)
+    # a name of one word is its surname, which is settled
+    rest = known.where("kind <> 'surname' and not (kind like 'name%' and instr(entity, ' ') = 0)")
+    last = F.when(F.col("kind").startswith("name_"), F.substring_index("entity", " ", -1))
+    late = surnames.select(F.col("entity").alias("surname"), F.col("attempt").alias("surname_attempt"))
+    rest = rest.withColumn("surname", last).join(late, "surname", "left")
+    names, _ = _settle(rest.select("kind", "entity", F.coalesce("surname_attempt", F.lit(0)).alias("surname_attempt")), values)
+    return cut(surnames.union(names))
+
+
+def resolve_collisions(docs: DataFrame) -> tuple[dict[tuple[str, str], int], bool]:
+    """find_exceptions() of a small table for rewrite(), and False: no given name is permuted before its pool is tried."""
+    rows = find_exceptions(cut(find_entities(docs))).collect()
+    return {(r["kind"], r["entity"]): r["attempt"] for r in rows}, False
 
 
 def rewrite(text: str, attempts: dict[tuple[str, str], int], strict: bool = False) -> tuple[str, list[str]]:
@@ -275,7 +314,8 @@ def rewrite(text: str, attempts: dict[tuple[str, str], int], strict: bool = Fals
     parts, at, kinds = [], 0, []
     for kind, start, end in entities(text):
         name = _normal(kind, text[start:end])
-        parts += [text[at:start], surrogate(kind, name, attempts.get((kind, name), 0), strict)]
+        of_surname = attempts.get(("surname", name.rpartition(" ")[2]), 0) if attempts and kind.startswith("name_") else 0
+        parts += [text[at:start], surrogate(kind, name, attempts.get((kind, name), 0), strict, of_surname)]
         at = end
         kinds.append(kind.partition("_")[0] if kind.startswith("name") else kind)
     if not kinds:
@@ -289,14 +329,19 @@ def replace_pii(docs: DataFrame) -> DataFrame:
     text is rewritten, other columns stay as they are; n_entities and entity_kinds
     replace columns of those names.  Null texts stay null and have no entities.
     Equal entities have equal surrogates in all rows, different ones different.
-    An empty table gives an empty result.
+    An empty table gives an empty result.  Raises where a format has no free values left.
     """
-    attempts, strict = resolve_collisions(docs)
+    found = cut(find_entities(docs))
+    late = F.struct("kind", "entity", "attempt")
+    exceptions = found.join(find_exceptions(found), ["kind", "entity"]).groupBy("text_key").agg(F.collect_set(late).alias("_late"))
+    docs_late = docs.withColumn("_key", text_key()).join(cut(exceptions), F.col("_key") == F.col("text_key"), "left")
     kept = [c for c in docs.columns if c not in ("text", "n_entities", "entity_kinds")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            done = [rewrite(t, attempts, strict) if t is not None else (None, []) for t in batch.column("text").to_pylist()]
+            late = [{(x["kind"], x["entity"]): x["attempt"] for x in row or ()} for row in batch.column("_late").to_pylist()]
+            texts = batch.column("text").to_pylist()
+            done = [rewrite(t, known) if t is not None else (None, []) for t, known in zip(texts, late)]
             columns = [batch.column(c) for c in kept]
             columns.append(pa.array([t for t, _ in done], pa.string()))
             columns.append(pa.array([len(k) for _, k in done], pa.int32()))
@@ -305,5 +350,5 @@ def replace_pii(docs: DataFrame) -> DataFrame:
 
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.select(*kept).dtypes)
     schema += ", " * bool(kept) + "text string, n_entities int, entity_kinds string"
-    done = docs.select(*kept, "text").mapInArrow(run, schema)
+    done = docs_late.select(*kept, "text", "_late").mapInArrow(run, schema)
     return done.select(*[c for c in docs.columns if c not in ("n_entities", "entity_kinds")], "n_entities", "entity_kinds")

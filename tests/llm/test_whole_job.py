@@ -2,11 +2,13 @@
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
 import duckdb
+import pytest
 
-from evigrade.llm import mixing, queries, sharding
+from evigrade.llm import mixing, queries, sharding, surrogates
 
 
 def shards_by_text(spark, texts, shards=16):
@@ -99,3 +101,31 @@ def test_mixing_keeps_the_rows_of_its_sql(spark):
     asked = db.sql(queries.ORACLES["op10_source_mixing"])
     found = queries.op10_source_mixing(spark, folder).select(*asked.columns).collect()
     assert sorted(map(tuple, found)) == sorted(asked.fetchall())
+
+
+def test_names_beyond_the_pool_stay_distinct(spark):
+    names = [f"{chr(65 + i)}{c}nar Smith" for i in range(20) for c in "ae"]
+    texts = [f"Mr {n} met Mrs Smith" for n in names] + ["Mr Smith and Mrs Smith", "Κύριος Νίκος Παπας", "Frau Li", "Frau Anna Li"]
+    rows = surrogates.replace_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).collect()
+    done = {r.doc_id: r.text for r in rows}
+    found = [re.match(r"Mr (\w+ \w+) met Mrs (\w+)", done[i]).groups() for i in range(40)]
+    surname = found[0][1]
+    assert len({name for name, _ in found}) == 40 and not {name for name, _ in found} & set(names)
+    assert {name.split()[1] for name, _ in found} | {lone for _, lone in found} == {surname}
+    assert sum(name.split()[0] in surrogates._GIVEN["latin", "m"] for name, _ in found) == 12
+    assert done[40] == f"Mr {surname} and Mrs {surname}"
+    assert done[43].split()[-1] == done[42].split()[-1]
+
+
+def test_surrogates_avoid_real_values_of_a_crowded_format(spark):
+    names = [a + b for a in "ABCDEFGHIJKLM" for b in "abcdefghijklmnopqrstuvwx"]
+    rows = surrogates.replace_pii(spark.createDataFrame([(i, f"Mr {n}") for i, n in enumerate(names)], "doc_id long, text string")).collect()
+    found = {r.text[3:] for r in rows}
+    assert len(found) == len(names) and not found & set(names)
+
+
+def test_a_format_without_free_values_raises(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "STUCK", 2)
+    names = [a + b for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for b in "abcdefghijklmnopqrstuvwxyz"]
+    with pytest.raises(RuntimeError, match="no free surrogate"):
+        surrogates.replace_pii(spark.createDataFrame([(i, f"Mr {n}") for i, n in enumerate(names)], "doc_id long, text string"))
