@@ -1,15 +1,17 @@
 """License scans: an exact set-similarity join of text blocks with notice templates.
 
-A block is a line with the line after it, so a wrapped notice is still whole.
+A template's blocks are each line with words and the lines after it, those without
+words left out, until the lines after it have as many words as the template: a
+notice that begins in a line ends in its block, however it is wrapped or spaced.
 The join finds every block with |block & template| >= 0.8 * |template|, over
 distinct words.  Words of all templates get one global order, by the number of
-documents that have them, rarest first.  A block that meets the threshold has
-one of the first |template| - needed + 1 words of the template (prefix filter),
-has at least `needed` words (length filter), and its first shared word, at place
-p of the template, leaves enough words after it (positional filter: all before
-p are missing).  Only survivors are verified.  The templates are a fixed list,
-so their index is literal; documents without any prefix word are never cut into
-blocks.  DataFrame functions only.
+documents that have them, rarest first.  A text with a block that meets the
+threshold has one of the first |template| - needed + 1 words of the template
+(prefix filter), at least `needed` words (length filter), and its first shared
+word, at place p of the template, leaves enough words after it (positional
+filter: all before p are missing).  The texts left are cut into blocks, from lines
+that share a word with the template, and verified.  The templates are a fixed
+list, so their index is literal.  DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -77,6 +79,8 @@ def words_of(low: Column) -> Column:
 class Template:
     label: str
     words: tuple[str, ...]
+    #: How many words it has, repeated ones too.
+    length: int
 
     @property
     def needed(self) -> int:
@@ -93,8 +97,9 @@ def ordered_templates(frequency: dict[str, int], templates=TEMPLATES) -> list[Te
 
     found = []
     for label, text in templates:
-        words = {w for w in re.split(SEPARATORS, text) if w}
-        found.append(Template(label, tuple(sorted(words, key=lambda w: (frequency.get(w, 0), w)))))
+        words = [w for w in re.split(SEPARATORS, text) if w]
+        ordered = sorted(set(words), key=lambda w: (frequency.get(w, 0), w))
+        found.append(Template(label, tuple(ordered), len(words)))
     return found
 
 
@@ -119,21 +124,32 @@ def _starts(words: Column, phrase: tuple[str, ...]) -> Column:
     return F.filter(places, here)
 
 
-def _matches(block: Column, templates: list[Template]) -> Column:
-    """For each template that the block's distinct words contain enough of: (label, containment)."""
-    found = []
-    for t in templates:
-        verdict = F.lit(None).cast("struct<label:string,score:double>")
-        shared = F.size(F.array_intersect(block, F.array(*map(F.lit, t.words))))
-        full = F.when(shared >= t.needed, F.struct(F.lit(t.label).alias("label"), (shared / len(t.words)).alias("score")))
-        may = F.lit(False)
-        for place, word in enumerate(t.prefix):
-            # words before this place are missing; what stands from here on must still reach the need
-            if len(t.words) - place >= t.needed:
-                may = may | F.array_contains(block, word)
-        verdict = F.when((F.size(block) >= t.needed) & may, full).otherwise(verdict)
-        found.append(verdict)
-    return F.filter(F.array(*found), lambda m: m.isNotNull())
+def _block(lines: Column, first: Column, i: Column, length: int) -> Column:
+    """The words of line i and of the lines after it, until those have as many words as given."""
+    empty = F.struct(first.alias("words"), F.lit(0).alias("after"))
+
+    def add(block: Column, line: Column) -> Column:
+        longer = F.struct(F.concat(block["words"], line).alias("words"), (block["after"] + F.size(line)).alias("after"))
+        return F.when(block["after"] < length, longer).otherwise(block)
+
+    # no line is without words, so `length` lines are enough
+    return F.aggregate(F.slice(lines, i + 2, F.lit(length)), empty, add)["words"]
+
+
+def _match(words: Column, lines: Column, t: Template) -> Column:
+    """(label, containment) of the best block of a text for a template; null without one."""
+    own = F.array(*map(F.lit, t.words))
+    may = F.lit(False)
+    for place, word in enumerate(t.prefix):
+        # words before this place are missing; what stands from here on must still reach the need
+        if len(t.words) - place >= t.needed:
+            may = may | F.array_contains(words, word)
+    may = (F.size(words) >= t.needed) & may & (F.size(F.array_intersect(words, own)) >= t.needed)
+    shared = F.array_max(
+        F.transform(lines, lambda line, i: F.when(F.arrays_overlap(line, own), F.size(F.array_intersect(_block(lines, line, i, t.length), own))))
+    )
+    best = F.when(may, shared)
+    return F.when(best >= t.needed, F.struct(F.lit(t.label).alias("label"), (best / len(t.words)).alias("score")))
 
 
 def scan_licenses(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
@@ -158,16 +174,14 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     base = [F.when(F.col("low").rlike(separated), _starts(words, p)).otherwise(none) for p, _ in PHRASES]
     rows = rows.withColumn("base", F.array(*base))
 
-    lines = F.split(F.col("low"), "\n")
-    blocks = F.transform(lines, lambda line, i: F.concat_ws("\n", line, F.get(lines, i + 1)))
     trigger = F.arrays_overlap(words, F.array(*map(F.lit, triggers)))
-    hit = F.filter(
-        F.transform(blocks, lambda b: F.array_distinct(words_of(b))),
-        lambda b: F.arrays_overlap(b, F.array(*map(F.lit, triggers))),
-    )
-    matched = F.flatten(F.transform(hit, lambda b: _matches(b, ordered)))
+    lines = F.filter(F.transform(F.split(F.col("low"), "\n"), words_of), lambda line: F.size(line) > 0)
+    rows = rows.withColumn("lines", F.when(trigger, lines))
+    # filters by text need only the words that templates have
+    rows = rows.withColumn("known", F.when(trigger, F.array_intersect(words, F.array(*map(F.lit, vocabulary)))))
+    found = F.filter(F.array(*[_match(F.col("known"), F.col("lines"), t) for t in ordered]), lambda m: m.isNotNull())
     nothing = F.array().cast("array<struct<label:string,score:double>>")
-    rows = rows.withColumn("matched", F.when(F.size(words) > 0, F.when(trigger, matched)).otherwise(nothing))
+    rows = rows.withColumn("matched", F.when(F.col("known").isNotNull(), found))
     rows = rows.withColumn("matched", F.coalesce("matched", nothing))
 
     places = F.flatten("base")

@@ -3,12 +3,13 @@
 import hashlib
 import random
 import re
+import textwrap
 from collections import Counter, defaultdict
 
 import duckdb
 import pytest
 
-from evigrade.llm import mixing, queries, sharding, surrogates
+from evigrade.llm import license_scan, mixing, queries, sharding, surrogates
 
 
 def shards_by_text(spark, texts, shards=16):
@@ -129,3 +130,16 @@ def test_a_format_without_free_values_raises(spark, monkeypatch):
     names = [a + b for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for b in "abcdefghijklmnopqrstuvwxyz"]
     with pytest.raises(RuntimeError, match="no free surrogate"):
         surrogates.replace_pii(spark.createDataFrame([(i, f"Mr {n}") for i, n in enumerate(names)], "doc_id long, text string"))
+
+
+def test_wrapped_and_spaced_notices_are_found(spark):
+    rows, wanted = [], []
+    for label, template in license_scan.TEMPLATES:
+        for columns in (20, 30, 40, 50):
+            for between in ("\n", "\n\n", "\r\n \r\n", "\n# "):
+                rows.append((len(rows), "first line\nsecond: " + between.join(textwrap.wrap(template, columns)) + " end\nlast line"))
+                wanted.append(label)
+    rows.append((len(rows), "mit\n" + "other words here\n" * 9 + "license"))
+    found = {r.doc_id: r.labels.split(",") for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [i for i, label in enumerate(wanted) if label not in found[i]] == []
+    assert found[len(wanted)] == [""]
