@@ -1,9 +1,9 @@
 """Connected components by alternating large-star and small-star steps.
 
 Each step rewires edges towards the smallest neighbour and keeps their number
-linear.  Minima are partial aggregates and come back through shuffle joins that
-AQE can split, so a star whose centre touches a third of all edges is no
-single task's work.  Every round is cut in the shared folder.
+linear.  Minima are partial aggregates and come back through salted joins, so a
+star whose centre touches a third of all edges is no single task's work.  Every
+round is cut in the shared folder.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evigrade.llm.skew import HOT_ROWS, salted_join
 from evigrade.session import cut
 
 MAX_ROUNDS = 60
@@ -20,17 +21,19 @@ def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, n: int) -> DataFrame:
     links = _both_ways(edges)
     least = links.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    moved = links.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.where("u <> v").distinct()
+    moved = salted_join(links.where("v > u"), least, ["u"], ["v"], total=n)
+    return moved.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, n: int) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    if n > HOT_ROWS:
+        down = cut(down)
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = salted_join(down, least, ["u"], ["v"], total=n).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 
@@ -51,7 +54,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         if not seen[0]:
             break
-        now = cut(_small_star(_large_star(now)))
+        now = cut(_small_star(_large_star(now, seen[0]), seen[0]))
         if (state := _state(now)) == seen:
             break
         seen = state
