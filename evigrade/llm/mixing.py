@@ -117,7 +117,6 @@ def mix_plan(
     """
     order = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     sized = docs.select("doc_id", "source", count_words(F.col("text")).alias("size"), order.alias("place"), *keep)
-    sized = cut(sized)
     sized = sized.withColumn("bucket", F.substring("place", 1, BUCKET_DIGITS))
     sized = sized.withColumn("stream", F.coalesce(F.concat(F.lit("="), "source"), F.lit("null")))
     buckets = cut(sized.groupBy("stream", "bucket").agg(F.first("source").alias("source"), F.sum("size").alias("words")))
@@ -150,31 +149,26 @@ def mix_plan(
     return placed.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "takes", *keep)
 
 
-def row_key() -> Column:
-    """What names a row by its doc_id and text."""
-    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.xxhash64("text"))
-
-
 def mix_documents(docs: DataFrame) -> DataFrame:
     """docs as the mix takes them, range-sorted by the time at which each take is due.
 
     Same columns as docs.  A document that is taken twice has two rows; one that is
     taken in part has its first words only, with the white space between them,
-    and n_chars, if there, is that of the text.  Equal rows count one by one.
+    and n_chars, if there, is that of the text.  Every row is taken by itself, also
+    one that repeats a doc_id.  Null texts, empty ones and those of white space have no
+    words and are never taken.  A null source is a source of its own.  An empty
+    table gives an empty result.
     """
-    keyed = docs.withColumn("_key", row_key())
-    plan = mix_plan(keyed, keep=["_key"]).where("taken > 0")
-    takes = plan.groupBy("_key").agg(F.flatten(F.collect_list("takes")).alias("_takes"))
-    first = Window.partitionBy("_key").orderBy("_key")
-    met = keyed.join(takes, "_key").withColumn("_first", F.row_number().over(first)).where("_first = 1")
-    rows = met.withColumn("_take", F.explode("_takes"))
-    words = F.col("_take")["words"]
-    part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0)), 1, words.cast("int")), "")
-    shown = F.when(words >= count_words(F.col("text")), F.col("text")).otherwise(part)
-    rows = rows.withColumn("text", shown)
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast("long"))
-    return rows.orderBy(F.col("_take")["time"], "_key", F.col("_take")["copy"]).select(*docs.columns)
+    whole = F.struct(*[F.col(f"`{c}`").alias(c) for c in docs.columns]).alias("_doc")
+    plan = mix_plan(docs.select("doc_id", "text", "source", whole), keep=["_doc"])
+    takes = plan.select("doc_id", "source", "size", F.explode("takes").alias("take"), "_doc")
+    takes = takes.orderBy("take.time", "source", "take.copy", "doc_id")
+    words, text = F.col("take.words"), F.col("_doc.text")
+    part = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0)), 1, words.cast("int")), "")
+    shown = F.when(words >= F.col("size"), text).otherwise(part)
+    takes = takes.withColumn("shown", shown)
+    changed = {"text": F.col("shown"), "n_chars": F.length("shown").cast("long")}
+    return takes.select(*[changed.get(c, F.col(f"_doc.`{c}`")).alias(c) for c in docs.columns])
 
 
 def training_order(plan: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -198,8 +192,12 @@ def training_order(plan: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def mix_positions(docs: DataFrame) -> DataFrame:
-    """mix_plan() of docs in which each of `takes` also has its position in the training order."""
-    plan = cut(mix_plan(docs.withColumn("_row", F.monotonically_increasing_id()), keep=["_row"]))
+    """mix_plan() of docs in which each of `takes` also has its position in the training order.
+
+    Nulls, empty texts, repeated rows and an empty table are as in mix_plan().
+    """
+    numbered = docs.select("doc_id", "text", "source", F.monotonically_increasing_id().alias("_row"))
+    plan = cut(mix_plan(numbered, keep=["_row"]))
     take = F.struct("copy", "words", "time", "position")
     ordered = training_order(plan, ["_row"]).groupBy("_row").agg(F.array_sort(F.collect_list(take)).alias("takes"))
     nothing = F.array().cast("array<struct<copy:int,words:bigint,time:double,position:bigint>>")

@@ -5,12 +5,13 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from evigrade.llm.embedding_join import cosine_links
 from evigrade.llm.fingerprints import fingerprints_with_edits
 from evigrade.llm.license_scan import scan_licenses
 from evigrade.llm.minhash_dedup import near_duplicates
-from evigrade.llm.mixing import mix_positions
+from evigrade.llm.mixing import SCHEDULES, mix_positions
 from evigrade.llm.packing import pack_documents
 from evigrade.llm.rollups import RollupStore, count_documents, inserts, revisions
 from evigrade.llm.sharding import balanced_shards
@@ -67,9 +68,25 @@ def op9_balanced_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The SQL has the first five columns; takes has (copy, words, time, position) of each time a document is due."""
+    """What the mix takes, and when and at which position of the training order each of a document's two copies is due."""
     plan = mix_positions(load(spark, sf_dir, "documents"))
-    return plan.select("doc_id", "size", "source_size", "target", "taken", "takes")
+
+    def of_copy(copy: int):
+        return F.get(F.filter("takes", lambda take: take["copy"] == copy), F.lit(0))
+
+    due = [of_copy(0), of_copy(1)]
+    times = [F.round(take["time"], 9).alias(f"{name}_time") for name, take in zip(("first", "second"), due)]
+    positions = [take["position"].alias(f"{name}_position") for name, take in zip(("first", "second"), due)]
+    return plan.select("doc_id", "size", "source_size", "target", "taken", *times, *positions)
+
+
+def _knots() -> str:
+    """The sources' schedules as rows of SQL values: class, piece, its two times and two multipliers."""
+    rows = []
+    for kind, knots in enumerate(SCHEDULES):
+        for piece, ((a, u), (b, v)) in enumerate(zip(knots, knots[1:])):
+            rows.append(f"({kind}, {piece}, {a!r}e0, {b!r}e0, {u!r}e0, {v!r}e0)")
+    return ", ".join(rows)
 
 
 QUERIES = {
@@ -88,14 +105,26 @@ QUERIES = {
 #: DuckDB SQL for the same rows.
 ORACLES: dict[str, str] = {
     "op10_source_mixing": r"""
-WITH sized AS (
+WITH knots(kind, piece, a, b, u, v) AS (
+  VALUES """
+    + _knots()
+    + r"""
+), areas AS (
+  SELECT *, (b - a) * (u + v) / 2 AS own, sum((b - a) * (u + v) / 2) OVER (PARTITION BY kind) AS area FROM knots
+), pieces AS (
+  SELECT kind, piece, a AS start, u / area AS weight, (v - u) / area / (b - a) AS slope,
+         coalesce(sum(own / area) OVER (PARTITION BY kind ORDER BY piece
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM areas
+), sized AS (
   SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS place,
          CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
   FROM documents
 ), totals AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source
 ), weighted AS (
-  SELECT *, CAST([5, 2, 1][1 + (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3] AS DOUBLE) AS weight,
+  SELECT *, (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 AS kind,
+         CAST([5, 2, 1][1 + (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3] AS DOUBLE) AS weight,
          CAST(source_size * 2 AS DOUBLE) AS most
   FROM totals
 ), levels AS (
@@ -106,19 +135,36 @@ WITH sized AS (
                                 ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
   FROM weighted
 ), targets AS (
-  SELECT source, source_size,
+  SELECT source, source_size, kind,
          CASE WHEN most / weight <= level THEN most
               ELSE weight * max(CASE WHEN most / weight > level THEN level END) OVER () END AS target
   FROM levels
 ), placed AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target, CAST(floor(t.target + 0.5) AS BIGINT) AS wanted,
+  SELECT d.doc_id, d.source, t.kind, d.size, t.source_size, t.target, CAST(floor(t.target + 0.5) AS BIGINT) AS wanted,
          CAST(coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place, d.size
                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
   FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+), takes AS (
+  SELECT *, start + copy * source_size AS begins,
+         CAST(least(greatest(wanted - start - copy * source_size, 0), size) AS BIGINT) AS words
+  FROM placed, (VALUES (0), (1)) AS copies(copy)
+), due AS (
+  SELECT t.*, p.start + CASE WHEN p.weight + sqrt(greatest(p.weight * p.weight + 2 * p.slope * rest, 0)) = 0 THEN 0
+                             ELSE 2 * rest / (p.weight + sqrt(greatest(p.weight * p.weight + 2 * p.slope * rest, 0))) END AS time
+  FROM (SELECT t.*, q.piece, greatest(t.begins / t.wanted - q.before, 0) AS rest,
+               row_number() OVER (PARTITION BY t.doc_id, t.copy ORDER BY q.piece DESC) AS later
+        FROM takes t JOIN pieces q ON q.kind = t.kind AND (q.piece = 0 OR t.begins / t.wanted >= q.before)
+        WHERE t.words > 0) t
+  JOIN pieces p ON p.kind = t.kind AND p.piece = t.piece WHERE later = 1
+), ordered AS (
+  SELECT doc_id, copy, least(time, 1) AS time,
+         row_number() OVER (ORDER BY least(time, 1), source ASC NULLS FIRST, copy, doc_id ASC NULLS FIRST) - 1 AS position FROM due
 )
-SELECT doc_id, size, source_size, target,
-       CAST(least(greatest(wanted - start, 0), size)
-            + least(greatest(wanted - start - source_size, 0), size) AS BIGINT) AS taken
-FROM placed
+SELECT p.doc_id, p.size, p.source_size, p.target,
+       CAST(least(greatest(p.wanted - p.start, 0), p.size)
+            + least(greatest(p.wanted - p.start - p.source_size, 0), p.size) AS BIGINT) AS taken,
+       round(f.time, 9) AS first_time, round(s.time, 9) AS second_time,
+       f.position AS first_position, s.position AS second_position
+FROM placed p LEFT JOIN ordered f ON f.doc_id = p.doc_id AND f.copy = 0 LEFT JOIN ordered s ON s.doc_id = p.doc_id AND s.copy = 1
 """,
 }

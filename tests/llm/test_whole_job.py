@@ -70,11 +70,11 @@ def due(share, knots):
     return low
 
 
-def test_mixing_positions_equal_brute_force(spark, tmp_path):
+def test_mixing_positions_equal_brute_force(spark):
     rng = random.Random(8)
     rows = [(i, " ".join(["w"] * rng.randint(0, 30)), rng.choice(["a", "a", "a", "b", "c", None])) for i in range(300)]
-    spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6).write.parquet(f"{tmp_path}/documents.parquet")
-    found = {r.doc_id: r for r in queries.op10_source_mixing(spark, str(tmp_path)).collect()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    found = {r.doc_id: r for r in mixing.mix_positions(docs).collect()}
     assert len(found) == 300
     order = []
     names = sorted({s for _, _, s in rows if s}) + [None]
@@ -100,8 +100,22 @@ def test_mixing_keeps_the_rows_of_its_sql(spark):
     db = duckdb.connect()
     db.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet')")
     asked = db.sql(queries.ORACLES["op10_source_mixing"])
-    found = queries.op10_source_mixing(spark, folder).select(*asked.columns).collect()
-    assert sorted(map(tuple, found)) == sorted(asked.fetchall())
+    found = queries.op10_source_mixing(spark, folder)
+    assert sorted(found.columns) == sorted(asked.columns)
+    assert sorted(map(tuple, found.select(*asked.columns).collect())) == sorted(asked.fetchall())
+
+
+def test_mixed_documents_come_in_the_order_of_their_positions(spark):
+    rng = random.Random(9)
+    rows = [(i % 50, " ".join(f"w{i}" for _ in range(rng.randint(0, 9))), rng.choice(["a", "a", "b", None]), 0, i) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long, _doc int").repartition(4)
+    got = mixing.mix_documents(docs).collect()
+    assert got and [c for c in got[0].__fields__] == docs.columns and all(r.n_chars == len(r.text) for r in got)
+    plan = mixing.mix_positions(docs).collect()
+    assert sum(r.taken for r in plan) == sum(len(r.text.split()) for r in got)
+    wanted = sorted((t.position, r.doc_id, t.words) for r in plan for t in r.takes)
+    # rows that repeat a doc_id at one time and copy may swap
+    assert [(i, n) for _, i, n in wanted] == [(r.doc_id, len(r.text.split())) for r in got]
 
 
 def test_names_beyond_the_pool_stay_distinct(spark):
