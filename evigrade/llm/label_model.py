@@ -14,6 +14,7 @@ import numpy as np
 
 #: Mutual information given the class, in nats, above which two voters count as correlated.
 CORRELATED = 0.01
+#: Voters of a clique at most: its table has 3 ** CLIQUE states, each worth the rows that tell of it.
 CLIQUE = 3
 #: Rows that the belief in voters is worth.
 BELIEF = 40.0
@@ -113,7 +114,7 @@ def fit_label_model(votes: np.ndarray, counts: np.ndarray, label: int | None = N
     voters = [v for v in range(votes.shape[1]) if v != label]
     single = [[v] for v in range(votes.shape[1])]
     told = votes[:, label] > 0 if label is not None else np.zeros(len(votes), bool)
-    if counts[told].sum() >= 100:
+    if told.any():
         p = np.where(votes[told, label] == 2, 0.97, 0.03)
         seen, weight = votes[told], counts[told]
     else:

@@ -1,7 +1,7 @@
 """Toxicity by weak supervision.
 
-1. A bounded sample of labelled rows shows which words and word beginnings mark
-   toxic texts: mined lexicons, by whole word and by beginning.
+1. All training rows with labels, equal texts once, show which words and word beginnings
+   mark toxic texts: mined lexicons, by whole word and by beginning.
 2. One pass over all whole texts lets every voter speak (fixed lexicons, mined
    lexicons, patterns) and notes which mined features a text has.
 3. Counts of vote patterns over all training rows, labels being one more voter
@@ -26,31 +26,38 @@ from pyspark.sql import functions as F
 
 from evigrade.llm import text_kernel as tk
 from evigrade.llm.label_model import LabelModel, fit_label_model, fit_linear
+from evigrade.llm.skew import unused
 from evigrade.session import cut
 
-#: Labelled rows from which lexicons are mined, and rows on which the classifier is fitted, at most.
+#: Rows on which the linear classifier is fitted, at most, those with labels first.  All counts are over all rows.
 SAMPLE_ROWS = 20_000
-#: Mined features kept at most.
-FEATURES = 4096
+#: Features that should reach each toxic training row, where so many are telling.
+REACH = 2
 #: Bytes of the word beginnings that are features beside whole words.
 BEGINNINGS = (4, 5, 6, 7, 8, 9)
 THRESHOLD = 0.3
 _BITS = 22
 
-#: Fixed lexicons: words that insult.
-LEXICON_EN = """idiot idiots moron morons stupid dumb loser losers pathetic worthless scum trash clown disgusting
-imbecile jerk bastard bitch asshole crap freak filthy vermin retard shit fuck fucking whore slut pig ugly hate
-garbage coward creep liar"""
-LEXICON_OTHER = """idiota imbécil estúpido basura asqueroso maldito cabrón puta mierda idiotin dummkopf arschloch
-abschaum wertlos ekelhaft scheiße trottel hurensohn débile imbécile connard salaud ordure minable crétin dégueulasse
-putain merde"""
-_SPOKEN = (
-    re.compile(r"\b(?:shut up|go to hell|kill yourself|nobody likes you|you are (?:a|an|so) \w+ (?:idiot|loser|moron)|"
-               r"i hate you|get lost|drop dead)\b", re.I),
-    re.compile(r"\b(?:[i1!]d[i1!]0t|m0r0n|l0s[e3]r|st[u\*]p[i1]d|b[i1\*]tch|sh[i1\*]t|f[u\*]ck|a\$\$)\b", re.I),
-)
-
-VOTERS = ("lexicon_en", "lexicon_other", "mined_words", "mined_beginnings", "several_hits", "spoken", "masked", "shouting")
+#: Fixed lexicons, one voter each: words that insult, swear or call people things, by language.
+LEXICONS = {
+    "insults_en": """idiot idiots moron morons stupid dumb loser losers pathetic worthless clown imbecile jerk ugly
+coward creep liar""",
+    "contempt_en": "scum trash disgusting freak filthy vermin garbage hate retard pig",
+    "profanity_en": "bastard bitch asshole crap shit fuck fucking whore slut",
+    "lexicon_es": "idiota imbécil estúpido basura asqueroso maldito cabrón puta mierda",
+    "lexicon_de": "idiotin dummkopf arschloch abschaum wertlos ekelhaft scheiße trottel hurensohn",
+    "lexicon_fr": "débile imbécile connard salaud ordure minable crétin dégueulasse putain merde",
+}
+#: Patterns, one voter each.
+SPOKEN = {
+    "spoken": re.compile(r"\b(?:shut up|nobody likes you|you are (?:a|an|so) \w+ (?:idiot|loser|moron)|i hate you|get lost)\b", re.I),
+    "threats": re.compile(r"\b(?:go to hell|kill yourself|drop dead|hope you die|i will (?:kill|hurt) you)\b", re.I),
+    "masked": re.compile(r"\b(?:[i1!]d[i1!]0t|m0r0n|l0s[e3]r|st[u\*]p[i1]d|b[i1\*]tch|sh[i1\*]t|f[u\*]ck|a\$\$)\b", re.I),
+    "named": re.compile(r"\byou (?:are |all |\w{1,9} ){0,2}(?:idiot|moron|loser|scum|trash|liar|coward|clown|freak)s?\b", re.I),
+}
+
+VOTERS = (*LEXICONS, "mined_words", "mined_beginnings", "several_hits", *SPOKEN, "shouting")
+_FIRST_MINED, _FIRST_SPOKEN = len(LEXICONS), len(LEXICONS) + 3
 #: What a text without any hit must have, in words, to count as clean for the mined voters.
 CLEAN_WORDS = 3
 
@@ -84,90 +91,112 @@ def _lower(column: pa.Array) -> pa.Array:
     return pc.utf8_lower(tk.as_strings(column))
 
 
-def sample_features(docs: DataFrame) -> DataFrame:
-    """(doc_id, features): the distinct features of each text."""
+def _feature_rows(docs: DataFrame, schema: str, make) -> DataFrame:
+    """Run make(features, rows, toxic, part) over the distinct (text, feature) pairs of slices of (row, toxic, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         separates, codes = tk.separators("alnum"), tk.byte_codes()
         for batch in batches:
-            for part in tk.slices(_lower(batch.column(1))):
+            names, toxic = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            for part in tk.slices(_lower(batch.column(2))):
                 words = tk.scan_words(part, separates, codes)
-                sets = [_short(h) + (i << _BITS) for i, h in enumerate(_features(words))]
-                empty = [h == 0 for h in _features(words)]
-                values, bounds = [], [0]
-                for t in range(part.last - part.first):
-                    low, high = words.first_of[t], words.first_of[t + 1]
-                    own = np.concatenate([s[low:high][~e[low:high]] for s, e in zip(sets, empty)])
-                    values.append(np.unique(own))
-                    bounds.append(bounds[-1] + len(values[-1]))
-                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate(values)))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(part.first, part.last - part.first), lists], names=["doc_id", "features"]
-                )
+                pairs = []
+                for i, hashes in enumerate(_features(words)):
+                    at = np.flatnonzero(hashes != 0)
+                    pairs.append(words.text[at].astype(np.int64) << 32 | (_short(hashes[at]).astype(np.int64) + (i << _BITS)))
+                pairs = np.unique(np.concatenate(pairs))
+                own = slice(part.first, part.last)
+                yield make(pairs & 0xFFFFFFFF, pairs >> 32, names[own], toxic[own])
+
+    return docs.select("row", "toxic", "text").mapInArrow(run, schema)
+
+
+def count_features(docs: DataFrame) -> DataFrame:
+    """(feature, a, n): toxic weight and number of the texts (row, toxic, text) that have each feature."""
+
+    def make(features, at, names, toxic):
+        found, inverse = np.unique(features, return_inverse=True)
+        a = np.bincount(inverse, toxic[at], len(found))
+        n = np.bincount(inverse, minlength=len(found))
+        return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(a), pa.array(n)], names=["feature", "a", "n"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, features array<int>")
+    counts = _feature_rows(docs, "feature int, a double, n long", make)
+    return counts.groupBy("feature").agg(F.sum("a").alias("a"), F.sum("n").alias("n"))
 
 
-def wilson_low(a: np.ndarray, n: np.ndarray, z: float = 2.0) -> np.ndarray:
+def meet_features(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """(row, toxic, feature): which of the wanted features each text (row, toxic, text) has."""
+    bitmap = np.zeros((1 + len(BEGINNINGS)) << _BITS, bool)
+    bitmap[wanted] = True
+    packed = np.packbits(bitmap)
+
+    def make(features, at, names, toxic):
+        keep = np.unpackbits(packed)[features] > 0
+        at = at[keep]
+        columns = [pa.array(names[at]), pa.array(toxic[at]), pa.array(features[keep].astype(np.int32))]
+        return pa.RecordBatch.from_arrays(columns, names=["row", "toxic", "feature"])
+
+    return _feature_rows(docs, "row long, toxic double, feature int", make)
+
+
+def wilson_low(a: Column, n: Column, z: float) -> Column:
     """The lower end of the Wilson interval of a share."""
-    n = np.maximum(n, 1e-9)
     share = a / n
-    return (share + z * z / (2 * n) - z * np.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+    return (share + z * z / (2 * n) - z * F.sqrt(F.greatest(share * (1 - share), F.lit(0.0)) / n + z * z / (4 * n * n))) / (1 + z * z / n)
 
 
-def cover(rows: np.ndarray, columns: np.ndarray, toxic: np.ndarray, width: int, times: int = 2) -> list[int]:
-    """Few features that reach every toxic row `times` times, where they can.
+def cover(met: DataFrame, times: int = REACH) -> list[int]:
+    """Features that reach every toxic row `times` times, where they can.
 
-    Features are taken by the toxic rows that they add, among rows not yet
-    reached; their share of toxic rows there must be safely above one half.  So
-    words that only come along with telling ones, as in copies of one toxic
-    text, are not taken.
+    met: (row, toxic, feature).  In each round every open toxic row names the feature
+    that adds most toxic rows, among rows not yet reached; its share of toxic rows
+    there must be safely above one half (Wilson, z = 2.6).  The features named are
+    taken and rows that they reach `times` times close.  So words that only come
+    along with telling ones, as in copies of one toxic text, are not taken.
     """
-    left = np.full(len(toxic), times)
     taken: list[int] = []
-    free = np.ones(width, bool)
+    open_rows = met
     while True:
-        open_rows = (left > 0)[rows]
-        n = np.bincount(columns[open_rows], minlength=width).astype(float)
-        a = np.bincount(columns[open_rows], toxic[rows[open_rows]], width)
-        low = wilson_low(a, n, 2.6)
-        gain = np.where(free & (low > 0.5), a * low, 0)
-        best = int(gain.argmax()) if width else 0
-        if not width or gain[best] <= 0:
+        counts = open_rows.groupBy("feature").agg(F.sum("toxic").alias("a"), F.count("*").alias("n"))
+        low = wilson_low(F.col("a"), F.col("n"), 2.6)
+        good = counts.withColumn("gain", F.when(low > 0.5, F.col("a") * low)).where("gain is not null")
+        best = F.max_by("feature", F.struct("gain", -F.col("feature")))
+        named = open_rows.where("toxic > 0.5").join(good.select("feature", "gain"), "feature").groupBy("row").agg(best.alias("feature"))
+        new = cut(named.select("feature").distinct())
+        found = [r[0] for r in new.collect()]
+        if not found:
             return taken
-        taken.append(best)
-        free[best] = False
-        left[rows[columns == best]] -= 1
+        taken += sorted(found)
+        hit = open_rows.join(F.broadcast(new), "feature")
+        reached = hit.groupBy("row").agg(F.count("*").alias("now"))
+        left = open_rows.join(F.broadcast(new), "feature", "left_anti").join(reached, "row", "left")
+        left = left.withColumn("hits", F.col("hits") + F.coalesce("now", F.lit(0))) if "hits" in left.columns else left.withColumn("hits", F.coalesce("now", F.lit(0)))
+        open_rows = cut(left.where(F.col("hits") < times).drop("now"))
 
 
-def mine_features(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, most: int = FEATURES) -> list[int]:
-    """Features that mark toxic texts in a bounded sample of training labels.
+def mine_features(docs: DataFrame, labels: DataFrame) -> list[int]:
+    """Features that mark toxic texts among all training labels.
 
-    Candidates have the lower end of the Wilson interval (z = 2) of their share
-    of toxic texts above one half; cover() takes from them.
+    Equal texts count once, with the mean of their labels.  Candidates have the lower end
+    of the Wilson interval (z = 2) of their share of toxic texts above one half;
+    cover() takes from them.  There are no more features than hashes, 7 * 2 ** 22.
     """
-    train = labels.where(~held_out(F.col("doc_id"))).select(F.col("doc_id").cast("long"), "toxic")
+    train = labels.where(~held_out(F.col("doc_id"))).select(F.col("doc_id").cast("long"), F.col("toxic").cast("double"))
     train = train.where("doc_id is not null and toxic is not null")
-    sample = train.orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(rows)
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(sample), "doc_id")
-    found = sample_features(texts.select("doc_id", "text")).join(F.broadcast(sample), "doc_id")
-    seen = cut(found.select("doc_id", "toxic", F.explode("features").alias("feature")))
-    counts = seen.groupBy("feature").agg(F.sum(F.col("toxic").cast("double")).alias("a"), F.count("*").alias("n"))
-    share, n, z = F.col("a") / F.col("n"), F.col("n"), 2.0
-    low = (share + z * z / (2 * n) - z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
-    best = counts.withColumn("low", low).where("low > 0.5").orderBy(F.desc("low"), F.desc("n"), "feature").limit(most)
-    best = cut(best.select("feature"))
-    met = seen.join(F.broadcast(best), "feature").orderBy("doc_id", "feature").toArrow()
-    ids, row = np.unique(met["doc_id"].to_numpy(), return_inverse=True)
-    features, column = np.unique(met["feature"].to_numpy(), return_inverse=True)
-    toxic = np.zeros(len(ids))
-    toxic[row] = met["toxic"].to_numpy()
-    return [int(features[i]) for i in cover(row, column, toxic, len(features))]
+    given = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("row"), "text")
+    single = given.select("doc_id", "row").join(train, "doc_id").groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.avg("toxic").alias("toxic"))
+    single = cut(single)
+    texts = given.join(single, ["doc_id", "row"])
+    counts = count_features(texts).where(wilson_low(F.col("a"), F.col("n"), 2.0) > 0.5)
+    wanted = counts.select("feature").toArrow()["feature"].to_numpy()
+    if not len(wanted):
+        return []
+    return cover(cut(meet_features(texts, wanted)))
 
 
 def fixed_features() -> list[int]:
     """The features of the fixed lexicons' words."""
-    return [int(f) for f in np.unique(np.concatenate([_short(_lexicon(w)) for w in (LEXICON_EN, LEXICON_OTHER)]))]
+    return [int(f) for f in np.unique(np.concatenate([_short(_lexicon(w)) for w in LEXICONS.values()]))]
 
 
 def _lexicon(words: str) -> np.ndarray:
@@ -194,7 +223,7 @@ def read_texts(docs: DataFrame, features: list[int], mined: set[int]) -> DataFra
         for feature, i in place.items():
             tables[feature >> _BITS, feature & ((1 << _BITS) - 1)] = i
         lexicons = []
-        for words in (LEXICON_EN, LEXICON_OTHER):
+        for words in LEXICONS.values():
             members = _lexicon(words)
             table = np.zeros(1 << _BITS, bool)
             table[_short(members)] = True
@@ -218,14 +247,14 @@ def read_texts(docs: DataFrame, features: list[int], mined: set[int]) -> DataFra
                 clean = count >= CLEAN_WORDS
                 rows = np.concatenate([r for r, _ in kinds])
                 hits = np.concatenate([h for _, h in kinds])
-                for v, some in ((2, kinds[:1]), (3, kinds[1:])):
+                for v, some in ((_FIRST_MINED, kinds[:1]), (_FIRST_MINED + 1, kinds[1:])):
                     votes[clean, v] = 1
                     votes[np.concatenate([r[is_mined[h]] for r, h in some]), v] = 2
                 pairs = np.unique(rows.astype(np.int64) << 32 | hits)
                 rows, hits = (pairs >> 32).astype(np.int64), (pairs & 0xFFFFFFFF).astype(np.int32)
                 several = np.bincount(rows, minlength=n)
-                votes[several >= 3, 4] = 2
-                votes[clean & (several == 0), 4] = 1
+                votes[several >= 3, _FIRST_MINED + 2] = 2
+                votes[clean & (several == 0), _FIRST_MINED + 2] = 1
                 own = column.slice(part.first, n)
                 texts = own.to_pylist()
                 shape = np.zeros((n, 4))
@@ -240,10 +269,10 @@ def read_texts(docs: DataFrame, features: list[int], mined: set[int]) -> DataFra
                 shape[:, 2] = np.diff(loud[raw.offsets]) / size
                 shape[:, 3] = np.minimum(several, 8)
                 for i, text in enumerate(texts):
-                    for v, pattern in enumerate(_SPOKEN, 5):
+                    for v, pattern in enumerate(SPOKEN.values(), _FIRST_SPOKEN):
                         if pattern.search(text):
                             votes[i, v] = 2
-                votes[(shape[:, 1] > 0.3) & (shape[:, 2] > 0.02), 7] = 2
+                votes[(shape[:, 1] > 0.3) & (shape[:, 2] > 0.02), -1] = 2
                 bounds = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=n))]).astype(np.int32)
                 code = np.zeros(n, np.int64)
                 for v in range(len(VOTERS)):
@@ -283,13 +312,11 @@ class ToxicityModel:
 
     def score(self, seen: DataFrame) -> DataFrame:
         """Add the probability that a text is toxic to what read_texts() found."""
-        weights = F.array(*[F.lit(float(w)) for w in self.weights]) if len(self.weights) else F.array(F.lit(0.0))
-        one_row = seen.sparkSession.range(1).select(weights.alias("w"))
-        logit = F.aggregate("hits", F.lit(self.bias), lambda total, i: total + F.element_at(F.col("w"), i + 1))
+        weights = F.lit([float(w) for w in self.weights] or [0.0])
+        logit = F.aggregate("hits", F.lit(self.bias), lambda total, i: total + F.element_at(weights, i + 1))
         for i, w in enumerate(self.shape_weights.tolist()):
             logit = logit + F.element_at("shape", i + 1) * w
-        scored = seen.join(F.broadcast(one_row)).withColumn("logit", logit)
-        return scored.withColumn("score", 1 / (1 + F.exp(-F.col("logit")))).drop("w", "logit")
+        return seen.withColumn("score", 1 / (1 + F.exp(-logit)))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[ToxicityModel, DataFrame]:
@@ -330,8 +357,12 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     docs: doc_id, text; labels: doc_id, toxic; other columns of either are ignored.
     One row per row: doc_id, held_out, score (0 to 1), predicted (1 if score >= 0.3).
-    Null and empty texts are scored as texts without words.  Of several labels of
-    a document the highest counts; null labels are no labels.  A null doc_id has
+    Lexicons are mined from all training labels and votes are counted over all training
+    rows; the linear classifier is fitted on SAMPLE_ROWS rows at most.  The label model
+    joins up to label_model.CLIQUE correlated voters; weaker correlations beyond that count as
+    independent.  Null and empty texts are scored as texts without words.  Of several
+    labels of a document the highest counts; null labels are no labels.  Rows that repeat a
+    doc_id each get their text's score.  A null doc_id has
     no label and is not held out.  Without any training rows every text gets the
     same low score; an empty table gives an empty result.
     """
@@ -346,8 +377,13 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """docs without the rows whose score is at least the threshold; same columns."""
+    """docs without the rows whose score is at least the threshold; same columns.
+
+    Scores are as in score_documents(), also those of nulls, empty texts and rows that
+    repeat a doc_id; each row goes or stays by its own text.  An empty table gives an empty result.
+    """
     model, seen = fit(docs, labels)
     bad = cut(model.score(seen).where(F.col("score") >= threshold).select("row_key").distinct())
-    keyed = docs.withColumn("row_key", row_key())
-    return keyed.join(bad, "row_key", "left_anti").select(*docs.columns)
+    name = unused("row_key", docs.columns)
+    keyed, bad = docs.withColumn(name, row_key()), bad.withColumnRenamed("row_key", name)
+    return keyed.join(bad, name, "left_anti").select(*docs.columns)
