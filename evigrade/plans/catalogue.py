@@ -14,7 +14,14 @@ from evigrade.functions import urls as U
 from evigrade.functions import vocab
 from evigrade.operators import audit, batch, capture, classify, images, quality, readiness, validate
 from evigrade.plans import synthetic as S
-from evigrade.session import load
+from evigrade import session
+
+
+def load(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """One of the driver's tables, spread over the cores if it is long."""
+    found = session.load(spark, sf, name)
+    return session.spread(found) if name in S.SPREAD else found
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -351,7 +358,7 @@ def capture_score(spark, sf):
 r AS (SELECT *, row_number() OVER (PARTITION BY scrape_id ORDER BY capture_score DESC, md DESC, n_images DESC, ordinal) AS k FROM s WHERE stop IS NULL OR ordinal <= stop)
 SELECT scrape_id, ordinal, fetch_profile, capture_score FROM r WHERE k = 1""")
 def best_capture(spark, sf):
-    best = capture.best_capture(capture.tried_captures(_scored(spark, sf)))
+    best = capture.best_capture(_scored(spark, sf), early_stop=True)
     return best.select("scrape_id", "ordinal", "fetch_profile", "capture_score")
 
 

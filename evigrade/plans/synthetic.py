@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evigrade.session import load
+from evigrade.session import load, spread
 
 PROFILES = ("standard", "load_wait", "full_page_scroll", "expand_common_sections", "extract_gallery_sources", "shadow_iframe", "retry_relaxed")
 
@@ -24,7 +24,8 @@ SELECT concat('p', CAST(p_partkey AS STRING)) AS scrape_id, t.ordinal AS ordinal
        CAST((p_partkey + t.ordinal) % 3 AS INT) AS n_json_ld, CAST(p_partkey % 4 AS INT) AS n_tables,
        CAST(p_partkey % 5 AS INT) AS n_og, CAST(t.ordinal % 2 AS INT) AS n_meta,
        CAST((p_partkey * 3 + t.ordinal) % 16 AS INT) AS n_images
-FROM {part} CROSS JOIN (VALUES (0, 'standard'), (1, 'load_wait'), (2, 'full_page_scroll')) AS t(ordinal, profile)
+FROM {part} CROSS JOIN (VALUES (0, 'standard'), (1, 'load_wait'), (2, 'full_page_scroll'), (3, 'expand_common_sections'),
+  (4, 'extract_gallery_sources'), (5, 'shadow_iframe'), (6, 'retry_relaxed')) AS t(ordinal, profile)
 """
 
 #: A batch result for every line item.
@@ -129,10 +130,13 @@ JOIN {nation} n ON c.c_nationkey = n.n_nationkey JOIN {nation} m ON s.s_nationke
 
 TABLES = ("part", "lineitem", "orders", "supplier", "customer", "nation", "region", "documents", "pages", "events", "benchmark", "embeddings")
 
+SPREAD = ("part", "lineitem", "orders", "documents", "pages", "events")
+
 
 def make(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """The rows of one of the above."""
-    return spark.sql(sql, **{t: load(spark, sf_dir, t) for t in TABLES if f"{{{t}}}" in sql})
+    """The rows of one of the above.  The tables that they are made from are spread first: a row of them makes many."""
+    used = {t: load(spark, sf_dir, t) for t in TABLES if f"{{{t}}}" in sql}
+    return spark.sql(sql, **{t: spread(df) if t in SPREAD else df for t, df in used.items()})
 
 
 def for_oracle(sql: str) -> str:

@@ -44,12 +44,15 @@ _own_dirs: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    It is what spark.checkpoint.dir names.  Only where that is unset, as in
-    local tests, a temporary folder is made, and removed when Python ends.
+    It is what spark.checkpoint.dir names.  Only where that is unset and the master is
+    local, as in tests, a temporary folder is made, and removed when Python
+    ends; a cluster without the setting is an error, as no folder is known to be shared.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dirs:
         made = tempfile.TemporaryDirectory(prefix="evigrade-")
@@ -71,12 +74,17 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/evigrade-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    _cuts.append(path)
+    at_release(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def at_release(path: str) -> None:
+    """Have release() remove a folder under shared_dir()."""
+    _cuts.append(path)
+
+
 def release(spark: SparkSession) -> None:
-    """Remove the tables that cut() wrote; their readers must have ended."""
+    """Remove the tables that cut() wrote and other intermediate folders; their readers must have ended."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     while _cuts:
@@ -94,3 +102,13 @@ def _release_at_exit() -> None:
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the tables under a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores, where its scan has fewer partitions than there are cores.
+
+    A table of one small file is one task, whatever the work for each row; tables of
+    many files or splits are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
