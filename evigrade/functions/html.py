@@ -46,13 +46,8 @@ def head_meta(html: Column | str) -> dict[str, Column]:
     }
 
 
-def json_ld_products(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
-    """One row for each product or offer in a page's JSON-LD.
-
-    Scripts may hold an object, an array or an @graph; types may be arrays; brand may
-    be an object; bad JSON gives nothing.  Columns: key, position, type, name, brand,
-    sku, mpn, gtin, description and price, currency, availability of the first offer.
-    """
+def _json_ld_items(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """(key, script, pos, value): every product or offer of a page's JSON-LD as a variant."""
     scripts = F.regexp_extract_all(
         filled(html), F.lit(r"(?is)<script[^>]+type=[\"']application/ld\+json[\"'][^>]*>(.*?)</script>"), F.lit(1)
     )
@@ -66,6 +61,18 @@ def json_ld_products(pages: DataFrame, key: str, html: str = "html") -> DataFram
     items = listed.lateralJoin(
         listed.sparkSession.tvf.variant_explode_outer(F.col("v").outer())
     ).select(key, "script", F.col("pos"), F.col("value"))
+    kind = F.lower(F.coalesce(F.try_variant_get("value", "$['@type']", "string"), F.lit("")))
+    return items.where(kind.contains("product") | kind.contains("offer"))
+
+
+def json_ld_products(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
+    """One row for each product or offer in a page's JSON-LD.
+
+    Scripts may hold an object, an array or an @graph; types may be arrays; brand may
+    be an object; bad JSON gives nothing.  Columns: key, position, type, name, brand,
+    sku, mpn, gtin, description and price, currency, availability of the first offer.
+    """
+    items = _json_ld_items(pages, key, html)
 
     def text(path: str) -> Column:
         return F.try_variant_get("value", path, "string")
@@ -74,7 +81,7 @@ def json_ld_products(pages: DataFrame, key: str, html: str = "html") -> DataFram
     offer = F.coalesce(F.try_variant_get("value", "$.offers[0]", "variant"), F.try_variant_get("value", "$.offers", "variant"))
     brand = F.coalesce(text("$.brand.name"), F.when(~F.coalesce(text("$.brand"), F.lit("")).startswith("{"), text("$.brand")))
     gtins = [text(f"$.{g}") for g in ("gtin", "gtin13", "gtin14", "gtin12", "gtin8", "ean")]
-    found = items.where(kind.contains("product") | kind.contains("offer")).withColumn("o", offer)
+    found = items.withColumn("o", offer)
     return found.select(
         key,
         (F.col("script") * 1000 + F.coalesce("pos", F.lit(0))).alias("position"),
@@ -91,6 +98,81 @@ def json_ld_products(pages: DataFrame, key: str, html: str = "html") -> DataFram
     )
 
 
+#: Absolute image links anywhere in a page.  A fixed value.
+IMAGE_LINK = r"(?i)https?://[^\s'\")<>]+?\.(?:jpg|jpeg|png|webp|gif)(?:\?[^\s'\")<>]*)?"
+
+
+def linked_images(html: Column | str) -> Column:
+    """Distinct absolute image links of a page, in order, wherever they stand."""
+    return F.array_distinct(F.regexp_extract_all(filled(html), F.lit(IMAGE_LINK), F.lit(0)))
+
+
+def all_images(pages: DataFrame, key: str, url: str = "url", html: str = "html") -> DataFrame:
+    """(key, images): the parser's candidates, then links in the text, then og:image values; the first alt text of a URL stays.
+
+    og:image values count if they are absolute.
+    """
+    meta = head_meta(html)["og"]
+    heroes = F.transform(
+        F.filter(F.map_entries(meta), lambda e: F.lower(e["key"]).endswith("image") & e["value"].rlike("(?i)^https?://")),
+        lambda e: F.struct(e["value"].alias("url"), F.lit("og:image").alias("alt")),
+    )
+    found = F.transform(linked_images(html), lambda u: F.struct(u.alias("url"), F.lit("regex/image-url").alias("alt")))
+    more = pages.select(key, F.concat(found, heroes).alias("_more"))
+    whole = extract_pages(pages, key, url, html).join(more, key).select(key, F.concat("images", "_more").alias("_all"))
+
+    def add(seen: Column, one: Column) -> Column:
+        known = F.exists(seen, lambda i: i["url"] == one["url"])
+        return F.when(known, seen).otherwise(F.concat(seen, F.array(one)))
+
+    none = F.array().cast("array<struct<url:string,alt:string>>")
+    return whole.select(key, F.aggregate("_all", none, add).alias("images"))
+
+
+def compact_offers(offers: Column) -> Column:
+    """Offers given as a variant, an object or an array, as an array of five fields; anything else gives none."""
+    one = F.try_variant_get(offers, "$", "struct<price:string,priceCurrency:string,availability:string,sku:string,url:string>")
+    many = F.try_variant_get(offers, "$", "array<struct<price:string,priceCurrency:string,availability:string,sku:string,url:string>>")
+    kind = F.schema_of_variant(offers)
+    given = F.when(kind.startswith("ARRAY"), many).when(kind.startswith("OBJECT"), F.array(one))
+    made = F.transform(
+        F.filter(given, lambda o: o.isNotNull()),
+        lambda o: F.struct(
+            filled(o["price"]).alias("price"),
+            filled(o["priceCurrency"]).alias("priceCurrency"),
+            F.right(filled(o["availability"]), F.lit(80)).alias("availability"),
+            filled(o["sku"]).alias("sku"),
+            filled(o["url"]).alias("url"),
+        ),
+    )
+    return F.coalesce(made, F.array().cast("array<struct<price:string,priceCurrency:string,availability:string,sku:string,url:string>>"))
+
+
+def json_ld_offers(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
+    """(key, position, name, offers): all offers of each product in a page's JSON-LD."""
+    found = _json_ld_items(pages, key, html)
+    offers = compact_offers(F.try_variant_get("value", "$.offers", "variant"))
+    name = filled(F.try_variant_get("value", "$.name", "string"))
+    position = (F.col("script") * 1000 + F.coalesce("pos", F.lit(0))).alias("position")
+    return found.select(key, position, name.alias("name"), offers.alias("offers"))
+
+
+def overlay_metadata(metadata: Column, html: Column | str) -> dict[str, Column]:
+    """Head fields of a page: a crawler's metadata map first, the HTML for what it lacks; HTML entries of og and product win."""
+    head = head_meta(html)
+    given = F.map_from_entries(F.transform(F.map_entries(metadata), lambda e: F.struct(F.lower(e["key"]), e["value"])))
+    of = lambda prefix: F.map_filter(F.coalesce(given, F.from_json(F.lit("{}"), "map<string,string>")), lambda k, v: k.startswith(prefix) & v.isNotNull())
+    said = lambda name: F.nullif(filled(F.try_element_at(metadata, F.lit(name))), F.lit(""))
+    lower = lambda m: F.map_from_entries(F.transform(F.map_entries(m), lambda e: F.struct(F.lower(e["key"]), e["value"])))
+    return {
+        "title": F.coalesce(said("title"), head["title"]),
+        "description": F.coalesce(said("description"), head["description"]),
+        "canonical_url": head["canonical_url"],
+        "og": F.map_concat(of("og:"), lower(head["og"])),
+        "product_meta": F.map_concat(of("product:"), lower(head["product_meta"])),
+    }
+
+
 class PageParser(HTMLParser):
     """Image candidates with alt texts, and outermost tables, in document order."""
 
@@ -128,7 +210,7 @@ class PageParser(HTMLParser):
             self.depth += 1
             if self.depth == 1:
                 self.tables.append({"rows": [], "caption": ""})
-        elif self.depth:
+        elif self.depth == 1:
             if tag == "tr":
                 self.tables[-1]["rows"].append([])
             elif tag in ("td", "th"):
@@ -141,13 +223,13 @@ class PageParser(HTMLParser):
     def handle_endtag(self, tag):
         if tag == "table" and self.depth:
             self.depth -= 1
-        elif self.depth and tag in ("td", "th") and self.cell is not None:
+        elif self.depth == 1 and tag in ("td", "th") and self.cell is not None:
             rows = self.tables[-1]["rows"]
             if not rows:
                 rows.append([])
             rows[-1].append(" ".join("".join(self.cell).split()).replace("|", "\\|"))
             self.cell = None
-        elif tag == "caption" and self.caption is not None:
+        elif self.depth == 1 and tag == "caption" and self.caption is not None:
             self.tables[-1]["caption"] = " ".join("".join(self.caption).split())
             self.caption = None
 

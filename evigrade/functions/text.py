@@ -162,3 +162,68 @@ def stable_id(c: Column | str, row_number: Column | str) -> Column:
 def vision_verdict(c: Column | str) -> Column:
     """yes, no or empty from a description's first line."""
     return F.lower(F.regexp_extract(filled(c), r"(?i)^\s*RELATED\s*:\s*(yes|no)\b", 1))
+
+
+#: Keys of an object under which its text may stand, in order.
+_PAYLOAD_KEYS = (
+    "raw_markdown", "fit_markdown", "markdown", "markdown_with_citations", "text", "content", "cleaned_html", "html", "body",
+)
+
+
+def payload_text(value: Column, depth: int = 3) -> Column:
+    """The text of a payload given as a variant: a scalar, the first of an object's known keys, or an array's texts by line."""
+    kind = F.schema_of_variant(value)
+    scalar = F.try_variant_get(value, "$", "string")
+    if not depth:
+        return F.when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), "").otherwise(filled(scalar))
+    under = F.array(*[F.try_variant_get(value, f"$.{k}", "variant") for k in _PAYLOAD_KEYS])
+    inner = F.filter(F.transform(under, lambda v: payload_text(v, depth - 1)), lambda t: t != "")
+    items = F.try_variant_get(value, "$", "array<string>")
+    lines = F.array_join(F.filter(items, lambda t: filled(t) != ""), "\n")
+    whole = F.when(kind.startswith("OBJECT"), F.coalesce(F.get(inner, F.lit(0)), F.lit(""))).when(kind.startswith("ARRAY"), filled(lines))
+    return F.when(value.isNull(), "").otherwise(whole.otherwise(filled(scalar)))
+
+
+def strip_json_fence(c: Column | str) -> Column:
+    """A reply without its code fence; of a reply that begins with prose, from the first to the last brace."""
+    c = strip(filled(c))
+    bare = strip(F.regexp_replace(strip(F.regexp_replace(c, r"(?i)^```(?:json)?\s*", "")), r"\s*```$", ""))
+    text = F.when(c.startswith("```"), bare).otherwise(c)
+    inner = F.regexp_extract(text, r"(?s)(\{.*\})", 1)
+    return F.when(text.startswith("{") | text.startswith("[") | (inner == ""), text).otherwise(inner)
+
+
+def json_reply(c: Column | str) -> Column:
+    """The JSON object of a reply as a variant; null for anything else."""
+    value = F.try_parse_json(strip_json_fence(c))
+    return F.when(F.schema_of_variant(value).startswith("OBJECT"), value)
+
+
+def prepend_once(c: Column | str, marker: str, section: Column | str) -> Column:
+    """A section before a text, unless its marker is in the text."""
+    c, section = filled(c), F.lit(section) if isinstance(section, str) else section
+    return F.when(F.contains(c, F.lit(marker)), c).otherwise(F.concat(section, F.lit("\n"), c))
+
+
+def axes_cell(axes: Column | str) -> Column:
+    return F.array_join(F.filter(col(axes), lambda a: filled(a) != ""), ",")
+
+
+def refs_cell(refs: Column | str) -> Column:
+    """The first four references in one cell."""
+    return markdown_cell(F.array_join(F.slice(col(refs), 1, 4), "; "), 360)
+
+
+def numbered_verdicts(c: Column | str, n: Column | int) -> Column:
+    """An array of n verdicts from lines like "2: yes"; others are empty, the last line of a number counts."""
+    n = F.lit(n) if isinstance(n, int) else n
+    lines = F.transform(F.split(filled(c), r"\r\n|[\n\r]"), lambda s: strip(F.regexp_replace(strip(s), r"^[-*•]+", "")))
+    pattern = r"(?i)^\(?([0-9]+)[).:]\s*(yes|no)\b"
+    found = F.transform(
+        F.filter(lines, lambda s: s.rlike(pattern)),
+        lambda s: F.struct(F.regexp_extract(s, pattern, 1).cast("int").alias("i"), F.lower(F.regexp_extract(s, pattern, 2)).alias("v")),
+    )
+    return F.transform(
+        F.sequence(F.lit(1), n),
+        lambda i: F.coalesce(F.get(F.reverse(F.filter(found, lambda f: f["i"] == i)), F.lit(0))["v"], F.lit("")),
+    )

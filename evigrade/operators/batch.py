@@ -8,7 +8,9 @@ from pyspark.sql.window import Window
 
 from evigrade.functions import vocab
 from evigrade.functions.text import digits_only, empty_to_null, filled, int_or, is_true, split_snippets, stable_id, tri_state
+from evigrade.operators.capture import capture_flags
 from evigrade.operators.classify import normal_role
+from evigrade.sources.evidence import evidence_items
 
 
 def first_filled(rows: DataFrame, names: tuple[str, ...], default: str = "") -> Column:
@@ -20,7 +22,11 @@ def first_filled(rows: DataFrame, names: tuple[str, ...], default: str = "") ->
 
 
 def requests_from_rows(rows: DataFrame, row_number: Column | str = "row_number") -> tuple[DataFrame, DataFrame]:
-    """Normalised requests, and the rows that have no URL."""
+    """Normalised requests, and the rows that have no URL.
+
+    Cells that may name files (upstream_ai_evidence, upstream_ai_evidence_file and search_evidence)
+    are taken as texts; batch_csv.inline_or_file() replaces names before.
+    """
     get = lambda name, default="": first_filled(rows, vocab.ALIASES.get(name, (name,)), default)
     number = F.col(row_number) if isinstance(row_number, str) else row_number
     retailer, country = get("retailer_name"), get("country_code")
@@ -40,7 +46,14 @@ def requests_from_rows(rows: DataFrame, row_number: Column | str = "row_number")
         split_snippets(get("candidate_snippets")).alias("candidate_snippets"),
         int_or(get("max_images"), 30).alias("max_images"),
         int_or(get("vision_max"), 12).alias("vision_max"),
+        int_or(get("max_agent_iterations"), 2).alias("max_agent_iterations"),
         tri_state(get("write_raw_debug")).alias("write_raw_debug"),
+        get("retailer_label", "retailer").alias("retailer_label"),
+        F.concat_ws(
+            "\n\n", empty_to_null(get("upstream_ai_evidence")), empty_to_null(get("upstream_ai_evidence_file"))
+        ).alias("ai_mode_evidence"),
+        evidence_items(get("search_evidence")).alias("search_evidence"),
+        get("upstream_evidence_notes").alias("upstream_evidence_notes"),
     )
     return made.where("product_url <> ''"), made.where("product_url = ''")
 
@@ -98,14 +111,26 @@ def still_to_do(requests: DataFrame, results: DataFrame, id_col: str = "input_id
 
 
 def batch_summary(results: DataFrame) -> DataFrame:
-    """One row: totals, successes, failures and reviews."""
+    """One row: totals, successes, failures, reviews and, as a map, how many rows have each artifact_quality.
+
+    The histogram needs artifact_quality; without the column it is empty.
+    """
     ok = is_true("success")
-    return results.agg(
-        F.count("*").alias("total"),
+    known = "artifact_quality" in results.columns
+    quality = F.coalesce(F.nullif(filled("artifact_quality"), F.lit("")), F.lit("not_evaluated")) if known else F.lit("")
+    counts = results.groupBy(quality.alias("quality")).agg(
+        F.count("*").alias("n"),
         F.count_if(ok).alias("succeeded"),
-        F.count_if(~ok).alias("failed"),
         F.count_if(is_true("requires_manual_review")).alias("needs_review"),
     )
+    histogram = F.map_from_entries(F.array_sort(F.collect_list(F.struct("quality", "n"))))
+    return counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+        F.coalesce(F.sum("succeeded"), F.lit(0)).alias("succeeded"),
+        F.coalesce(F.sum(F.col("n") - F.col("succeeded")), F.lit(0)).alias("failed"),
+        F.coalesce(F.sum("needs_review"), F.lit(0)).alias("needs_review"),
+        (histogram if known else F.from_json(F.lit("{}"), "map<string,bigint>")).alias("quality_counts"),
+    )
 
 
 def finish_rows(requests: DataFrame, results: DataFrame, defaults: dict[str, object], id_col: str = "scrape_id") -> DataFrame:
@@ -116,6 +141,10 @@ def finish_rows(requests: DataFrame, results: DataFrame, defaults: dict[str, obj
 
 def flat_row(results: DataFrame, columns: list[str]) -> DataFrame:
     """Results in the fixed column order of the output, lists joined with "; ", absent columns empty."""
+    return results.select(*_flat_columns(results, columns))
+
+
+def _flat_columns(results: DataFrame, columns: list[str]) -> list[Column]:
     kinds = dict(results.dtypes)
     out = []
     for name in columns:
@@ -125,4 +154,90 @@ def flat_row(results: DataFrame, columns: list[str]) -> DataFrame:
             out.append(F.array_join(F.col(name).cast("array<string>"), "; ").alias(name))
         else:
             out.append(F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name))
-    return results.select(*out)
+    return out
+
+
+def result_rows(results: DataFrame) -> DataFrame:
+    """Results in the 66 columns of the batch output, all text.
+
+    results: what finish_rows() or run_batch() gives; `created` false marks requests for
+    which no artifact was made, whose row has the fixed values of vocab.NOT_CREATED and the error as
+    its image_failure_reason.  Flags are derived where they are absent.
+    """
+    have = set(results.columns)
+    made = F.coalesce(F.col("created"), F.lit(True)) if "created" in have else F.lit(True)
+    flags = {n: c.cast("string") for n, c in capture_flags().items()} if "capture_decision" in have else {}
+    if "real_scrape_evidence" in have:
+        flags["has_real_scrape_evidence"] = F.col("real_scrape_evidence").cast("string")
+    df = results.withColumns({n: c for n, c in flags.items() if n not in have})
+    flat = dict(zip(vocab.RESULT_COLUMNS, _flat_columns(df, list(vocab.RESULT_COLUMNS))))
+    asked = {"row_number", "input_id", "product_url", "main_text", "ean", "requested_retailer_name", "requested_country_code",
+             "source_retailer_name", "source_country_code", "source_url_role", "source_alignment_status", "source_claim_scope",
+             "requested_retailer_claims_allowed", "error"}
+    out = []
+    for name in vocab.RESULT_COLUMNS:
+        empty = F.lit(vocab.NOT_CREATED.get(name, ""))
+        if name == "image_failure_reason":
+            empty = F.coalesce(F.nullif(flat["error"], F.lit("")), F.lit("row was not created"))
+        out.append((flat[name] if name in asked else F.when(made, flat[name]).otherwise(empty)).alias(name))
+    return df.select(*out)
+
+
+def public_results(rich: DataFrame) -> DataFrame:
+    """Rich results as public ones: image counters and the quality gate's verdict are lifted to the top.
+
+    rich: images (array with local_path, description, relevance, download_source), tables,
+    json_ld, and the columns of quality_gate().
+    """
+    kept = F.filter("images", lambda i: filled(i["local_path"]) != "")
+    clean = F.filter(kept, lambda i: (F.lower(filled(i["relevance"])) == "yes") & (filled(i["download_source"]) != "screenshot_fallback"))
+    return rich.withColumns(
+        {
+            "image_candidate_count": F.size("images"),
+            "image_downloaded_count": F.size(kept),
+            "final_image_count": F.size(kept),
+            "clean_product_image_count": F.size(clean),
+            "vision_described_count": F.size(F.filter(kept, lambda i: filled(i["description"]) != "")),
+            "screenshot_fallback_used": F.exists(kept, lambda i: filled(i["download_source"]) == "screenshot_fallback"),
+            "table_count": F.size("tables"),
+            "json_ld_count": F.size("json_ld"),
+        }
+    )
+
+
+def with_defaults(rows: DataFrame, defaults: dict[str, object]) -> DataFrame:
+    """Columns that are absent or null get their default; what is there stays."""
+    have = set(rows.columns)
+    return rows.withColumns({k: F.coalesce(F.col(k), F.lit(v)) if k in have else F.lit(v) for k, v in defaults.items()})
+
+
+def union_columns(*tables: DataFrame) -> DataFrame:
+    """All rows; columns in the order in which they are first seen, absent cells empty."""
+    names = list(dict.fromkeys(c for t in tables for c in t.columns))
+    filled_up = [t.select(*[filled(F.col(c).cast("string")).alias(c) if c in t.columns else F.lit("").alias(c) for c in names]) for t in tables]
+    out = filled_up[0]
+    for t in filled_up[1:]:
+        out = out.unionByName(t)
+    return out
+
+
+def value_counts(rows: DataFrame, column: str) -> DataFrame:
+    """(value, n): how often each value occurs, null too."""
+    return rows.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+
+
+def prompt_block() -> Column:
+    """What was asked for, a line for each part that is there."""
+    parts = (("Product text", "main_text"), ("EAN/GTIN", "ean"), ("Retailer", "requested_retailer_name"), ("Country", "requested_country_code"))
+    return F.concat_ws("\n", *[F.when(filled(c) != "", F.concat(F.lit(f"- {label}: "), F.col(c))) for label, c in parts])
+
+
+def output_dir(root: str) -> Column:
+    """Where a request's artifact belongs: root, its id and its label."""
+    return F.concat_ws("/", F.lit(root.rstrip("/")), "scrape_id", "retailer_label")
+
+
+def relative_path(path: Column | str, base: str) -> Column:
+    """A path below a base; other paths as they are, null as empty."""
+    p, stem = filled(path), base.rstrip("/") + "/"
+    return F.when(p.startswith(stem), F.substr(p, F.lit(len(stem) + 1))).otherwise(p)

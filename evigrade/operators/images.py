@@ -74,14 +74,23 @@ def perceptual_hash(pixels: pd.Series) -> pd.Series:
     return pixels.map(lambda p: None if p is None else f"{perceptual_bits(np.asarray(p).reshape(32, 32)):016x}")
 
 
+def _joined(own: str, more: str) -> str:
+    """An alt text and another one, unless that is part of it."""
+    if not more or more in own:
+        return own
+    return f"{own} | {more}" if own else more
+
+
 def near_duplicates(images: DataFrame, near: int = NEAR) -> DataFrame:
     """Greedy clustering of each request's images by perceptual hash, in scan order.
 
     images: scrape_id, ordinal, phash (64-bit long, null: unknown), area, bytes.  An
     image joins the first kept image within `near` bits and takes its place if
-    it is larger.  The order decides, so each request is folded on its own; a
-    request holds a bounded queue of images.  Result: scrape_id, ordinal, kept, cluster.
+    it is larger; alt texts of the others are appended unless contained.  The order
+    decides, so each request is folded on its own; a request holds a bounded
+    queue of images.  Result: scrape_id, ordinal, kept, cluster and, if images have it, alt.
     """
+    named = "alt" in images.columns
 
     def fold(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("ordinal", kind="stable")
@@ -89,36 +98,39 @@ def near_duplicates(images: DataFrame, near: int = NEAR) -> DataFrame:
         clusters = []
         for row in group.itertuples():
             known = row.phash is not None and not pd.isna(row.phash)
-            size, mine = (row.area, row.bytes), None
+            size, mine, alt = (row.area, row.bytes), None, (row.alt or "") if named else ""
             for i, other in enumerate(kept if known else []):
                 if other[0] is not None and ((int(row.phash) ^ other[0]) & ((1 << 64) - 1)).bit_count() <= near:
                     mine = i
                     break
             if mine is None:
-                kept.append([int(row.phash) if known else None, size, row.ordinal])
+                kept.append([int(row.phash) if known else None, size, row.ordinal, alt])
                 mine = len(kept) - 1
             elif size > kept[mine][1]:
-                kept[mine] = [int(row.phash), size, row.ordinal]
+                kept[mine] = [int(row.phash), size, row.ordinal, _joined(alt, kept[mine][3])]
+            else:
+                kept[mine][3] = _joined(kept[mine][3], alt)
             clusters.append(mine)
-        winners = {k[2] for k in kept}
-        return pd.DataFrame(
-            {
-                "scrape_id": group["scrape_id"].to_numpy(),
-                "ordinal": group["ordinal"].to_numpy(),
-                "kept": [o in winners for o in group["ordinal"]],
-                "cluster": np.array(clusters, dtype="int32"),
-            }
-        )
+        alts = {k[2]: k[3] for k in kept}
+        out = {
+            "scrape_id": group["scrape_id"].to_numpy(),
+            "ordinal": group["ordinal"].to_numpy(),
+            "kept": [o in alts for o in group["ordinal"]],
+            "cluster": np.array(clusters, dtype="int32"),
+        }
+        if named:
+            out["alt"] = [alts.get(o, a or "") for o, a in zip(group["ordinal"], group["alt"])]
+        return pd.DataFrame(out)
 
     kind = dict(images.dtypes)
-    given = images.select("scrape_id", "ordinal", F.col("phash").cast("long"), "area", "bytes")
+    given = images.select("scrape_id", "ordinal", F.col("phash").cast("long"), "area", "bytes", *["alt"] * named)
     given = given.withColumn("phash", F.col("phash").cast("string"))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.assign(phash=[None if p is None else int(p) for p in group["phash"]])
         return fold(group.astype({"phash": object}))
 
-    schema = f"scrape_id {kind['scrape_id']}, ordinal {kind['ordinal']}, kept boolean, cluster int"
+    schema = f"scrape_id {kind['scrape_id']}, ordinal {kind['ordinal']}, kept boolean, cluster int" + ", alt string" * named
     return given.groupBy("scrape_id").applyInPandas(run, schema)
 
 
@@ -200,6 +212,11 @@ def _histogram(items: DataFrame, bucket: Column, name: str, most: int | None = N
     return out.select("scrape_id", text.alias(name), F.get("_all", F.lit(0))["_b"].alias(f"{name}_top"))
 
 
+#: Columns of image_diagnostics().
+DIAGNOSTICS = ("image_failure_bucket", "image_recovery_action", "image_error_buckets", "image_attempt_buckets",
+               "image_manifest_item_count", "screenshot_fallback_file_detected")
+
+
 def image_diagnostics(rows: DataFrame, items: DataFrame) -> DataFrame:
     """Why a request has no clean image, and what to do.
 
@@ -251,3 +268,94 @@ def image_diagnostics(rows: DataFrame, items: DataFrame) -> DataFrame:
             "screenshot_fallback_file_detected": shot,
         }
     ).drop("_files", "_shot", "image_error_buckets_top")
+
+
+#: Extensions of images that are kept as they are, and of content types.  Fixed values.
+FINAL_EXTENSIONS = (".jpg", ".jpeg", ".png", ".webp")
+MIME_EXTENSIONS = (("image/jpeg", ".jpg"), ("image/jpg", ".jpg"), ("image/png", ".png"), ("image/webp", ".webp"), ("image/gif", ".gif"))
+MOST_BYTES = 8_000_000
+
+
+def checked_payloads(payloads: DataFrame) -> DataFrame:
+    """Add error (empty for a sound image), mime, sha8 and extension to downloaded images.
+
+    payloads: content, content_type, status, last_error, decoded_format (what a decoder says of the
+    bytes, null if it can't read them).  Checks in order: nothing there, too large, not an image by its type, vector
+    graphics, undecodable.  Sound images of other formats are to be converted to PNG: `converts`.
+    """
+    mime = F.lower(F.trim(F.regexp_extract(filled("content_type"), "^([^;]*)", 1)))
+    size = F.length("content")
+    code = F.coalesce("status", F.lit(0))
+    nothing = F.coalesce(F.nullif(filled("last_error"), F.lit("")), F.when(code != 0, F.concat(F.lit("http "), code)), F.lit("download failed"))
+    error = (
+        F.when(F.coalesce(size, F.lit(0)) == 0, nothing)
+        .when(size > MOST_BYTES, F.format_string("too large (%d bytes)", size))
+        .when((mime != "") & ~mime.startswith("image/"), F.format_string("non-image response mime=%s status=%d", mime, code))
+        .when(mime == "image/svg+xml", "svg/vector image excluded from final product image set")
+        .when(filled("decoded_format") == "", "invalid image payload: UnidentifiedImageError")
+        .otherwise("")
+    )
+    extension = F.lit(None).cast("string")
+    for kind, name in MIME_EXTENSIONS:
+        extension = F.when(mime == kind, name).otherwise(extension)
+    decoded = F.lower(filled("decoded_format"))
+    extension = F.coalesce(extension, F.when(decoded.isin("jpeg", "jpg"), ".jpg").when(decoded != "", F.concat(F.lit("."), decoded)), F.lit(""))
+    df = payloads.withColumns({"error": error, "mime": mime, "sha8": F.when((size > 0) & (size <= MOST_BYTES), content_hash("content")), "_e": extension})
+    sound = F.col("error") == ""
+    converts = sound & ~F.col("_e").isin(*FINAL_EXTENSIONS)
+    return df.withColumns(
+        {
+            "converts": converts,
+            "extension": F.when(~sound, "").when(converts, ".png").otherwise(F.col("_e")),
+            "mime": F.when(converts, "image/png").when(F.col("error").startswith("too large"), "").otherwise(F.col("mime")),
+        }
+    ).drop("_e")
+
+
+def manifest_items(manifest: Column) -> Column:
+    """The image items of a manifest given as a variant: an array, or the first array under one of four keys, objects only."""
+    keys = ("images", "items", "image_refs", "candidates")
+    inner = [F.try_variant_get(manifest, f"$.{k}", "array<variant>") for k in keys]
+    whole = F.when(F.schema_of_variant(manifest).startswith("ARRAY"), F.try_variant_get(manifest, "$", "array<variant>"))
+    found = F.coalesce(whole, *inner, F.array().cast("array<variant>"))
+    return F.filter(found, lambda v: F.schema_of_variant(v).startswith("OBJECT"))
+
+
+def top_errors(images: DataFrame, most: int = 3) -> DataFrame:
+    """(scrape_id, place, bucket, n): the most common errors, cut at the first colon and 40 characters, ties as first seen."""
+    bucket = F.left(F.regexp_extract(filled("error"), r"^([^:]*)", 1), F.lit(40))
+    counted = images.where(filled("error") != "").groupBy("scrape_id", bucket.alias("bucket"))
+    counted = counted.agg(F.count("*").alias("n"), F.min("ordinal").alias("first"))
+    place = F.row_number().over(Window.partitionBy("scrape_id").orderBy(F.desc("n"), "first"))
+    return counted.withColumn("place", place).where(F.col("place") <= most).select("scrape_id", "place", "bucket", "n")
+
+
+def retry_batches(refs: Column, thumbs: Column, alts: Column, verdicts: Column) -> Column:
+    """The images of a batch that have no verdict yet, each with its thumbnail and alt text, by position."""
+    zipped = F.arrays_zip(refs.alias("ref"), thumbs.alias("thumb"), alts.alias("alt"), verdicts.alias("verdict"))
+    return F.filter(zipped, lambda z: filled(z["verdict"]) == "")
+
+
+def select_images(candidates: DataFrame, most: int = 30, describe: int = 12, near: int = NEAR) -> DataFrame:
+    """The whole way from candidates to clean images: queue, content and near duplicates, relevance, picks, verdict.
+
+    candidates: scrape_id, ordinal, url, alt and, by URL, what downloading and models gave: sha8 (null:
+    not retained), phash, width, height, bytes, relevance, description, download_source, error.  One row
+    for each queued image: position, alt (with those of its duplicates), duplicate, described, kept, relevance_final.
+    """
+    facts = [c for c in candidates.columns if c not in ("scrape_id", "url", "alt", "ordinal")]
+    first = candidates.groupBy("scrape_id", "url").agg(F.min_by(F.struct(*facts), "ordinal").alias("f"))
+    queue = image_queue(candidates, most).drop("ordinal").join(first.select("scrape_id", "url", "f.*"), ["scrape_id", "url"])
+    queue = queue.withColumnRenamed("position", "ordinal").withColumn("area", F.col("width") * F.col("height"))
+    there = queue.where("sha8 is not null")
+    single = exact_duplicates(there).select("scrape_id", "ordinal", "alt")
+    survivors = there.drop("alt").join(single, ["scrape_id", "ordinal"])
+    kept = near_duplicates(survivors, near).where("kept").select("scrape_id", "ordinal", F.col("alt").alias("alt_joined"))
+    df = queue.join(kept.withColumn("retained", F.lit(True)), ["scrape_id", "ordinal"], "left")
+    df = df.withColumns({"retained": F.coalesce("retained", F.lit(False)), "alt": F.coalesce("alt_joined", "alt")}).drop("alt_joined")
+    duplicate = F.col("sha8").isNotNull() & ~F.col("retained")
+    picks = vision_picks(df.where("retained"), describe).select("scrape_id", "ordinal", F.lit(True).alias("described"))
+    df = df.withColumn("duplicate", duplicate).join(picks, ["scrape_id", "ordinal"], "left")
+    df = df.withColumn("described", F.coalesce("described", F.lit(False)))
+    df = df.withColumn("description", F.when(F.col("described"), filled("description")).otherwise(""))
+    return prune_by_relevance(df).withColumnRenamed("ordinal", "position")

@@ -10,15 +10,18 @@ from evigrade.functions.text import any_term, filled, listed
 
 
 def quality_gate(rows: DataFrame) -> DataFrame:
-    """Add quality_score, artifact_quality, requires_manual_review, missing_critical_fields and n_warnings.
+    """Add quality_score, artifact_quality, requires_manual_review, missing_critical_fields, quality_warnings,
+    n_warnings, checks (a struct of fifteen) and recommended_followups.
 
     rows: evidence_text (the evidence as JSON text, key names count too), page_title,
     main_text, ean, url, raw_markdown, product_text_chars, n_retailer_claims,
     n_claims, n_structured (tables, JSON-LD, meta and their claims), n_tables,
     n_json_ld, n_images, n_downloaded, n_clean, n_screenshots, n_described,
     n_errors, n_forbidden, n_axes, image_required, real_scrape_evidence,
-    weak_capture, access_status, capture_grade, capture_decision, alignment_status.
+    weak_capture, access_status, capture_grade, capture_decision, alignment_status;
+    optionally browser_visible, has_upstream and requested_retailer_claims_allowed.
     """
+    have = set(rows.columns)
     blob = F.lower(filled("evidence_text"))
     decision, grade = filled("capture_decision"), filled("capture_grade")
     real = F.coalesce("real_scrape_evidence", F.lit(False))
@@ -32,6 +35,27 @@ def quality_gate(rows: DataFrame) -> DataFrame:
     text = (F.col("product_text_chars") >= 80) | (F.col("n_retailer_claims") > 0) | (F.trim(filled("raw_markdown")) != "")
     visual, shot = F.col("n_clean") > 0, F.col("n_screenshots") > 0
     structured, axes = F.col("n_structured") > 0, F.col("n_axes") > 0
+    told = lambda c: F.coalesce(F.col(c), F.lit(False)) if c in have else F.lit(False)
+    open_page = F.col("access_status") == "accessible"
+    aligned = F.col("alignment_status") == "primary_requested_source"
+    scope = F.when(aligned, "requested_retailer_and_country").otherwise("scraped_source_only")
+    checks = {
+        "has_product_name_or_title": name,
+        "has_brand_signal": brand,
+        "has_identifier_signal": identifier,
+        "has_retailer_url": url,
+        "has_product_text": text,
+        "has_visual_evidence": visual,
+        "has_any_visual_file": F.col("n_downloaded") > 0,
+        "has_screenshot_fallback": shot,
+        "has_table_or_structured_evidence": structured,
+        "has_evidence_axes": axes,
+        "has_gap_reporting": F.lit(True),
+        "noise_exclusion_documented": F.lit(True),
+        "browser_access_ok_or_recovered": told("browser_visible") | real | told("has_upstream"),
+        "source_alignment_documented": F.lit(True),
+        "fallback_claim_scope_safe": F.lit(True),
+    }
     missing = listed(
         (~name, "product_name_or_title"),
         (~brand, "brand_or_manufacturer_signal"),
@@ -41,25 +65,41 @@ def quality_gate(rows: DataFrame) -> DataFrame:
         (~axes, "evidence_axis_tags"),
     )
     quarter = F.greatest(F.lit(3), F.floor(F.col("n_images") / 4))
-    doubtful = decision.isin(*vocab.GATE_REVIEW_DECISIONS[:7])
-    warnings = sum(
-        c.cast("int")
-        for c in (
-            F.col("n_forbidden") > 0,
-            (F.col("n_errors") > 0) & (F.col("n_downloaded") < quarter),
-            ~visual,
-            shot,
-            F.col("n_described") == 0,
-            (F.col("n_tables") == 0) & (F.col("n_json_ld") == 0),
-            F.col("access_status") != "accessible",
-            F.col("weak_capture") & (F.col("access_status") == "accessible"),
-            ~real,
-            grade.isin(*vocab.WEAK_GRADES),
-            doubtful,
-            F.col("alignment_status") != "primary_requested_source",
-        )
+    open_warnings = (
+        (F.col("n_forbidden") > 0, "n_forbidden"),
+        ((F.col("n_errors") > 0) & (F.col("n_downloaded") < quarter), None),
+        (~visual, None),
+        (shot, None),
+        (F.col("n_described") == 0, None),
+        ((F.col("n_tables") == 0) & (F.col("n_json_ld") == 0), None),
+        (~open_page, "access_status"),
+        (F.col("weak_capture") & open_page, None),
+        (~real, None),
+        (grade.isin(*vocab.WEAK_GRADES), "capture_grade"),
+        (decision.isin(*vocab.GATE_DOUBTFUL_DECISIONS), "capture_decision"),
+        (~aligned, "alignment_status"),
+    )
+    said = [F.format_string(t, F.col(c).cast("string"), scope) if c else t for (_, c), t in zip(open_warnings, vocab.GATE_WARNINGS)]
+    warnings = listed(*[(condition, t) for (condition, _), t in zip(open_warnings, said)])
+    gap = lambda name: F.array_contains("missing_critical_fields", name)
+    advice = (
+        gap("product_name_or_title") | gap("product_evidence_content"),
+        ~visual,
+        shot,
+        F.col("n_described") == 0,
+        F.col("n_forbidden") > 0,
+        ~open_page,
+        (filled("main_text") == "") & (filled("ean") == ""),
+    )
+    followups = listed(*zip(advice, vocab.GATE_FOLLOWUPS))
+    df = rows.withColumns({"quality_warnings": warnings, "missing_critical_fields": missing})
+    df = df.withColumns(
+        {
+            "n_warnings": F.size("quality_warnings"),
+            "checks": F.struct(*[F.coalesce(c, F.lit(False)).alias(n) for n, c in checks.items()]),
+            "recommended_followups": followups,
+        }
     )
-    df = rows.withColumns({"n_warnings": warnings, "missing_critical_fields": missing})
     gain = lambda condition, points: F.when(condition, points).otherwise(0)
     score = (
         gain(name, 20)

@@ -673,3 +673,6 @@ def artifact_audit(spark, sf):
 @query(f"SELECT artifact_status, count(*) AS n, count(*) FILTER (artifact_status = 'ready_for_coding') AS ready, count(*) AS images FROM ({_AUDIT}) GROUP BY artifact_status")
 def audit_summary(spark, sf):
     return audit.audit_summary(audit.audit_artifacts(S.make(spark, sf, S.FILES)))
+
+
+from evigrade.plans import evidence_queries  # noqa: E402, F401  registers its queries
