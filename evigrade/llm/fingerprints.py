@@ -14,6 +14,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -72,7 +73,7 @@ def containment(a: np.ndarray, b: np.ndarray, k: int = K) -> float:
 
 
 def fingerprint_documents(docs: DataFrame, width: int = WIDTH, k: int = K) -> DataFrame:
-    """(doc_id, fingerprint, distinct_shingles) of every row."""
+    """(doc_id, fingerprint, distinct_shingles) of every row; null and empty texts have an empty fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,39 +121,74 @@ def merge_fingerprints(parts: DataFrame, by: str, k: int = K, salts: int = 32) -
     return merged
 
 
+#: Bytes of text that a range of documents holds about; a task takes four of them.
+RANGE_BYTES = 16_000_000
+
+
+def _placer(bounds: np.ndarray, null_ranges: int):
+    """A function from doc_ids, null flags and text hashes to ranges, in descending order of doc_id, nulls last.
+
+    bounds: ascending quantiles; one that is repeated is a doc_id with several ranges, dealt by the hash.
+    """
+    last = len(bounds)
+
+    def place(ids: np.ndarray, nulls: np.ndarray, marks: np.ndarray) -> np.ndarray:
+        low, high = np.searchsorted(bounds, ids, "left"), np.searchsorted(bounds, ids, "right")
+        # the hash's upper half, in the order of signed numbers, as a share of 2 ** 32
+        share = ((marks.astype(np.int64) >> np.int64(32)) + (1 << 31)).astype(np.float64) / (1 << 32)
+        found = last - high + np.floor(share * (high - low + 1)).astype(np.int64)
+        return np.where(nulls, last + 1 + np.floor(share * null_ranges).astype(np.int64), found)
+
+    return place
+
+
 def _in_descending_order(docs: DataFrame) -> DataFrame:
     """Deal rows into ranges of descending doc_id, each followed by the first row of the next range.
 
-    Columns doc_id, text, bucket, guest.  The bounds are quantiles, a fixed
-    number for the session; only doc_id is read for them.
+    Columns doc_id, text, bucket, guest, in order within each bucket.  Null doc_ids
+    come last; rows with equal or null doc_ids are ordered by a hash of their
+    text and may fill several ranges.  The bounds are quantiles, as many as the bytes of text ask for; the driver
+    holds two numbers for each range.
     """
     spark = docs.sparkSession
     partitions = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ids = docs.select(F.col("doc_id").cast("long"))
-    bounds: list[int] = []
-    if partitions > 1:
-        steps = [i / partitions for i in range(1, partitions)]
-        found = ids.where("doc_id is not null").stat.approxQuantile("doc_id", steps, 0.2 / partitions)
-        bounds = sorted({int(b) for b in found})
-    above = F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in bounds]), lambda b: b > F.col("doc_id")))
-    bucket = F.coalesce(F.when(F.col("doc_id").isNotNull(), above if bounds else F.lit(0)), F.lit(len(bounds)))
-    heads = ids.groupBy(bucket.alias("bucket")).agg(F.max("doc_id").alias("head")).collect()
-    heads = sorted((r["bucket"], r["head"]) for r in heads)
-    if not heads:
-        heads = [(0, None)]
-    before = {b: heads[i - 1][0] for i, (b, _) in enumerate(heads)}
-    of_bucket = {b: h for b, h in heads}
-    size = len(bounds) + 1
-    head = F.element_at(F.array(*[F.lit(of_bucket.get(b)).cast("long") for b in range(size)]), F.col("bucket") + 1)
-    to = F.element_at(F.array(*[F.lit(before.get(b, 0)) for b in range(size)]), F.col("bucket") + 1)
+    keyed = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark"))
+    rows, known, size = keyed.agg(F.count("*"), F.count("doc_id"), F.sum(F.octet_length("text"))).first()
+    ranges = max(4 * partitions, -(-(size or 0) // RANGE_BYTES))
+    null_ranges = max(1, -(-(rows - known) * ranges // max(1, rows)))
+    steps = [i / ranges for i in range(1, ranges)]
+    ids = keyed.select("doc_id").where("doc_id is not null")
+    found = ids.stat.approxQuantile("doc_id", steps, 0.2 / ranges) if known else []
+    place = _placer(np.sort(np.array([int(b) for b in found], np.int64)), null_ranges)
+
+    @F.pandas_udf("long")
+    def bucket_of(doc_id: pd.Series, null: pd.Series, mark: pd.Series) -> pd.Series:
+        return pd.Series(place(doc_id.to_numpy(), null.to_numpy(), mark.to_numpy()))
+
+    null = F.col("doc_id").isNull()
+    placed = keyed.withColumn("bucket", bucket_of(F.coalesce("doc_id", F.lit(0)), null, F.col("mark")))
+    order = F.struct(null.alias("null"), F.bitwise_not("doc_id").alias("down"), "mark")
+    heads = placed.groupBy("bucket").agg(F.min(order).alias("head")).select("bucket", "head.*").toArrow().to_pylist()
+    heads.sort(key=lambda r: r["bucket"])
+    of_bucket = {r["bucket"]: ((None if r["null"] else ~r["down"]), r["mark"]) for r in heads}
+    before = {r["bucket"]: heads[i - 1]["bucket"] for i, r in enumerate(heads)}
+
+    @F.pandas_udf("long")
+    def sent_to(bucket: pd.Series, doc_id: pd.Series, null: pd.Series, mark: pd.Series) -> pd.Series:
+        """The range that a row is also sent to: for the first row of a range the one before; else -1."""
+        out = []
+        for b, d, n, m in zip(bucket.tolist(), doc_id.tolist(), null.tolist(), mark.tolist()):
+            out.append(before[b] if of_bucket[b] == (None if n else d, m) else -1)
+        return pd.Series(out, dtype="int64")
+
+    placed = placed.withColumn("to", sent_to("bucket", F.coalesce("doc_id", F.lit(0)), null, "mark"))
     own = F.struct(F.col("bucket").alias("bucket"), F.lit(0).alias("guest"))
-    sent = F.struct(to.alias("bucket"), F.lit(1).alias("guest"))
-    places = F.when(F.col("doc_id").eqNullSafe(head), F.array(own, sent)).otherwise(F.array(own))
-    rows = docs.select(F.col("doc_id").cast("long"), "text").withColumn("bucket", bucket)
-    rows = rows.select("doc_id", "text", F.explode(places).alias("place")).select("doc_id", "text", "place.*")
-    return rows.repartition(4 * partitions, "bucket").sortWithinPartitions(
-        "bucket", "guest", F.col("doc_id").desc_nulls_last(), "text"
-    )
+    sent = F.struct(F.col("to").alias("bucket"), F.lit(1).alias("guest"))
+    places = F.when(F.col("to") >= 0, F.array(own, sent)).otherwise(F.array(own))
+    dealt = placed.select("doc_id", "text", "mark", F.explode(places).alias("place")).select("doc_id", "text", "mark", "place.*")
+    dealt = dealt.repartition(max(partitions, ranges // 4), "bucket")
+    dealt = dealt.sortWithinPartitions("bucket", "guest", F.col("doc_id").desc_nulls_last(), "mark", "text")
+    return dealt.select("doc_id", "text", "bucket", "guest")
 
 
 def fingerprints_with_edits(docs: DataFrame, width: int = WIDTH, k: int = K) -> DataFrame:
@@ -161,7 +197,8 @@ def fingerprints_with_edits(docs: DataFrame, width: int = WIDTH, k: int = K) ->
     The edited text has its last floor(n/2) code points replaced by the first as
     many of the next document in descending doc_id; after the last comes the
     first.  Null doc_ids come last; rows with equal doc_id follow each other by
-    text.  Null texts count as empty.  One row per row: doc_id, n_chars,
+    a hash of their text.  Null texts count as empty; other columns are ignored; an empty table
+    gives an empty result.  One row per row: doc_id, n_chars,
     edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
     """
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
