@@ -13,38 +13,45 @@ from evigrade.llm.license_scan import scan_licenses
 from evigrade.llm.minhash_dedup import near_duplicates
 from evigrade.llm.mixing import SCHEDULES, mix_positions
 from evigrade.llm.packing import pack_documents
-from evigrade.llm.rollups import RollupStore, count_documents, inserts, revisions
+from evigrade.llm.rollups import RollupStore, count_documents, deletes, inserts, revisions
 from evigrade.llm.sharding import balanced_shards
 from evigrade.llm.surrogates import replace_pii
 from evigrade.llm.toxicity import score_documents
-from evigrade.session import cut, load, shared_dir
+from evigrade.session import at_release, cut, load, shared_dir, spread
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(load(spark, sf_dir, "documents"))
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+    return score_documents(documents(spark, sf_dir), load(spark, sf_dir, "labels"))
 
 
 def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replace_pii(load(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities", "entity_kinds")
+    return replace_pii(documents(spark, sf_dir)).select("doc_id", "text", "n_entities", "entity_kinds")
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(load(spark, sf_dir, "documents"))
+    return pack_documents(documents(spark, sf_dir))
 
 
 def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints_with_edits(load(spark, sf_dir, "documents"))
+    return fingerprints_with_edits(documents(spark, sf_dir))
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents come in under two tokenizer versions; the second is then revised; batches are committed twice."""
-    counts = cut(count_documents(load(spark, sf_dir, "documents")))
+    """All documents come in under four tokenizer versions; one is then revised and one deleted; batches are committed twice."""
+    counts = cut(count_documents(documents(spark, sf_dir)))
     store = RollupStore(spark, f"{shared_dir(spark)}/rollups-{uuid.uuid4().hex}")
+    at_release(store.path)
     batches = {
         "001-word-bpe": inserts(counts, "word_bpe_49k@1", "tokens"),
         "002-white-space": inserts(counts, "white_space@1", "words"),
         "003-utf8-words": inserts(counts, "word_bpe_49k@2", "words"),
-        "004-recount": revisions(counts, "word_bpe_49k@2", "words", "tokens"),
+        "004-trial": inserts(counts, "trial@1", "words"),
+        "005-recount": revisions(counts, "word_bpe_49k@2", "words", "tokens"),
+        "006-no-trial": deletes(counts, "trial@1", "words"),
     }
     for name in [*batches, *batches]:
         store.commit(name, batches[name])
@@ -52,24 +59,24 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cosine_links(load(spark, sf_dir, "embeddings"), 0.9)
+    return cosine_links(spread(load(spark, sf_dir, "embeddings")), 0.9)
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_licenses(load(spark, sf_dir, "documents"))
+    return scan_licenses(documents(spark, sf_dir))
 
 
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(load(spark, sf_dir, "documents"), width=3, percent=85)
+    return near_duplicates(documents(spark, sf_dir), width=3, percent=85)
 
 
 def op9_balanced_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return balanced_shards(load(spark, sf_dir, "documents"))
+    return balanced_shards(documents(spark, sf_dir))
 
 
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes, and when and at which position of the training order each of a document's two copies is due."""
-    plan = mix_positions(load(spark, sf_dir, "documents"))
+    plan = mix_positions(documents(spark, sf_dir))
 
     def of_copy(copy: int):
         return F.get(F.filter("takes", lambda take: take["copy"] == copy), F.lit(0))

@@ -1,15 +1,16 @@
 """Token counts: rollups by source, language and tokenizer version, maintained by deltas.
 
 A batch is a table of signed changes.  It is pre-aggregated to one delta row per
-cell and written to its own folder of the store; the folder's success marker,
-which the committer writes last, is the commit.  A batch that is already
-committed is not written again, so a retried or repeated batch changes nothing.
-Totals are sums over committed batches and never need a rescan of documents;
-compact() folds old batches into one.
+cell, written to a private folder and renamed to the batch's name; the rename is
+the commit, and only one committer of a batch can have it.  A batch that is
+already committed is not written again, so a retried or repeated batch changes
+nothing.  Totals are sums over committed batches and never need a rescan of
+documents.  compact() folds old batches into one, which remembers their names.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,7 +26,11 @@ _SCHEMA = "source string, lang string, tokenizer string, docs long, tokens long,
 
 
 def count_documents(docs: DataFrame, tokenizer: str = "word_bpe_49k.json") -> DataFrame:
-    """(doc_id, source, lang, chars, tokens, words) of every whole text; null counts as empty."""
+    """(doc_id, source, lang, words, chars, tokens) of every row by its whole text.
+
+    Null and empty texts count 0; a null source or language stays null; rows that
+    repeat a doc_id are counted each; other columns are ignored.  An empty table gives an empty result.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_tokenizer(tokenizer)
@@ -69,7 +74,11 @@ def _changes(counts: DataFrame, version: str, docs, tokens, chars) -> DataFrame:
 
 
 class RollupStore:
-    """Committed batches of deltas under one folder that all executors share."""
+    """Committed batches of deltas under one folder that all executors share.
+
+    Nulls in a cell's columns are a value like others, null counts are 0, and equal changes
+    add up.  An empty batch commits and changes nothing; an empty store has no totals.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -79,28 +88,76 @@ class RollupStore:
         root = jvm.org.apache.hadoop.fs.Path(self.path)
         return root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
 
+    def _folders(self) -> dict[str, list[str]]:
+        """Committed folders and the batches that each holds; those that a compaction has folded are left out."""
+        files, path = self._files()
+        if not files.exists(path(self.path)):
+            return {}
+        names = sorted(s.getPath().getName() for s in files.listStatus(path(self.path)) if s.isDirectory())
+        found = {n: [n.removeprefix("batch-")] for n in names if n.startswith("batch-")}
+        for name in (n for n in names if n.startswith("folded-")):
+            rows = self.spark.read.schema("batch string").parquet(f"{self.path}/{name}/names").collect()
+            held = [r["batch"] for r in rows]
+            found = {n: b for n, b in found.items() if not set(b) <= set(held)}
+            found[name] = held
+        return found
+
     def committed(self) -> list[str]:
         """Names of the committed batches."""
+        return sorted(b for held in self._folders().values() for b in held)
+
+    def _publish(self, private: str, name: str) -> bool:
+        """Rename a finished private folder; False, and the folder is gone, if the name is taken."""
         files, path = self._files()
-        if not files.exists(path(self.path)):
-            return []
-        names = [s.getPath().getName() for s in files.listStatus(path(self.path)) if s.isDirectory()]
-        found = [n for n in names if n.startswith("batch-") and files.exists(path(f"{self.path}/{n}/_SUCCESS"))]
-        return sorted(n.removeprefix("batch-") for n in found)
+        target = path(f"{self.path}/{name}")
+        if not files.exists(target) and files.rename(path(private), target):
+            nested = path(f"{self.path}/{name}/{private.rpartition('/')[2]}")
+            if not files.exists(nested):
+                return True
+            files.delete(nested, True)  # another committer's folder took the name first, so ours went into it
+            return False
+        files.delete(path(private), True)
+        return False
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
-        """Apply a batch once; False if it was there already.  Rows of nulls in a cell are a cell of their own."""
+        """Apply a batch once; False if it was there already."""
         if batch in self.committed():
             return False
-        deltas = changes.groupBy(*CELL).agg(*[F.sum(m).alias(m) for m in MEASURES])
-        deltas.write.mode("overwrite").parquet(f"{self.path}/batch-{batch}")
-        return True
+        private = f"{self.path}/_private-{uuid.uuid4().hex}"
+        self._deltas(changes).write.parquet(private)
+        return self._publish(private, f"batch-{batch}")
+
+    @staticmethod
+    def _deltas(changes: DataFrame) -> DataFrame:
+        return changes.groupBy(*CELL).agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in MEASURES])
+
+    def _read(self, folders: list[str]) -> DataFrame:
+        paths = [f"{self.path}/{n}/deltas" if n.startswith("folded-") else f"{self.path}/{n}" for n in folders]
+        return self.spark.read.schema(_SCHEMA).parquet(*paths)
+
+    def compact(self) -> int:
+        """Fold all committed batches into one folder; how many folders it replaced.
+
+        The new folder counts from its rename on, and the old ones no longer; only then are they removed.
+        """
+        folders = self._folders()
+        if len(folders) < 2:
+            return 0
+        private = f"{self.path}/_private-{uuid.uuid4().hex}"
+        self._deltas(self._read(list(folders))).write.parquet(f"{private}/deltas")
+        names = [(b,) for held in folders.values() for b in held]
+        self.spark.createDataFrame(names, "batch string").write.parquet(f"{private}/names")
+        if not self._publish(private, f"folded-{uuid.uuid4().hex}"):
+            return 0
+        files, path = self._files()
+        for name in folders:
+            files.delete(path(f"{self.path}/{name}"), True)
+        return len(folders)
 
     def totals(self) -> DataFrame:
-        """One row per cell with any document or token left."""
-        names = self.committed()
-        if not names:
+        """One row per cell with any document, token or character left."""
+        folders = list(self._folders())
+        if not folders:
             return self.spark.createDataFrame([], _SCHEMA)
-        deltas = self.spark.read.schema(_SCHEMA).parquet(*[f"{self.path}/batch-{n}" for n in names])
-        sums = deltas.groupBy(*CELL).agg(*[F.sum(m).alias(m) for m in MEASURES])
+        sums = self._deltas(self._read(folders))
         return sums.where("docs <> 0 or tokens <> 0 or chars <> 0")
