@@ -67,7 +67,7 @@ def _assign(classes: DataFrame, pivots: np.ndarray) -> DataFrame:
                 more = [pa.array(cell.astype(np.int32)), pa.array(angles[np.arange(len(cell)), cell])]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "cell", "angle"])
 
-    schema = "cid long, mult long, embedding array<float>, cell int, angle double"
+    schema = f"cid long, mult long, embedding {dict(classes.dtypes)['embedding']}, cell int, angle double"
     return classes.select("cid", "mult", "embedding").mapInArrow(run, schema)
 
 
@@ -107,7 +107,7 @@ def _visits(placed: DataFrame, pivots: np.ndarray, cells: dict[int, tuple[int, f
                     names=["block", "visitor", "cid", "mult", "embedding"],
                 )
 
-    return placed.mapInArrow(run, "block int, visitor int, cid long, mult long, embedding array<float>")
+    return placed.mapInArrow(run, f"block int, visitor int, cid long, mult long, embedding {dict(placed.dtypes)['embedding']}")
 
 
 class _Block:
@@ -208,7 +208,7 @@ def _compare(width: int, threshold: float):
 def cosine_links(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     """Every vector with its number of links and its component.
 
-    vectors: vec_id, embedding (array of float) and any other columns, which are
+    vectors: vec_id, embedding (array of float or double) and any other columns, which are
     ignored.  Two rows link if their cosine is at least the threshold.  One row per
     row: vec_id, n_links (other rows linked directly), component_id (least vec_id
     reachable, its own included), kept (vec_id = component_id).  Vectors that are
@@ -221,7 +221,10 @@ def cosine_links(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     e = F.col("embedding")
     number = F.forall(e, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     sound = F.coalesce(number & F.exists(e, lambda v: v != 0), F.lit(False))
-    given = vectors.select(F.col("vec_id").cast("long"), e.cast("array<float>").alias("embedding"))
+    # float and double hold what they are given; other numbers become double
+    kind = dict(vectors.dtypes)["embedding"]
+    kind = kind if kind in ("array<float>", "array<double>") else "array<double>"
+    given = vectors.select(F.col("vec_id").cast("long"), e.cast(kind).alias("embedding"))
     given = given.withColumn("key_a", F.when(sound, F.xxhash64("embedding")))
     given = cut(given.withColumn("key_b", F.when(sound, F.xxhash64(F.lit(1), "embedding"))))
     known = given.where("key_a is not null")
