@@ -1,7 +1,10 @@
 """From raw documents to packed training sequences, in five stages.
 
 Each stage takes what the one before kept, written as Parquet and read again.
-All but the last return the columns of `documents`.
+All but the last return the columns of `documents`; further columns are left out.
+Null and empty texts are clean, have no near duplicates and no personal data, are
+never due in the mix and so are not packed.  Rows that repeat a doc_id are
+documents of their own in every stage.  An empty table passes as an empty table.
 """
 
 from __future__ import annotations
@@ -16,34 +19,37 @@ from evigrade.llm.mixing import mix_documents
 from evigrade.llm.packing import pack_documents
 from evigrade.llm.surrogates import replace_pii
 from evigrade.llm.toxicity import drop_toxic
-from evigrade.session import load, shared_dir
+from evigrade.session import at_release, load, shared_dir, spread
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go; null and empty texts stay."""
     return drop_toxic(docs, load(spark, sf_dir, "labels")).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: five-word shingles, similarity 0.8."""
+    """One document of each group of near duplicates stays: five-word shingles, similarity 0.8.
+
+    Null and empty texts stay, all of them.
+    """
     return drop_near_duplicates(docs).select(*COLUMNS)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data and secrets get surrogates."""
+    """Personal data and secrets get surrogates; a null text stays null and its n_chars is null."""
     replaced = replace_pii(docs)
     return replaced.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often and in the order in which the sources' schedules ask for them."""
+    """Documents as often and in the order in which the sources' schedules ask for them; texts without words never."""
     return mix_documents(docs).select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces packed into sequences."""
+    """Token pieces packed into sequences; equal rows have pieces of their own."""
     return pack_documents(docs)
 
 
@@ -61,8 +67,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`."""
-    docs = load(spark, sf_dir, "documents")
+    docs = spread(load(spark, sf_dir, "documents"))
     folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    at_release(folder)
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
