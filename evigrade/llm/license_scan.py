@@ -7,11 +7,13 @@ The join finds every block with |block & template| >= 0.8 * |template|, over
 distinct words.  Words of all templates get one global order, by the number of
 documents that have them, rarest first.  A text with a block that meets the
 threshold has one of the first |template| - needed + 1 words of the template
-(prefix filter), at least `needed` words (length filter), and its first shared
-word, at place p of the template, leaves enough words after it (positional
-filter: all before p are missing).  The texts left are cut into blocks, from lines
-that share a word with the template, and verified.  The templates are a fixed
-list, so their index is literal.  DataFrame functions only.
+(prefix filter) and at least `needed` words (length filter).  With its first shared word
+at place p of the template, all before p are missing; every place of a prefix
+leaves `needed` template words from it on, so the positional bound can only fail on
+the text's side: it must share `needed` words from that place on.  The texts left
+are cut into blocks, from lines that share a word with the template, and
+verified.  The templates are a fixed list, so their index is literal.  DataFrame
+functions only.
 """
 
 from __future__ import annotations
@@ -139,11 +141,8 @@ def _block(lines: Column, first: Column, i: Column, length: int) -> Column:
 def _match(words: Column, lines: Column, t: Template) -> Column:
     """(label, containment) of the best block of a text for a template; null without one."""
     own = F.array(*map(F.lit, t.words))
-    may = F.lit(False)
-    for place, word in enumerate(t.prefix):
-        # words before this place are missing; what stands from here on must still reach the need
-        if len(t.words) - place >= t.needed:
-            may = may | F.array_contains(words, word)
+    may = F.arrays_overlap(words, F.array(*map(F.lit, t.prefix)))
+    # no word before the first shared place is in the text, so all shared words stand from that place on
     may = (F.size(words) >= t.needed) & may & (F.size(F.array_intersect(words, own)) >= t.needed)
     shared = F.array_max(
         F.transform(lines, lambda line, i: F.when(F.arrays_overlap(line, own), F.size(F.array_intersect(_block(lines, line, i, t.length), own))))
