@@ -22,6 +22,7 @@ import hashlib
 import hmac
 import ipaddress
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evigrade.llm.skew import unused
 from evigrade.session import cut
 
 KEY = b"evigrade-surrogates-1"
@@ -201,7 +203,33 @@ def surrogate(kind: str, text: str, attempt: int = 0, strict: bool = False, surn
 
 
 def entities(text: str) -> Iterator[tuple[str, int, int]]:
-    """(kind, start, end) of every entity in a text, in order."""
+    """(kind, start, end) of every entity in a text, in order.
+
+    A name is found after a title; then the same name, and its surname alone, are found
+    wherever else they stand in the text.
+    """
+    found = list(_marked(text))
+    names: dict[str, str] = {}
+    for kind, start, end in found:
+        if kind.startswith("name_"):
+            name = text[start:end]
+            names.setdefault(name, kind)
+            names.setdefault(name.rpartition(" ")[2], "name_n")
+    if names:
+        again = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(names, key=len, reverse=True)))})(?!\w)")
+        starts = [start for _, start, _ in found]
+        for match in again.finditer(text):
+            at = bisect_right(starts, match.start())
+            after = at and found[at - 1][2] > match.start()
+            before = at < len(starts) and starts[at] < match.end()
+            if not after and not before:
+                found.insert(at, (names[match[0]], match.start(), match.end()))
+                starts.insert(at, match.start())
+    yield from found
+
+
+def _marked(text: str) -> Iterator[tuple[str, int, int]]:
+    """Entities that their form or a title marks."""
     if not _MAY.search(text):
         return
     for match in _ALL.finditer(text):
@@ -327,19 +355,22 @@ def replace_pii(docs: DataFrame) -> DataFrame:
     """docs with every detected entity replaced, and columns n_entities and entity_kinds.
 
     text is rewritten, other columns stay as they are; n_entities and entity_kinds
-    replace columns of those names.  Null texts stay null and have no entities.
+    replace columns of those names.  Null texts stay null and have no entities, nor do
+    empty ones; rows that repeat a doc_id are rewritten each; a column may have any other name.
     Equal entities have equal surrogates in all rows, different ones different.
     An empty table gives an empty result.  Raises where a format has no free values left.
     """
     found = cut(find_entities(docs))
     late = F.struct("kind", "entity", "attempt")
     exceptions = found.join(find_exceptions(found), ["kind", "entity"]).groupBy("text_key").agg(F.collect_set(late).alias("_late"))
-    docs_late = docs.withColumn("_key", text_key()).join(cut(exceptions), F.col("_key") == F.col("text_key"), "left")
+    key, mine, theirs = (unused(n, docs.columns) for n in ("own_key", "late", "text_key"))
+    exceptions = cut(exceptions.select(F.col("text_key").alias(theirs), F.col("_late").alias(mine)))
+    docs_late = docs.withColumn(key, text_key()).join(exceptions, F.col(key) == F.col(theirs), "left")
     kept = [c for c in docs.columns if c not in ("text", "n_entities", "entity_kinds")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            late = [{(x["kind"], x["entity"]): x["attempt"] for x in row or ()} for row in batch.column("_late").to_pylist()]
+            late = [{(x["kind"], x["entity"]): x["attempt"] for x in row or ()} for row in batch.column(mine).to_pylist()]
             texts = batch.column("text").to_pylist()
             done = [rewrite(t, known) if t is not None else (None, []) for t, known in zip(texts, late)]
             columns = [batch.column(c) for c in kept]
@@ -350,5 +381,5 @@ def replace_pii(docs: DataFrame) -> DataFrame:
 
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.select(*kept).dtypes)
     schema += ", " * bool(kept) + "text string, n_entities int, entity_kinds string"
-    done = docs_late.select(*kept, "text", "_late").mapInArrow(run, schema)
+    done = docs_late.select(*kept, "text", mine).mapInArrow(run, schema)
     return done.select(*[c for c in docs.columns if c not in ("n_entities", "entity_kinds")], "n_entities", "entity_kinds")

@@ -156,3 +156,12 @@ def test_groups_of_equal_texts_stay_whole_on_a_real_table(spark):
     for r in sharding.balanced_shards(docs).join(docs.select("doc_id", F.md5("text").alias("key")), "doc_id").collect():
         found[r.key].add(r.shard)
     assert all(len(shards) == 1 for shards in found.values())
+
+
+def test_untitled_mentions_of_a_name_follow_it(spark):
+    text = "Mr John Smith met Mrs Anna Smith. Later John Smith and Smith went; Smithers stayed. Smith, a.b@smith.example.com"
+    docs = spark.createDataFrame([(1, text, "x", "y")], "doc_id long, text string, _late string, own_key string")
+    row = surrogates.replace_pii(docs).first()
+    assert "Smith " not in row.text and "John" not in row.text and "Smithers" in row.text and (row._late, row.own_key) == ("x", "y")
+    full, surname = __import__("re").match(r"Mr (\w+ (\w+)) met", row.text).groups()
+    assert row.text.count(full) == 2 and row.text.count(surname) == 5
