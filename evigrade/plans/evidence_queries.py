@@ -12,7 +12,9 @@ from evigrade.functions import html as H
 from evigrade.functions import text as T
 from evigrade.functions import urls as U
 from evigrade.functions import vocab
+from evigrade.functions.register import register
 from evigrade.operators import batch, capture, evidence, images, quality, render
+from evigrade.operators import manifests as M
 from evigrade.plans import catalogue
 from evigrade.plans import synthetic as S
 from evigrade.plans.catalogue import load, query
@@ -144,6 +146,40 @@ def source_views(spark, sf):
     return _evidence(spark, sf).select("scrape_id", made.alias("first_cells"))
 
 
+@query(f"""WITH {_HEALTH} SELECT scrape_id, 9 AS n_sections, 6 - CAST(p_partkey % 3 = 0 AS INT) - CAST(p_partkey % 4 = 1 AS INT) - CAST(ai_mode_evidence <> '' AS INT) - CAST(asked AS INT) AS n_empty, '| ean_gtin | ' || CASE WHEN ean <> '' THEN ean ELSE '(missing)' END || ' | ' || CASE WHEN ean <> '' THEN 'I' ELSE '' END || ' |' AS ean_row FROM e""")
+def evidence_views(spark, sf):
+    text = render.evidence_markdown()
+    return _evidence(spark, sf).select(
+        "scrape_id",
+        F.regexp_count(text, F.lit("(?m)^## ")).alias("n_sections"),
+        F.regexp_count(text, F.lit("(?m)^\\| Not captured \\|")).alias("n_empty"),
+        F.regexp_extract(text, r"(?m)^(\| ean_gtin \| [^|]* \| [^|]*\|)", 1).alias("ean_row"),
+    )
+
+
+@query(f"""WITH {_HEALTH} SELECT scrape_id, 'image' AS kind, 1 AS index, '1.jpg' AS path, 'alt' AS label FROM e
+  UNION ALL SELECT scrape_id, 'table', 1, 'tables/table_001.md', 'Facts' FROM e WHERE p_partkey % 3 = 0""")
+def manifests(spark, sf):
+    rows = _evidence(spark, sf)
+    pictures = M.image_manifest(rows, "x").select("scrape_id", F.lit("image").alias("kind"), "index", "path", F.col("alt").alias("label"))
+    return pictures.union(M.table_manifest(rows).select("scrape_id", F.lit("table"), "index", "path", "caption"))
+
+
+@query(f"""WITH {_HEALTH} SELECT scrape_id, CASE WHEN title <> '' THEN title END AS title, n_json_ld AS json_ld_count, capture_grade FROM e""")
+def metadata_payloads(spark, sf):
+    rows = _evidence(spark, sf).withColumns({"capture_decision": F.lit(""), "fetch_profile": F.lit("standard")})
+    made = rows.select("scrape_id", M.metadata_payload().alias("m"))
+    return made.select("scrape_id", F.nullif("m.title", F.lit("")).alias("title"), "m.json_ld_count", "m.capture_grade")
+
+
+@query("""SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'https://a.example.com/x/b.jpg' WHEN 1 THEN 'https://a.example.com/b.jpg' WHEN 2 THEN 'https://c.example.com/d' ELSE 'https://a.example.com/x/y?q=1' END AS joined FROM pages""")
+def joined_urls(spark, sf):
+    register(spark)
+    load(spark, sf, "pages").createOrReplaceTempView("evigrade_pages")
+    return spark.sql("""SELECT page_id, join_url('https://a.example.com/x/y', CASE page_id % 4 WHEN 0 THEN 'b.jpg' WHEN 1 THEN '/b.jpg'
+      WHEN 2 THEN '//c.example.com/d' ELSE '?q=1' END) AS joined FROM evigrade_pages""")
+
+
 # --- quality gate in full ---
 _GATED = f"""WITH g AS (SELECT *, p_partkey % 3 <> 2 AS nm, p_partkey % 3 = 0 AS br, url <> '' AS ur, n_clean > 0 AS vis, n_screenshots > 0 AS sh, product_text_chars >= 80 AS tx, n_structured > 0 AS st, n_axes > 0 AS ax FROM ({S.for_oracle(catalogue._GATE)}))"""
 
