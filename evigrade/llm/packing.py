@@ -173,7 +173,7 @@ def pack_documents(
     piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset and, if
     asked for, ids.  A null text counts as empty and is the end id alone.  Only a
     document longer than a sequence is cut.  Repeated and null doc_ids are packed
-    like any other row.  Places in a sequence are gapless from 0.
+    like any other row.  Places in a sequence are gapless from 0.  An empty table gives an empty result.
     """
     pieces = token_pieces(docs, tokenizer, capacity, with_ids)
     pieces = cut(pieces.withColumn("unit", F.monotonically_increasing_id()))
