@@ -500,7 +500,14 @@ def sha_dedup(spark, sf):
     return images.exact_duplicates(docs)
 
 
-@query()
+@query("""WITH e AS (SELECT vec_id % 50 AS scrape_id, vec_id AS ordinal, CAST(list_reduce(list_prepend(CAST(0 AS BIGINT), list_transform(embedding[1:63], lambda v: CAST(v > 0 AS BIGINT))), lambda a, b: a * 2 + b) AS BIGINT) AS h,
+  CAST(label AS BIGINT) AS area, CAST(vec_id AS BIGINT) AS bytes FROM embeddings),
+g AS (SELECT scrape_id, list({'k': [{'o': ordinal, 'h': h, 'a': area, 'b': bytes}], 'c': [0]} ORDER BY ordinal) AS items, list(ordinal ORDER BY ordinal) AS ordinals FROM e GROUP BY scrape_id),
+f AS (SELECT scrape_id, ordinals, list_reduce(items, lambda s, x: CASE WHEN list_position(list_transform(s.k, lambda y: bit_count(xor(y.h, x.k[1].h)) <= 24), true) IS NULL
+    THEN {'k': list_concat(s.k, x.k), 'c': list_append(s.c, CAST(len(s.k) AS INT))}
+    ELSE {'k': list_transform(s.k, lambda y, i: CASE WHEN i = list_position(list_transform(s.k, lambda z: bit_count(xor(z.h, x.k[1].h)) <= 24), true) AND (x.k[1].a > y.a OR (x.k[1].a = y.a AND x.k[1].b > y.b)) THEN x.k[1] ELSE y END),
+          'c': list_append(s.c, CAST(list_position(list_transform(s.k, lambda z: bit_count(xor(z.h, x.k[1].h)) <= 24), true) - 1 AS INT))} END) AS s FROM g)
+SELECT scrape_id, unnest(ordinals) AS ordinal, unnest(list_transform(ordinals, lambda o: list_contains(list_transform(s.k, lambda y: y.o), o))) AS kept, unnest(s.c) AS cluster FROM f""")
 def phash_dedup(spark, sf):
     bits = F.transform("embedding", lambda v, i: F.when(v > 0, F.expr("1L")).otherwise(F.expr("0L")))
     phash = F.aggregate(F.slice(bits, 1, 63), F.expr("0L"), lambda a, b: a * 2 + b)

@@ -453,6 +453,25 @@ def triage_full(spark, sf):
     return done.select("row_number", "input_id", "manual_review_bucket", "image_failure_bucket", "image_recovery_action", "triage_priority")
 
 
+@query(f"""{_WHOLE}, m AS (SELECT *, {catalogue._any('left(blob, 80000)', vocab.BUSINESS_MARKETPLACE_TERMS)} AS market, concat_ws('; ', CASE WHEN ean_match_status = 'possible_identifier_conflict' THEN 'ean_or_identifier_conflict' END,
+  CASE WHEN identity_match_status = 'input_not_found_in_capture' THEN 'input_identity_not_found_in_capture' END, CASE WHEN category THEN 'category_or_search_page_not_product_detail_page' END, CASE WHEN NOT visual THEN 'clean_product_image_missing' END,
+  CASE WHEN access_status IN {catalogue._in(vocab.BLOCKED_ACCESS)} THEN 'access_status_' || access_status END, CASE WHEN source IN ('fallback_source_used', 'source_context_mismatch') THEN source END) AS conflicts FROM v)
+SELECT row_number, input_id, technical AS technical_success, scrape AS scrape_success, visual AS visual_success, evidence AS evidence_success, detail AS is_product_detail_page, category AS is_category_or_search_page, market AS is_marketplace_page,
+  CASE manual_review_bucket WHEN 'READY_FOR_CODING' THEN 'ready' WHEN 'FAILED_TECHNICAL' THEN 'failed' ELSE 'review' END AS business_validation_status, conflicts AS critical_conflicts,
+  CASE WHEN conflicts <> '' THEN conflicts ELSE manual_review_bucket END AS manual_review_reason, CASE WHEN identity_match_status IN ('matched_by_ean', 'matched_by_title_tokens') THEN 'aligned_or_not_detected'
+  WHEN identity_match_status IN ('weak_match_by_title_tokens', 'partial_token_overlap') THEN 'possible_variant_risk' WHEN identity_match_status = 'input_not_found_in_capture' THEN 'possible_variant_or_wrong_product' ELSE 'not_evaluated' END AS variant_match_status,
+  CASE WHEN visual_evidence_status = 'screenshot_fallback_only' THEN 'screenshot_needs_main_product_review' WHEN market THEN 'marketplace_page_needs_seller_scope_review' WHEN detail THEN 'isolated_main_product' ELSE 'not_isolated_or_not_product_page' END AS main_product_isolation_status,
+  CASE WHEN identity_match_status = 'matched_by_ean' THEN '' ELSE array_to_string(list_filter(words, lambda w: contains(blob, w)), '; ') END AS identity_match_terms,
+  CASE ean_match_status WHEN 'matched' THEN ean WHEN 'possible_identifier_conflict' THEN array_to_string(list_filter(runs, lambda x: x <> ean)[1:8], '; ') ELSE '' END AS ean_conflict_candidates FROM m""")
+def business_columns(spark, sf):
+    found = catalogue._validated(spark, sf)
+    return found.select(
+        "row_number", "input_id", "technical_success", "scrape_success", "visual_success", "evidence_success", "is_product_detail_page",
+        "is_category_or_search_page", "is_marketplace_page", "business_validation_status", "critical_conflicts", "manual_review_reason",
+        "variant_match_status", "main_product_isolation_status", "identity_match_terms", "ean_conflict_candidates",
+    )
+
+
 @query("""SELECT p_partkey, 'a' || p_partkey AS scrape_id, CASE WHEN p_partkey % 2 = 0 THEN 'strong' ELSE 'partial' END AS artifact_quality, 'strong' AS identity_status, p_partkey % 2 = 0 AS ready_for_coding,
   CASE WHEN p_partkey % 2 = 0 THEN 'safe_for_automated_product_coding' ELSE 'code_supported_features_only_and_review_gaps' END AS recommended_downstream_action FROM part""")
 def enriched_artifacts(spark, sf):
