@@ -35,16 +35,17 @@ def image_queue(candidates: DataFrame, most: int = 30) -> DataFrame:
 def exact_duplicates(images: DataFrame) -> DataFrame:
     """One image for each content of a request, the first; alt texts of the others are appended unless contained.
 
-    images: scrape_id, ordinal, sha8, alt.
+    images: scrape_id, ordinal, sha8, alt.  Equal alt texts are one before they are gathered.
     """
-    all_alts = F.transform(F.array_sort(F.collect_list(F.struct("ordinal", filled("alt").alias("alt")))), lambda x: x["alt"])
+    alts = images.groupBy("scrape_id", "sha8", filled("alt").alias("alt")).agg(F.min("ordinal").alias("ordinal"), F.count("*").alias("n"))
+    all_alts = F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "alt"))), lambda x: x["alt"])
 
     def add(seen: Column, alt: Column) -> Column:
         more = F.when(seen == "", alt).otherwise(F.concat(seen, F.lit(" | "), alt))
         return F.when((alt == "") | F.contains(seen, alt), seen).otherwise(more)
 
-    found = images.groupBy("scrape_id", "sha8").agg(
-        F.min("ordinal").alias("ordinal"), F.count("*").alias("copies"), all_alts.alias("_alts")
+    found = alts.groupBy("scrape_id", "sha8").agg(
+        F.min("ordinal").alias("ordinal"), F.sum("n").alias("copies"), all_alts.alias("_alts")
     )
     return found.withColumn("alt", F.aggregate("_alts", F.lit(""), add)).drop("_alts")
 

@@ -74,7 +74,7 @@ def feature_readiness(claims: DataFrame, requests: DataFrame) -> DataFrame:
     found = met.groupBy("scrape_id", "feature").agg(
         F.count("*").alias("matches"),
         F.coalesce(F.bool_or(F.lower(filled("confidence")) == "high"), F.lit(False)).alias("_high"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("evidence_axis")))).alias("evidence_axes"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("evidence_axis")))).alias("evidence_axes"),
     )
     names = F.explode(F.array(*[F.lit(name) for name, _ in vocab.FEATURE_ALIASES])).alias("feature")
     every = requests.select("scrape_id").distinct().select("scrape_id", names)
