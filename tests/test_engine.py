@@ -156,3 +156,22 @@ def test_files_by_path_and_strict_evidence(spark, tmp_path):
     assert [r.title for r in strict_evidence(spark, f"{tmp_path}/good.json").collect()] == ["t", None]
     with pytest.raises(ValueError, match="no list"):
         strict_evidence(spark, f"{tmp_path}/bad.json")
+
+
+def test_other_sinks_and_counts(spark, tmp_path):
+    from evigrade.engine import enrichment_counts
+
+    rows = spark.createDataFrame([("1", "https://x/p", "brand price", "true")], "row_number string, product_url string, title string, success string")
+    sinks.write_business_rows(rows, f"{tmp_path}/business")
+    found = spark.read.options(header=True).csv(f"{tmp_path}/business").first()
+    assert found.ean_match_status == "not_provided" and found.manual_review_bucket.startswith("REVIEW")
+    sinks.append_result_rows(rows, f"{tmp_path}/out")
+    sinks.append_result_rows(rows, f"{tmp_path}/out")
+    assert spark.read.options(header=True).csv(f"{tmp_path}/out").count() == 2
+    debug = spark.createDataFrame([("a", 0, "m", "h", True), ("b", 0, "m", "h", None)], "scrape_id string, ordinal int, raw_markdown string, raw_html string, write_raw_debug boolean")
+    sinks.write_raw_debug(debug, f"{tmp_path}/raw")
+    assert [r.scrape_id for r in spark.read.parquet(f"{tmp_path}/raw").collect()] == ["a"]
+    before = spark.createDataFrame([(1, "x", None), (2, "y", "z")], "k int, a string, b string")
+    after = spark.createDataFrame([(1, "x", "new"), (2, "y", "z")], "k int, a string, b string")
+    assert tuple(enrichment_counts(before, after, ["k"], ["a", "b"]).first()) == (2, 1, 1)
+    assert tuple(enrichment_counts(after, after, ["k"], ["a", "b"]).first()) == (2, 0, 0)
