@@ -19,6 +19,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -31,6 +32,8 @@ from evigrade.session import cut
 
 #: Rows on which the linear classifier is fitted, at most, those with labels first.  All counts are over all rows.
 SAMPLE_ROWS = 20_000
+#: Bits of the bitmap that names labelled documents.
+MEMBER_BITS = 1 << 26
 #: Features that should reach each toxic training row, where so many are telling.
 REACH = 2
 #: Bytes of the word beginnings that are features beside whole words.
@@ -131,7 +134,7 @@ def meet_features(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
     packed = np.packbits(bitmap)
 
     def make(features, at, names, toxic):
-        keep = np.unpackbits(packed)[features] > 0
+        keep = packed[features >> 3] & (128 >> (features & 7)).astype(np.uint8) > 0
         at = at[keep]
         columns = [pa.array(names[at]), pa.array(toxic[at]), pa.array(features[keep].astype(np.int32))]
         return pa.RecordBatch.from_arrays(columns, names=["row", "toxic", "feature"])
@@ -174,6 +177,27 @@ def cover(met: DataFrame, times: int = REACH) -> list[int]:
         open_rows = cut(left.where(F.col("hits") < times).drop("now"))
 
 
+def may_be_in(doc_id: Column, table: DataFrame) -> Column:
+    """Whether a hash of the doc_id is among those of the table: false for most that aren't there, true for all that are.
+
+    The hashes are a bitmap of MEMBER_BITS bits, whatever the table's size; a very long table lets more through.
+    """
+    of = lambda c: F.pmod(F.xxhash64(c, F.lit(17)), F.lit(MEMBER_BITS))
+    hashed = table.where("doc_id is not null").select(of(F.col("doc_id")).alias("h"))
+    position = F.col("h").bitwiseAND(F.lit(32767))
+    parts = hashed.groupBy(F.shiftright("h", 15).alias("part")).agg(F.bitmap_construct_agg(position).alias("bits")).collect()
+    bitmap = np.zeros(MEMBER_BITS >> 3, np.uint8)
+    for r in parts:
+        bitmap[r["part"] << 12 : (r["part"] + 1) << 12] = np.frombuffer(bytes(r["bits"]), np.uint8)
+
+    @F.pandas_udf("boolean")
+    def known(h: pd.Series) -> pd.Series:
+        at = h.to_numpy()
+        return pd.Series((bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0)
+
+    return doc_id.isNotNull() & known(of(F.coalesce(doc_id, F.lit(0))))
+
+
 def mine_features(docs: DataFrame, labels: DataFrame) -> list[int]:
     """Features that mark toxic texts among all training labels.
 
@@ -186,7 +210,8 @@ def mine_features(docs: DataFrame, labels: DataFrame) -> list[int]:
     given = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("row"), "text")
     single = given.select("doc_id", "row").join(train, "doc_id").groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.avg("toxic").alias("toxic"))
     single = cut(single)
-    texts = given.join(single, ["doc_id", "row"])
+    # only texts that may have a label travel to the join, which then decides
+    texts = cut(given.where(may_be_in(F.col("doc_id"), single)).join(single, ["doc_id", "row"]).select("row", "toxic", "text"))
     counts = count_features(texts).where(wilson_low(F.col("a"), F.col("n"), 2.0) > 0.5)
     wanted = counts.select("feature").toArrow()["feature"].to_numpy()
     if not len(wanted):
