@@ -210,8 +210,9 @@ def mine_features(docs: DataFrame, labels: DataFrame) -> list[int]:
     given = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("row"), "text")
     single = given.select("doc_id", "row").join(train, "doc_id").groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.avg("toxic").alias("toxic"))
     single = cut(single)
-    # only texts that may have a label travel to the join, which then decides
-    texts = cut(given.where(may_be_in(F.col("doc_id"), single)).join(single, ["doc_id", "row"]).select("row", "toxic", "text"))
+    # only texts that may have a label travel to the join, which then decides; it is a shuffle at every size
+    likely = given.where(may_be_in(F.col("doc_id"), single))
+    texts = cut(likely.join(single.hint("merge"), ["doc_id", "row"]).select("row", "toxic", "text"))
     counts = count_features(texts).where(wilson_low(F.col("a"), F.col("n"), 2.0) > 0.5)
     wanted = counts.select("feature").toArrow()["feature"].to_numpy()
     if not len(wanted):
