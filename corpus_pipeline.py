@@ -9,7 +9,9 @@ documents of their own in every stage.  An empty table passes as an empty table.
 
 from __future__ import annotations
 
+import functools
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,16 +21,35 @@ from evigrade.llm.mixing import mix_documents
 from evigrade.llm.packing import pack_documents
 from evigrade.llm.surrogates import replace_pii
 from evigrade.llm.toxicity import drop_toxic
-from evigrade.session import at_release, load, shared_dir, spread
+from evigrade.session import at_release, cuts, load, release, shared_dir, spread
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+_made: list[str] = []
+
+
+def _stage(function: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage that first removes what the stage before it left in the shared folder: its result has been written by then."""
+
+    @functools.wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark, _made)
+        known = set(cuts())
+        result = function(spark, docs, sf_dir)
+        _made[:] = [path for path in cuts() if path not in known]
+        return result
+
+    return run
+
+
+@_stage
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go; null and empty texts stay."""
     return drop_toxic(docs, load(spark, sf_dir, "labels")).select(*COLUMNS)
 
 
+@_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: five-word shingles, similarity 0.8.
 
@@ -37,12 +58,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_near_duplicates(docs).select(*COLUMNS)
 
 
+@_stage
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and secrets get surrogates; a null text stays null and its n_chars is null."""
     replaced = replace_pii(docs)
     return replaced.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+@_stage
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often and in the order in which the sources' schedules ask for them; texts without words never."""
     return mix_documents(docs).select(*COLUMNS)
@@ -50,6 +73,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces packed into sequences; equal rows have pieces of their own."""
+    release(spark, _made)
+    _made.clear()
     return pack_documents(docs)
 
 
@@ -69,8 +94,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`."""
     docs = spread(load(spark, sf_dir, "documents"))
     folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    at_release(folder)
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    result = STAGES[-1][1](spark, docs, sf_dir)
+    at_release(folder)
+    return result

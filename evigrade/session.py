@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import gc
 import tempfile
 import uuid
 
@@ -83,13 +84,25 @@ def at_release(path: str) -> None:
     _cuts.append(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Remove the tables that cut() wrote and other intermediate folders; their readers must have ended."""
+def cuts() -> list[str]:
+    """The folders that release() would remove now."""
+    return list(_cuts)
+
+
+def release(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Remove the tables that cut() wrote and other intermediate folders, all or some; their readers must have ended.
+
+    Shuffle files of tables that nobody holds any more go with them.
+    """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _cuts:
-        path = jvm.org.apache.hadoop.fs.Path(_cuts.pop())
+    for name in cuts() if paths is None else paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
+        if name in _cuts:
+            _cuts.remove(name)
+    gc.collect()
+    jvm.System.gc()
 
 
 @atexit.register
