@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evigrade.llm.divergence import audit_sources
 from evigrade.llm.embedding_join import cosine_links
 from evigrade.llm.fingerprints import fingerprints_with_edits
 from evigrade.llm.license_scan import scan_licenses
@@ -87,6 +88,10 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken", *times, *positions)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_sources(documents(spark, sf_dir))
+
+
 def _knots() -> str:
     """The sources' schedules as rows of SQL values: class, piece, its two times and two multipliers."""
     rows = []
@@ -107,6 +112,7 @@ QUERIES = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_balanced_sharding": op9_balanced_sharding,
     "op10_source_mixing": op10_source_mixing,
+    "op11_source_divergence": op11_source_divergence,
 }
 
 #: DuckDB SQL for the same rows.
@@ -173,5 +179,41 @@ SELECT p.doc_id, p.size, p.source_size, p.target,
        round(f.time, 9) AS first_time, round(s.time, 9) AS second_time,
        f.position AS first_position, s.position AS second_position
 FROM placed p LEFT JOIN ordered f ON f.doc_id = p.doc_id AND f.copy = 0 LEFT JOIN ordered s ON s.doc_id = p.doc_id AND s.copy = 1
+""",
+    "op11_source_divergence": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), places AS (
+  SELECT doc, lang, source, unnest(words) AS term FROM docs
+), kept AS (
+  SELECT lang, term, count(*) AS n FROM places GROUP BY lang, term HAVING count(DISTINCT doc) >= 3
+), groups AS (
+  SELECT DISTINCT lang, source FROM docs
+), counts AS (
+  SELECT lang, source, term, count(*) AS n FROM places GROUP BY ALL
+), grid AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS lang_n
+  FROM groups g JOIN kept k ON k.lang = g.lang LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), shares AS (
+  SELECT lang, source, term, n,
+         1 + 1000000000::HUGEINT * (n + 1) // (sum(n) OVER g + count(*) OVER g) AS p,
+         1 + 1000000000::HUGEINT * (lang_n + 1) // (sum(lang_n) OVER g + count(*) OVER g) AS q
+  FROM grid WINDOW g AS (PARTITION BY lang, source)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source GROUP BY ALL
+), rows AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM groups a JOIN groups b ON b.lang = a.lang AND b.source <> a.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM rows QUALIFY part = 'pair' OR rank <= 200
 """,
 }
