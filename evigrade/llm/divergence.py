@@ -5,7 +5,7 @@ share p.  Terms of a group are ranked by f = floor((p - q)^2 / q) against the
 language's share q, which grows with p and, above q, falls with q.  So the terms of a
 group are put into buckets by their count, and the bucket's highest p and lowest q
 bound f for all its terms.  Buckets are opened best bound first, in rounds that
-each take four times the terms of the one before; a group is done once every
+each reach eight times the terms of the one before; a group is done once every
 bucket that it has not opened is bounded strictly below its last ranked value.
 
 Sources of a language are compared over all kept terms.  Postings (the sources
@@ -15,15 +15,21 @@ neither has are summed from the histogram of a source's shares.
 
 from __future__ import annotations
 
-import string
+from collections import Counter, defaultdict
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evigrade.session import cut
 
-#: A term is a run of letters of any script: ASCII letters and everything beyond ASCII.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: A term is a run of letters of any script: ASCII letters and every byte of UTF-8 beyond ASCII.
+#: This table turns A-Z to lower case and every byte that belongs to no term to a space.
+TERM_BYTES = bytes(b if b > 0x7F else ord(chr(b).lower()) if chr(b).isalpha() else 0x20 for b in range(256))
+#: Terms that a task counts before it hands them on, and bytes of a text that it takes apart at once.
+HELD_TERMS = 500_000
+STRETCH = 1 << 20
 SCALE = 1_000_000_000
 #: Counts below this are buckets of their own, those above share 16 buckets for each doubling.
 EXACT_COUNTS = 64
@@ -32,18 +38,57 @@ SALTS = 16
 _GROUP = ["lang", "source"]
 
 
+def _words(text: bytes) -> Iterator[list[bytes]]:
+    """The terms of a text in order, a stretch at a time."""
+    text, start = text.translate(TERM_BYTES), 0
+    while start < len(text):
+        end = text.find(b" ", start + STRETCH)
+        end = len(text) if end < 0 else end
+        yield text[start:end].split()
+        start = end
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partial counts by group and term."""
+    places, holders = defaultdict(Counter), defaultdict(Counter)
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for (lang, source), counts in places.items():
+            of_docs, terms = holders[lang, source], list(counts)
+            columns = [
+                pa.repeat(lang, len(terms)),
+                pa.repeat(source, len(terms)),
+                pa.array(terms, pa.binary()),
+                pa.array(counts.values(), pa.int64()),
+                pa.array(map(of_docs.__getitem__, terms), pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n", "docs"])
+        places.clear()
+        holders.clear()
+
+    held = 0
+    for batch in batches:
+        for lang, source, text in zip(*(column.to_pylist() for column in batch.columns)):
+            counts, of_docs = places[lang, source], holders[lang, source]
+            before, distinct = len(counts), set()
+            for words in _words(text):
+                counts.update(words)
+                distinct.update(words)
+            of_docs.update(distinct)
+            held += len(counts) - before
+            if held > HELD_TERMS:
+                yield from flush()
+                held = 0
+    yield from flush()
+
+
 def term_counts(docs: DataFrame) -> DataFrame:
     """lang, source, term, n (occurrences), docs (documents that hold it); null fields read as ''."""
-    named = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")]
-    words = F.regexp_extract_all(F.translate("text", string.ascii_uppercase, string.ascii_lowercase), F.lit(TERM), F.lit(0))
-    found = docs.select(*named).select(*_GROUP, words.alias("words"))
-    # each word once for its place, then each distinct word once for its document
-    placed = found.select(
-        *_GROUP, F.size("words").alias("places"), F.posexplode(F.concat("words", F.array_distinct("words"))).alias("at", "term")
-    )
-    is_place = F.col("at") < F.col("places")
-    return placed.groupBy(*_GROUP, "term").agg(
-        F.count_if(is_place).alias("n"), F.count_if(~is_place).alias("docs")
+    named = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    counted = docs.select(*named, text.alias("text")).mapInArrow(_count, "lang string, source string, term binary, n long, docs long")
+    return (
+        counted.groupBy(*_GROUP, F.col("term").cast("string").alias("term")).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     )
 
 
@@ -118,7 +163,7 @@ def term_ranks(postings: DataFrame, limit: int) -> DataFrame:
         rows = postings.withColumn("salt", _salt("term")).join(_salted(chosen), [*_GROUP, "bucket", "salt"]).where("p > q")
         rows = rows.select(*_GROUP, F.col("term").alias("item"), _f(F.col("p"), F.col("q")).alias("value"))
         ranks = cut(_ranked(ranks.drop("rank").unionByName(rows), limit))
-        opened, reach = reach, reach * 4
+        opened, reach = reach, reach * 8
 
 
 def pair_sums(postings: DataFrame, groups: DataFrame) -> DataFrame:
@@ -170,8 +215,7 @@ def audit_sources(docs: DataFrame, least_docs: int = 3, limit: int = 200) -> Dat
     go by value downwards, then by the item's UTF-8.  Repeated rows are documents of their own; empty texts only make
     their group occur; an empty table gives an empty result.  Sums beyond 64 bits raise.
     """
-    counted = cut(term_counts(docs))
-    kept = cut(_postings(counted, least_docs))
+    kept = cut(_postings(term_counts(docs), least_docs))
     groups = cut(_groups(docs, kept))
     sizes = _salted(groups.select(*_GROUP, "total", "lang_total", "terms"))
     placed = kept.withColumn("salt", _salt("term")).join(sizes, [*_GROUP, "salt"])
