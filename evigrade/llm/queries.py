@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evigrade.llm.alignment import align_tokenizers
 from evigrade.llm.divergence import audit_sources
 from evigrade.llm.embedding_join import cosine_links
 from evigrade.llm.fingerprints import fingerprints_with_edits
@@ -92,6 +93,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_sources(documents(spark, sf_dir))
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(documents(spark, sf_dir))
+
+
 def _knots() -> str:
     """The sources' schedules as rows of SQL values: class, piece, its two times and two multipliers."""
     rows = []
@@ -113,6 +118,7 @@ QUERIES = {
     "op9_balanced_sharding": op9_balanced_sharding,
     "op10_source_mixing": op10_source_mixing,
     "op11_source_divergence": op11_source_divergence,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
 }
 
 #: DuckDB SQL for the same rows.

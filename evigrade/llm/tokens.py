@@ -29,7 +29,7 @@ _WORD_SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\s{_LE
 _END = b"\xff"
 
 
-def _byte_alphabet() -> dict[str, int]:
+def byte_alphabet() -> dict[str, int]:
     """The printable character of byte-level vocabularies for each byte."""
     printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     others = [b for b in range(256) if b not in printable]
@@ -46,7 +46,7 @@ class WordTokenizer:
         with open(path, encoding="utf-8") as file:
             vocabulary = json.load(file)["model"]["vocab"]
         special = {t.content for t in self.whole.get_added_tokens_decoder().values()}
-        letters = _byte_alphabet()
+        letters = byte_alphabet()
         ranks = {_END: 1 << 30}
         for token, rank in vocabulary.items():
             if token not in special:
