@@ -14,6 +14,7 @@ from evigrade.llm.fingerprints import fingerprints_with_edits
 from evigrade.llm.license_scan import scan_licenses
 from evigrade.llm.minhash_dedup import near_duplicates
 from evigrade.llm.mixing import SCHEDULES, mix_positions
+from evigrade.llm.neighbours import nearest
 from evigrade.llm.packing import pack_documents
 from evigrade.llm.rollups import RollupStore, count_documents, deletes, inserts, revisions
 from evigrade.llm.sharding import balanced_shards
@@ -97,6 +98,10 @@ def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokenizers(documents(spark, sf_dir))
 
 
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(spread(load(spark, sf_dir, "embeddings")), F.col("vec_id") % 20 == 0, 20)
+
+
 def _knots() -> str:
     """The sources' schedules as rows of SQL values: class, piece, its two times and two multipliers."""
     rows = []
@@ -119,6 +124,7 @@ QUERIES = {
     "op10_source_mixing": op10_source_mixing,
     "op11_source_divergence": op11_source_divergence,
     "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
 }
 
 #: DuckDB SQL for the same rows.
