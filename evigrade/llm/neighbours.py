@@ -137,24 +137,23 @@ class Lists:
     def calibrate(self, vectors: np.ndarray, points: np.ndarray) -> None:
         """The least ratio that finds RECALL of the trial queries' 20 nearest among the sample."""
         trial = np.unique(np.linspace(0, len(vectors) - 1, TRIALS).astype(int))
-        some = np.flatnonzero(np.abs(vectors[trial]).max(1) > 0)
-        trial = trial[some]
-        aims = _aim(vectors[trial])
-        scores = aims @ points.T
-        scores[np.arange(len(trial)), trial] = -np.inf
+        trial = trial[np.abs(vectors[trial]).max(1) > 0]
         k = min(20, len(vectors) - 1)
         if not k or not len(trial):
             return
-        nearest = np.argpartition(-scores, k - 1, axis=1)[:, :k]
-        row, home = self.homes(points)
-        far = self._distances(aims, *(x.ravel() for x in np.meshgrid(np.arange(len(aims)), np.arange(len(self.centroids)), indexing="ij")))
-        far = far.reshape(len(aims), -1)
-        order = np.argsort(row, kind="stable")
-        first = np.searchsorted(row[order], np.arange(len(points) + 1))
-        homes = home[order]
-        needed = [
-            far[q, homes[first[v] : first[v + 1]]].min() / max(far[q].min(), 1e-300) for q in range(len(trial)) for v in nearest[q]
-        ]
+        found = [self.homes(points[low : low + 1024]) for low in range(0, len(points), 1024)]
+        homes = np.concatenate([home for _, home in found])
+        first = np.concatenate([[0], np.cumsum(np.concatenate([np.bincount(row) for row, _ in found]))])
+        needed = []
+        for low in range(0, len(trial), 32):
+            some = trial[low : low + 32]
+            aims = _aim(vectors[some])
+            scores = aims @ points.T
+            scores[np.arange(len(some)), some] = -np.inf
+            near = np.argpartition(scores, -k, axis=1)[:, -k:]
+            far = np.sqrt(np.maximum(1 + self.squares[None, :] - 2 * aims @ self.centroids.T, 0))
+            least = np.maximum(far.min(1), 1e-300)
+            needed += [far[q, homes[first[v] : first[v + 1]]].min() / least[q] for q in range(len(some)) for v in near[q]]
         self.ratio = float(np.quantile(needed, RECALL)) * (1 + 1e-9)
 
     def probes(self, aims: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
