@@ -47,16 +47,9 @@ SELECT b.part, a.id, b.id FROM b ASOF JOIN a ON b.lo > a.lo WHERE b.lo < a.hi
 """
 _PAIRS = "SELECT part, a, b, count(*) AS n FROM links GROUP BY ALL ORDER BY part"
 _GROUPS = """
-WITH tokens AS (
-  SELECT part, 0 AS side, id, lo, hi FROM a UNION ALL SELECT part, 1, id, lo, hi FROM b
-), ends AS (
-  SELECT hi FROM a SEMI JOIN b USING (hi)
-), numbered AS (
-  SELECT t.*, coalesce(sum((e.hi IS NOT NULL)::INT) OVER (PARTITION BY side ORDER BY lo
-                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cell
-  FROM tokens t LEFT JOIN ends e USING (hi)
-)
-SELECT part, side, id, cell FROM numbered ORDER BY cell, side, lo
+SELECT place, coalesce(sum((hi IN (SELECT hi FROM {other}))::INT) OVER (
+         ORDER BY lo ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INT AS cell
+FROM {side}
 """
 
 
@@ -132,9 +125,8 @@ class Aligner:
         if not text:
             return none, none
         whole, a, b = f" {text}".encode(), self.a.encode(f" {text}"), self.b.encode(text)
-        for side, ids in ((self.a, a), (self.b, b)):
-            if b"".join(map(side.bytes.__getitem__, ids)) != whole:
-                return none, none
+        if self.a.quick.decode_bytes(a) != whole or b"".join(map(self.b.bytes.__getitem__, b)) != whole:
+            return none, none
         return np.array(a, np.int64), np.array(b, np.int64)
 
     def parts(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -156,34 +148,51 @@ class Aligner:
         ids = np.concatenate(parts)
         hi = np.cumsum(self.sizes[side][ids])
         part = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p) for p in parts])
-        return pa.table({"part": part, "id": ids.astype(np.int32), "lo": hi - self.sizes[side][ids], "hi": hi})
+        place = np.arange(len(ids), dtype=np.int32)
+        lo = hi - self.sizes[side][ids]
+        return pa.table({"part": part, "place": place, "id": ids.astype(np.int32), "lo": lo.astype(np.int32), "hi": hi.astype(np.int32)})
 
     def align(self, parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[str, int, np.ndarray, np.ndarray]]:
         """For each part: its groups as text, their number, and the keys and counts of its linked pairs."""
+        ids = []
         for side, name in enumerate("ab"):
-            self.db.register(f"given_{name}", self._table(side, [p[side] for p in parts]))
+            table = self._table(side, [p[side] for p in parts])
+            ids.append(table.column("id").to_numpy())
+            self.db.register(f"given_{name}", table)
             self.db.execute(f"CREATE OR REPLACE TEMP TABLE {name} AS FROM given_{name}")
             self.db.unregister(f"given_{name}")
         self.db.execute(_LINKS)
         pairs = self.db.sql(_PAIRS).fetchnumpy()
         keys = pairs["a"].astype(np.int64) * self.base + pairs["b"]
         pair_ends = np.searchsorted(pairs["part"], np.arange(len(parts) + 1))
-        tokens = self.db.sql(_GROUPS).fetchnumpy()
-        part, cell = tokens["part"], tokens["cell"]
-
-        def last(*columns: np.ndarray) -> np.ndarray:
-            """Rows after which one of the columns changes."""
-            return np.append(np.any([c[1:] != c[:-1] for c in columns], axis=0), True) if len(part) else np.empty(0, bool)
-
-        of_part, of_cell, of_side = last(part), last(part, cell), last(part, cell, tokens["side"])
-        end = np.select([of_part, of_cell, of_side], [3, 2, 1], 0)
-        texts = list(map(self.texts.__getitem__, (end * self.ids + tokens["id"]).tolist()))
-        token_ends = np.searchsorted(part, np.arange(len(parts) + 1))
-        cells = np.concatenate([[0], np.cumsum(of_cell)])
-        for p in range(len(parts)):
-            low, high = token_ends[p], token_ends[p + 1]
+
+        cells = []
+        for side, other in ("ab", "ba"):
+            found = self.db.sql(_GROUPS.format(side=side, other=other)).fetchnumpy()
+            cell = np.empty(len(found["place"]), np.int32)
+            cell[found["place"]] = found["cell"]
+            cells.append(cell)
+        ends, names = self._places(parts, ids, cells)
+        texts = list(map(self.texts.__getitem__, names.tolist()))
+        low = 0
+        for p, high in enumerate(np.flatnonzero(ends == 3) + 1):
             some = slice(pair_ends[p], pair_ends[p + 1])
-            yield "".join(texts[low:high]), int(cells[high] - cells[low]), keys[some], pairs["n"][some].astype(np.int64)
+            groups = 1 + np.count_nonzero(ends[low:high] == 2)
+            yield "".join(texts[low:high]), int(groups), keys[some], pairs["n"][some].astype(np.int64)
+            low = high
+
+    def _places(self, parts, ids: list[np.ndarray], cells: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """All tokens by cell, then side: what follows each (0 token, 1 other side, 2 cell, 3 part), and its text's number."""
+        a, b = cells
+        # a token stands behind its own side's tokens and the other side's tokens of earlier cells, or of its own cell for B
+        place_a = np.arange(len(a)) + np.searchsorted(b, a, "left")
+        place_b = np.arange(len(b)) + np.searchsorted(a, b, "right")
+        ends, names = np.zeros(len(a) + len(b), np.int8), np.empty(len(a) + len(b), np.int64)
+        names[place_a], names[place_b] = ids
+        ends[place_a[np.append(a[1:] != a[:-1], True)]] = 1
+        ends[place_b[np.append(b[1:] != b[:-1], True)]] = 2
+        ends[place_b[np.cumsum([len(p[1]) for p in parts]) - 1]] = 3
+        return ends, ends.astype(np.int64) * self.ids + names
 
 
 class _Document:
