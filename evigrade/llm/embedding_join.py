@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evigrade.llm.components import connected_components
+from evigrade.llm.vectors import is_sound, matrix, typed
 from evigrade.session import cut
 
 #: Members of a block about; pivots at most.
@@ -34,19 +35,8 @@ MOST_PIVOTS = 1024
 _EDGE = 1e-9
 
 
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    """Rows of a list column in double precision, short ones padded with zeros."""
-    lengths = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    if (lengths == width).all():
-        return flat.reshape(-1, width)
-    out = np.zeros((len(column), width))
-    row = np.repeat(np.arange(len(column)), lengths)
-    out[row, np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = flat
-    return out
-
-
 def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1, whatever their scale: by the largest component first, so that no square is lost or overflows."""
     x = x / np.abs(x).max(1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
@@ -62,7 +52,7 @@ def _assign(classes: DataFrame, pivots: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                angles = _angles(_unit(_matrix(batch.column(2), width)), pivots)
+                angles = _angles(_unit(matrix(batch.column(2), width)), pivots)
                 cell = angles.argmin(1)
                 more = [pa.array(cell.astype(np.int32)), pa.array(angles[np.arange(len(cell)), cell])]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "cell", "angle"])
@@ -86,7 +76,7 @@ def _visits(placed: DataFrame, pivots: np.ndarray, cells: dict[int, tuple[int, f
         for whole in batches:
             for low in range(0, whole.num_rows, 512):
                 batch = whole.slice(low, 512)
-                x = _unit(_matrix(batch.column(2), width))
+                x = _unit(matrix(batch.column(2), width))
                 cell = batch.column(3).to_numpy(zero_copy_only=False)
                 own = base[cell] + batch.column(5).to_numpy(zero_copy_only=False)
                 dots = x @ pivots.T
@@ -121,19 +111,17 @@ class _Block:
     def add(self, ids, mults, x, dims) -> None:
         self.ids.append(ids), self.mults.append(mults), self.rows.append(x), self.dims.append(dims)
 
-    def _linked(self, x, norms, dims, first: int = 0) -> np.ndarray:
-        cosine = (self.x[first:] @ x.T) / (self.norms[first:, None] * norms[None, :])
-        return (cosine >= self.threshold) & (self.dim[first:, None] == dims[None, :])
+    def _linked(self, x, dims) -> np.ndarray:
+        return (self.x @ x.T >= self.threshold) & (self.dim[:, None] == dims[None, :])
 
     def close_members(self) -> None:
         self.ready = True
         self.id, self.mult = np.concatenate(self.ids), np.concatenate(self.mults)
-        self.x, self.dim = np.concatenate(self.rows), np.concatenate(self.dims)
-        self.norms = np.linalg.norm(self.x, axis=1)
+        self.x, self.dim = _unit(np.concatenate(self.rows)), np.concatenate(self.dims)
         self.links = np.zeros(len(self.id), np.int64)
         self.root = np.arange(len(self.id))
         for low in range(0, len(self.id), 512):
-            found = self._linked(self.x[low : low + 512], self.norms[low : low + 512], self.dim[low : low + 512])
+            found = self._linked(self.x[low : low + 512], self.dim[low : low + 512])
             at = np.arange(found.shape[1])
             found[low + at, at] = False
             self.links += found @ self.mult[low : low + 512]
@@ -149,7 +137,7 @@ class _Block:
 
     def visit(self, ids, mults, x, dims):
         """Counts and one edge for each visitor that has links here."""
-        found = self._linked(x, np.linalg.norm(x, axis=1), dims)
+        found = self._linked(_unit(x), dims)
         self.links += found @ mults
         counts = self.mult @ found
         some = np.flatnonzero(counts)
@@ -190,7 +178,7 @@ def _compare(width: int, threshold: float):
                         yield from finish(block)
                         block, name = _Block(width, threshold), batch.column(0)[0].as_py()
                     ids, mults = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
-                    x = _matrix(batch.column(4), width)
+                    x = matrix(batch.column(4), width)
                     dims = batch.column(4).value_lengths().to_numpy(zero_copy_only=False)
                     if not batch.column(1)[0].as_py():
                         block.add(ids, mults, x, dims)
@@ -218,15 +206,9 @@ def cosine_links(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     id and is kept.  An empty table gives an empty result.
     """
     spark = vectors.sparkSession
-    e = F.col("embedding")
-    number = F.forall(e, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    sound = F.coalesce(number & F.exists(e, lambda v: v != 0), F.lit(False))
-    # float and double hold what they are given; other numbers become double
-    kind = dict(vectors.dtypes)["embedding"]
-    kind = kind if kind in ("array<float>", "array<double>") else "array<double>"
-    given = vectors.select(F.col("vec_id").cast("long"), e.cast(kind).alias("embedding"))
-    given = given.withColumn("key_a", F.when(sound, F.xxhash64("embedding")))
-    given = cut(given.withColumn("key_b", F.when(sound, F.xxhash64(F.lit(1), "embedding"))))
+    given = typed(vectors.select(F.col("vec_id").cast("long"), "embedding")).withColumn("sound", is_sound())
+    given = given.withColumn("key_a", F.when(F.col("sound"), F.xxhash64("embedding")))
+    given = cut(given.withColumn("key_b", F.when(F.col("sound"), F.xxhash64(F.lit(1), "embedding"))).drop("sound"))
     known = given.where("key_a is not null")
     classes = known.groupBy("key_a", "key_b").agg(
         F.count("*").alias("mult"), F.min("vec_id").alias("least"), F.first("embedding").alias("embedding")

@@ -131,3 +131,16 @@ def test_empty_tables(spark, docs, labels):
     assert minhash_dedup.near_duplicates(none).count() == 0
     assert sharding.balanced_shards(none).count() == 0
     assert mixing.mix_plan(none).count() == 0
+
+
+def test_cosine_links_at_any_scale(spark):
+    rows = [
+        (1, [1e-200, 0.0]), (2, [1e-4, 1.0]), (3, [1.0, 0.0]), (4, [1e200, 1e200]), (5, [2e200, 2.00001e200]),
+        (6, [5e-324, 0.0]), (7, [0.0, -1e308]), (8, [0.0, -1.7e308]), (9, [float("inf"), 1.0]), (10, [0.0, 0.0]), (11, None),
+        (12, [None, 1.0]), (13, [1.0]),
+    ]
+    found = {r.vec_id: (r.n_links, r.component_id) for r in embedding_join.cosine_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert found == {
+        1: (2, 1), 3: (2, 1), 6: (2, 1), 2: (0, 2), 4: (1, 4), 5: (1, 4), 7: (1, 7), 8: (1, 7), 9: (0, 9), 10: (0, 10), 11: (0, 11),
+        12: (0, 12), 13: (0, 13),
+    }

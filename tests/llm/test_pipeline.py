@@ -34,3 +34,26 @@ def test_stages(spark, tmp_path):
     assert abs(words(after) - 1.5 * words(before)) < 50
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
     assert packed.agg(F.count_distinct("doc_id")).first()[0] == docs.select("doc_id").distinct().count()
+
+
+def test_stages_compose_without_tables_between(spark):
+    docs = load(spark, FOLDER, "documents")
+    clean = corpus_pipeline.toxicity(spark, docs, FOLDER)
+    several = corpus_pipeline.near_dedup(spark, clean, FOLDER)
+    other = corpus_pipeline.toxicity(spark, docs, FOLDER)
+    assert 0 < several.count() < clean.count() == other.count()
+
+
+def test_stages_on_empty_tables_nulls_and_clashing_columns(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    empty = spark.createDataFrame([], schema)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, FOLDER).count() == 0
+    rows = [(None, None, None, None, None), (1, "", "en", "a", 0), (1, "", "en", "a", 0), (2, "one two three", None, "b", 13), (2, "one two three", None, "b", 13)]
+    docs = spark.createDataFrame(rows, schema).withColumns({"_score": F.lit("x"), "key": F.lit(1), "Shard": F.lit(2)})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, FOLDER)
+        assert found.columns == list(corpus_pipeline.COLUMNS)
+        assert found.where("text is null").count() == (0 if name == "mixing" else 1)
+    packed = corpus_pipeline.packing(spark, docs, FOLDER)
+    assert packed.agg(F.count_distinct("doc_id")).first()[0] >= 2
