@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import functools
 import uuid
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,18 +27,32 @@ from evigrade.session import at_release, cuts, load, release, shared_dir, spread
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-_made: list[str] = []
+#: Results of stages, and the folders in the shared folder that each of them reads.
+_made: list[tuple[weakref.ref, list[str]]] = []
+
+
+def _sweep(docs: DataFrame) -> None:
+    """Remove what earlier stages left in the shared folder, unless their result is still held or docs read it."""
+    read = docs.inputFiles() if _made else []
+    for entry in list(_made):
+        result, paths = entry
+        if result() is None and not any(path.split(":", 1)[-1].lstrip("/") in file for path in paths for file in read):
+            release(docs.sparkSession, paths)
+            _made.remove(entry)
 
 
 def _stage(function: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
-    """A stage that first removes what the stage before it left in the shared folder: its result has been written by then."""
+    """A stage that notes what it leaves in the shared folder; a later one removes it once the result has been written and dropped.
+
+    Stages may also be composed without a table between them: then the folders stay until release().
+    """
 
     @functools.wraps(function)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        release(spark, _made)
+        _sweep(docs)
         known = set(cuts())
         result = function(spark, docs, sf_dir)
-        _made[:] = [path for path in cuts() if path not in known]
+        _made.append((weakref.ref(result), [path for path in cuts() if path not in known]))
         return result
 
     return run
@@ -71,10 +86,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mix_documents(docs).select(*COLUMNS)
 
 
+@_stage
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces packed into sequences; equal rows have pieces of their own."""
-    release(spark, _made)
-    _made.clear()
     return pack_documents(docs)
 
 
