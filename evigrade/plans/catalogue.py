@@ -233,10 +233,15 @@ def capture_flags(spark, sf):
     return S.make(spark, sf, S.RESULTS).select("row_number", *[c.alias(n) for n, c in flags.items()])
 
 
-@query(f"""SELECT count(*) AS total, count(*) FILTER (success = 'true') AS succeeded, count(*) FILTER (success <> 'true') AS failed,
-  count(*) FILTER (requires_manual_review = 'true') AS needs_review FROM ({S.for_oracle(S.RESULTS)})""")
+@query(f"""WITH r AS ({S.for_oracle(S.RESULTS)})
+SELECT count(*) AS total, count(*) FILTER (success = 'true') AS succeeded, count(*) FILTER (success <> 'true') AS failed,
+  count(*) FILTER (requires_manual_review = 'true') AS needs_review,
+  (SELECT string_agg(artifact_quality || '=' || n, ',' ORDER BY artifact_quality)
+   FROM (SELECT artifact_quality, count(*) AS n FROM r GROUP BY artifact_quality)) AS quality_counts FROM r""")
 def batch_summary(spark, sf):
-    return batch.batch_summary(S.make(spark, sf, S.RESULTS))
+    summary = batch.batch_summary(S.make(spark, sf, S.RESULTS))
+    pairs = F.transform(F.array_sort(F.map_entries("quality_counts")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return summary.withColumn("quality_counts", F.array_join(pairs, ","))
 
 
 _PRIORITY = "CASE b " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in vocab.TRIAGE_PRIORITY.items()) + f" ELSE {vocab.DEFAULT_PRIORITY} END"
