@@ -687,4 +687,4 @@ def audit_summary(spark, sf):
     return audit.audit_summary(audit.audit_artifacts(S.make(spark, sf, S.FILES)))
 
 
-from evigrade.plans import evidence_queries  # noqa: E402, F401  registers its queries
+from evigrade.plans import evidence_queries, planner_queries  # noqa: E402, F401  they register their queries

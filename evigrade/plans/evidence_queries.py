@@ -13,7 +13,7 @@ from evigrade.functions import text as T
 from evigrade.functions import urls as U
 from evigrade.functions import vocab
 from evigrade.functions.register import register
-from evigrade.operators import batch, capture, evidence, images, quality, render
+from evigrade.operators import batch, capture, evidence, images, planner, quality, render
 from evigrade.operators import manifests as M
 from evigrade.plans import catalogue
 from evigrade.plans import synthetic as S
@@ -268,7 +268,7 @@ def followup_merge(spark, sf):
 
     a = whole(_PRIMARY, [picture("u1", "a")], "1", F.array(F.lit("standard")))
     b = whole(_EXTRA, [picture("u1", "b"), picture("u2", "c")], "2", none)
-    merged = capture.merge_followup(a, b)
+    merged = planner.merge_followups(a, b)
     shown = F.array_join(F.transform("images", lambda i: F.concat(i["url"], F.lit("="), i["alt"])), ",")
     return merged.select(
         "scrape_id", "success", "status", "error", "access_status", "proxy_used", "title", "raw_markdown", "raw_html", shown.alias("images"),
