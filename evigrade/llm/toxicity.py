@@ -24,10 +24,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from evigrade.llm import text_kernel as tk
 from evigrade.llm.label_model import LabelModel, fit_label_model, fit_linear
-from evigrade.llm.skew import unused
 from evigrade.session import cut
 
 #: Rows on which the linear classifier is fitted, at most, those with labels first.  All counts are over all rows.
@@ -65,11 +65,6 @@ _FIRST_MINED, _FIRST_SPOKEN = len(LEXICONS), len(LEXICONS) + 3
 CLEAN_WORDS = 3
 
 
-def row_key() -> Column:
-    """What names a row by its doc_id and text."""
-    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.xxhash64("text"))
-
-
 def held_out(doc_id: Column) -> Column:
     """Rows that only measure: crc32 of the id as text, mod 4, is 2."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -238,8 +233,8 @@ def _member(values: np.ndarray, table: np.ndarray, members: np.ndarray) -> np.nd
     return at[np.isin(values[at], members)]
 
 
-def read_texts(docs: DataFrame, features: list[int], mined: set[int]) -> DataFrame:
-    """Votes, features and shape of every whole text: doc_id, row_key, votes, hits, shape."""
+def read_texts(docs: DataFrame, features: list[int], mined: set[int], keep: bool = False) -> DataFrame:
+    """Votes, features and shape of every whole text: doc_id, votes, hits, shape; with keep also the columns of docs, by number (text: kept_text)."""
     place = {f: i for i, f in enumerate(features)}
     is_mined = np.array([f in mined for f in features] or [False])
 
@@ -306,18 +301,27 @@ def read_texts(docs: DataFrame, features: list[int], mined: set[int]) -> DataFra
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(part.first, n),
-                        batch.column(2).slice(part.first, n),
                         pa.array(code.astype(np.int32)),
                         pa.ListArray.from_arrays(pa.array(bounds), pa.array(hits)),
                         pa.ListArray.from_arrays(
                             pa.array(np.arange(0, 4 * n + 1, 4, dtype=np.int32)), pa.array(shape.ravel())
                         ),
+                        *([batch.column(1).slice(part.first, n), *(other.slice(part.first, n) for other in batch.columns[2:])] if keep else []),
                     ],
-                    names=["doc_id", "row_key", "votes", "hits", "shape"],
+                    names=names,
                 )
 
-    given = docs.select(F.col("doc_id").cast("long"), "text", row_key().alias("row_key"))
-    return given.mapInArrow(run, "doc_id long, row_key string, votes int, hits array<int>, shape array<double>")
+    others = [F.col(f"`{name}`").alias(kept) for name, kept in _kept(docs) if kept != "kept_text"] if keep else []
+    given = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *others)
+    schema = StructType.fromDDL("doc_id long, votes int, hits array<int>, shape array<double>" + ", kept_text string" * keep)
+    schema = StructType([*schema.fields, *given.schema.fields[2:]])
+    names = schema.names
+    return given.mapInArrow(run, schema)
+
+
+def _kept(docs: DataFrame) -> list[tuple[str, str]]:
+    """Each column's name and that under which read_texts() hands it on."""
+    return [(name, "kept_text" if name.lower() == "text" else f"kept_{i}") for i, name in enumerate(docs.columns)]
 
 
 def _votes_of(codes: np.ndarray) -> np.ndarray:
@@ -345,13 +349,13 @@ class ToxicityModel:
         return seen.withColumn("score", 1 / (1 + F.exp(-logit)))
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[ToxicityModel, DataFrame]:
-    """The model, fitted on training rows, and what read_texts() found in all rows."""
+def fit(docs: DataFrame, labels: DataFrame, keep: bool = False) -> tuple[ToxicityModel, DataFrame]:
+    """The model, fitted on training rows, and what read_texts() found in all rows, with their columns if they are to be kept."""
     known = labels.select(F.col("doc_id").cast("long"), "toxic").where("doc_id is not null")
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     mined = mine_features(docs, known)
     features = list(dict.fromkeys([*mined, *fixed_features()]))
-    seen = cut(read_texts(docs, features, set(mined)))
+    seen = cut(read_texts(docs, features, set(mined), keep))
     train = seen.where(~held_out(F.col("doc_id"))).join(known, "doc_id", "left")
     told = F.when(F.col("toxic") == 1, 2).when(F.col("toxic") == 0, 1).otherwise(0).alias("told")
     patterns = train.groupBy("votes", told).agg(F.count("*").alias("n")).collect()
@@ -408,8 +412,6 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     Scores are as in score_documents(), also those of nulls, empty texts and rows that
     repeat a doc_id; each row goes or stays by its own text.  An empty table gives an empty result.
     """
-    model, seen = fit(docs, labels)
-    bad = cut(model.score(seen).where(F.col("score") >= threshold).select("row_key").distinct())
-    name = unused("row_key", docs.columns)
-    keyed, bad = docs.withColumn(name, row_key()), bad.withColumnRenamed("row_key", name)
-    return keyed.join(bad, name, "left_anti").select(*docs.columns)
+    model, seen = fit(docs, labels, keep=True)
+    clean = model.score(seen).where(F.col("score") < threshold)
+    return clean.select(*[F.col(kept).alias(name) for name, kept in _kept(docs)])
