@@ -26,6 +26,9 @@ from evigrade.session import at_release, cuts, load, release, shared_dir, spread
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
+#: Rows that a Python worker holds at once; their texts stand in its memory, and in the executor's, several times over.
+BATCH_ROWS = 1000
+
 
 #: Results of stages, and the folders in the shared folder that each of them reads.
 _made: list[tuple[weakref.ref, list[str]]] = []
@@ -50,6 +53,7 @@ def _stage(function: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Cal
     @functools.wraps(function)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         _sweep(docs)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
         known = set(cuts())
         result = function(spark, docs, sf_dir)
         _made.append((weakref.ref(result), [path for path in cuts() if path not in known]))
