@@ -10,6 +10,7 @@ documents of their own in every stage.  An empty table passes as an empty table.
 from __future__ import annotations
 
 import functools
+import time
 import uuid
 import weakref
 from collections.abc import Callable
@@ -30,17 +31,28 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 BATCH_ROWS = 1000
 
 
-#: Results of stages, and the folders in the shared folder that each of them reads.
-_made: list[tuple[weakref.ref, list[str]]] = []
+#: Results of stages, when each was made, and the folders in the shared folder that it reads.
+_made: list[tuple[weakref.ref, float, list[str]]] = []
+
+
+def _written(spark: SparkSession, file: str) -> float:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.getFileStatus(path).getModificationTime() / 1000
 
 
 def _sweep(docs: DataFrame) -> None:
-    """Remove what earlier stages left in the shared folder, unless their result is still held or docs read it."""
+    """Remove what earlier stages left in the shared folder, unless docs read it.
+
+    A result that nobody holds any more is done with; so is the only one that is held, if docs were written after it was made.
+    """
     read = docs.inputFiles() if _made else []
-    for entry in list(_made):
-        result, paths = entry
-        if result() is None and not any(path.split(":", 1)[-1].lstrip("/") in file for path in paths for file in read):
-            release(docs.sparkSession, paths)
+    unread = [e for e in _made if not any(path.split(":", 1)[-1].lstrip("/") in file for path in e[2] for file in read)]
+    held = [e for e in unread if e[0]() is not None]
+    for entry in unread:
+        later = len(held) == 1 and bool(read) and _written(docs.sparkSession, read[0]) > entry[1]
+        if entry[0]() is None or later:
+            release(docs.sparkSession, entry[2])
             _made.remove(entry)
 
 
@@ -56,7 +68,7 @@ def _stage(function: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Cal
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
         known = set(cuts())
         result = function(spark, docs, sf_dir)
-        _made.append((weakref.ref(result), [path for path in cuts() if path not in known]))
+        _made.append((weakref.ref(result), time.time(), [path for path in cuts() if path not in known]))
         return result
 
     return run
