@@ -241,7 +241,9 @@ class _Shard:
     def __init__(self, batches: list[pa.RecordBatch], width: int, k: int):
         table = pa.Table.from_batches(batches)
         self.width, self.k = width, k
-        self.uid, self.vec_id = table.column("uid").to_numpy(), table.column("vec_id").to_numpy()
+        self.uid, self.ids = table.column("uid").to_numpy(), table.column("vec_id").combine_chunks()
+        # null ids come first, as in Spark's order
+        self.vec_id = self.ids.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
         column = table.column("embedding").combine_chunks()
         self.x, self.dims = matrix(column, width), column.value_lengths().to_numpy(zero_copy_only=False)
         lists = table.column("lists").combine_chunks()
@@ -281,8 +283,8 @@ class _Shard:
         row, member, score = row[order], member[order], score[order]
         kept = np.arange(len(row)) - np.searchsorted(row, row) < self.k
         row, member = row[kept], member[kept]
-        columns = [batch.column("uid").take(pa.array(row)), self.uid[member], self.vec_id[member], score[kept]]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query", "uid", "vec_id", "score"])
+        columns = [batch.column("uid").take(pa.array(row)), self.uid[member], self.ids.take(pa.array(member)), score[kept]]
+        return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=["query", "uid", "vec_id", "score"])
 
 
 def _pass(width: int, k: int):
