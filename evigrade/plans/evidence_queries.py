@@ -558,7 +558,7 @@ def graded_batch(spark, sf):
     )
     good, _ = batch.requests_from_rows(asked)
     none = F.array().cast("array<string>")
-    seen = S.make(spark, sf, S.CAPTURES).where("ordinal < 2").withColumns(
+    seen = S.make(spark, sf, S.CAPTURES).withColumns(
         {
             "url": F.concat(F.lit("https://shop.example.com/item/"), F.substring("scrape_id", 2, 20)),
             "final_url": F.lit(""),
