@@ -157,3 +157,26 @@ def test_wrapped_and_spaced_notices_are_found(spark):
     found = {r.doc_id: r.labels.split(",") for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert [i for i, label in enumerate(wanted) if label not in found[i]] == []
     assert found[len(wanted)] == [""]
+
+
+def test_propagation_gathers_families_of_different_texts(spark):
+    """Families of near copies, dealt apart at first: rounds move them together, and counts stay even."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(5000)]
+    texts = []
+    for family in range(60):
+        base = rng.choices(words, k=60)
+        for member in range(5):
+            texts.append(" ".join([*base, f"end{family}_{member}"]))
+    texts += [" ".join(rng.choices(words, k=40)) for _ in range(100)]
+    texts += texts[:40]  # equal texts: nodes of weight 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    trace = []
+    rows = sharding.balanced_shards(docs, 8, trace=trace).collect()
+    loads = Counter(r.shard for r in rows)
+    assert sum(loads.values()) == len(texts) and max(loads.values()) - min(loads.values()) <= 1
+    assert sum(t["moves"] for t in trace) > 0 and min(t["cut"] for t in trace) < trace[0]["cut"] / 3
+    shard_of = defaultdict(set)
+    for r in rows:
+        shard_of[texts[r.doc_id]].add(r.shard)
+    assert all(len(s) == 1 for s in shard_of.values())
