@@ -88,8 +88,8 @@ class RollupStore:
         root = jvm.org.apache.hadoop.fs.Path(self.path)
         return root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
 
-    def _folders(self) -> dict[str, list[str]]:
-        """Committed folders and the batches that each holds; those that a compaction has folded are left out."""
+    def _held(self) -> dict[str, list[str]]:
+        """All published folders and the batches that each holds."""
         files, path = self._files()
         if not files.exists(path(self.path)):
             return {}
@@ -97,11 +97,31 @@ class RollupStore:
         found = {n: [n.removeprefix("batch-")] for n in names if n.startswith("batch-")}
         for name in (n for n in names if n.startswith("folded-")):
             rows = self.spark.read.schema("batch string").parquet(f"{self.path}/{name}/names").collect()
-            held = [r["batch"] for r in rows]
-            found = {n: b for n, b in found.items() if not set(b) <= set(held)}
-            found[name] = held
+            found[name] = [r["batch"] for r in rows]
         return found
 
+    @staticmethod
+    def _counting(held: dict[str, list[str]]) -> dict[str, list[str]]:
+        """The folders that count: each batch once, whatever overlapping compactions have left.
+
+        A compaction folds all that is committed, so of two results the larger holds the
+        smaller one's batches; the smaller doesn't count, nor does a batch that is folded.  Results that
+        hold only some of each other's batches can't be told apart and raise.
+        """
+        kept, claimed = {}, set()
+        for name in sorted(held, key=lambda n: (n.startswith("batch-"), -len(held[n]), n)):
+            new = set(held[name]) - claimed
+            if not new:
+                continue
+            if len(new) < len(held[name]):
+                raise RuntimeError(f"folder {name} holds some batches that another one has folded, and others that it has not")
+            kept[name] = held[name]
+            claimed |= new
+        return kept
+
+    def _folders(self) -> dict[str, list[str]]:
+        return self._counting(self._held())
+
     def committed(self) -> list[str]:
         """Names of the committed batches."""
         return sorted(b for held in self._folders().values() for b in held)
@@ -140,17 +160,18 @@ class RollupStore:
 
         The new folder counts from its rename on, and the old ones no longer; only then are they removed.
         """
-        folders = self._folders()
+        held = self._held()
+        folders = self._counting(held)
         if len(folders) < 2:
             return 0
         private = f"{self.path}/_private-{uuid.uuid4().hex}"
         self._deltas(self._read(list(folders))).write.parquet(f"{private}/deltas")
-        names = [(b,) for held in folders.values() for b in held]
+        names = [(b,) for batches in folders.values() for b in batches]
         self.spark.createDataFrame(names, "batch string").write.parquet(f"{private}/names")
         if not self._publish(private, f"folded-{uuid.uuid4().hex}"):
             return 0
         files, path = self._files()
-        for name in folders:
+        for name in held:
             files.delete(path(f"{self.path}/{name}"), True)
         return len(folders)
 

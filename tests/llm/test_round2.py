@@ -165,3 +165,23 @@ def test_untitled_mentions_of_a_name_follow_it(spark):
     assert "Smith " not in row.text and "John" not in row.text and "Smithers" in row.text and (row._late, row.own_key) == ("x", "y")
     full, surname = __import__("re").match(r"Mr (\w+ (\w+)) met", row.text).groups()
     assert row.text.count(full) == 2 and row.text.count(surname) == 5
+
+
+@pytest.mark.parametrize("smaller_first", [True, False])
+def test_overlapping_compactions_count_a_batch_once(spark, tmp_path, smaller_first):
+    """Two compactions publish {1, 2} and {1, 2, 3}, in either order of names."""
+    schema = "source string, lang string, tokenizer string, docs long, tokens long, chars long"
+    store = rollups.RollupStore(spark, str(tmp_path / "store"))
+    for batch in (1, 2, 3):
+        assert store.commit(str(batch), spark.createDataFrame([("s", "l", "t", batch, 10 * batch, 0)], schema))
+    low, high = ("folded-a", "folded-b") if smaller_first else ("folded-b", "folded-a")
+    for name, batches in ((low, [1, 2]), (high, [1, 2, 3])):
+        total = sum(batches)
+        spark.createDataFrame([("s", "l", "t", total, 10 * total, 0)], schema).write.parquet(f"{store.path}/{name}/deltas")
+        spark.createDataFrame([(str(b),) for b in batches], "batch string").write.parquet(f"{store.path}/{name}/names")
+    assert store.committed() == ["1", "2", "3"] and store.totals().first()["docs"] == 6
+    assert not store.commit("2", spark.createDataFrame([], schema))
+    assert store.commit("4", spark.createDataFrame([("s", "l", "t", 4, 40, 0)], schema))
+    assert store.compact() == 2
+    assert store.totals().first()["docs"] == 10 and store.committed() == ["1", "2", "3", "4"]
+    assert len([p for p in (tmp_path / "store").iterdir() if p.is_dir()]) == 1
