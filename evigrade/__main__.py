@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from evigrade.config import Settings
 from evigrade.engine import Batch
 from evigrade.functions import vocab
 from evigrade.operators import audit, batch, validate
@@ -36,7 +37,7 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     spark = apply_semantics(spark or SparkSession.builder.appName("evigrade").getOrCreate())
     if given.command == "batch":
         pictures = spark.read.parquet(given.images) if given.images else None
-        Batch(spark, given.input_csv, given.output_csv, given.summary).run(spark.read.parquet(given.captures), pictures, given.resume)
+        Batch(spark, given.input_csv, given.output_csv, given.summary, Settings.from_environment()).run(spark.read.parquet(given.captures), pictures, given.resume)
     elif given.command == "triage":
         rows = batch_csv.read_batch_csv(spark, given.input_csv)
         sinks.write_triage(validate.triage_rows(rows), given.output_csv, given.summary_json)

@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from evigrade.config import Settings
 from evigrade.functions.text import filled
@@ -20,14 +21,30 @@ _NOTHING = "array<struct<local_path:string,alt:string,relevance:string,descripti
 _TABLES = "array<struct<index:int,caption:string,n_rows:int,n_columns:int,markdown:string>>"
 
 
-def grade(requests: DataFrame, captures: DataFrame, image_rows: DataFrame | None = None) -> DataFrame:
+def within_limits(image_rows: DataFrame, requests: DataFrame) -> DataFrame:
+    """The first max_images images of each request, by ordinal; images of no request go."""
+    first = Window.partitionBy("scrape_id").orderBy("ordinal", "local_path")
+    met = image_rows.join(requests.select("scrape_id", F.col("max_images").alias("_most")), "scrape_id")
+    return met.withColumn("_at", F.row_number().over(first)).where("_at <= _most").drop("_at", "_most")
+
+
+def grade(
+    requests: DataFrame, captures: DataFrame, image_rows: DataFrame | None = None, settings: Settings | None = None
+) -> DataFrame:
     """One graded row for every request: its best capture, evidence, recovery, quality gate; requests without a capture failed.
 
     requests: as batch.requests_from_rows() gives them.  captures: scrape_id, ordinal, fetch_profile,
     url, final_url, title, description, canonical_url, raw_markdown, raw_html, access_status,
     access_issue_type, success, proxy_used, json_ld (array of text), og, product_meta (maps) and tables.
     image_rows: scrape_id, ordinal, local_path, alt, relevance, description, download_source, error.
+    settings: only so many profiles are looked at, the score that ends the search is theirs, and a request has
+    max_images images at most; without settings all captures and images count and the search ends at the default score.
     """
+    stop_score = capture.EARLY_STOP_SCORE
+    if settings is not None:
+        stop_score = settings.scrape_early_stop_score
+        captures = captures.where(F.col("ordinal") < settings.scrape_profile_max_profiles)
+        image_rows = within_limits(image_rows, requests) if image_rows is not None else None
     asked = requests.select("scrape_id", "main_text", "ean")
     pages = captures.join(asked, "scrape_id").withColumns(
         {
@@ -39,7 +56,7 @@ def grade(requests: DataFrame, captures: DataFrame, image_rows: DataFrame | None
         }
     )
     scored = capture.score_captures(pages, F.col("main_text"), F.col("ean")).drop("main_text", "ean")
-    best = capture.best_capture(scored, early_stop=True)
+    best = capture.best_capture(scored, early_stop=True, stop_score=stop_score)
     tried = scored.groupBy("scrape_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "fetch_profile"))), lambda p: p["fetch_profile"]).alias("capture_profiles_attempted"))
     if image_rows is not None:
         one = F.struct("ordinal", "local_path", "alt", "relevance", "description", "download_source", "error")
@@ -145,7 +162,7 @@ class Batch:
     def requests(self) -> tuple[DataFrame, DataFrame]:
         """Requests with unique ids, and rows without a URL."""
         rows = batch_csv.read_batch_csv(self.spark, self.input_csv)
-        good, bad = batch.requests_from_rows(batch.unique_ids(rows, batch.first_filled(rows, batch.vocab.ALIASES["input_id"]), ["row_number"]))
+        good, bad = batch.requests_from_rows(batch.unique_ids(rows, batch.first_filled(rows, batch.vocab.ALIASES["input_id"]), ["row_number"]), settings=self.settings)
         return good, bad
 
     def run(self, captures: DataFrame, image_rows: DataFrame | None = None, resume: bool = False) -> DataFrame:
@@ -154,7 +171,7 @@ class Batch:
         if resume:
             done = batch_csv.completed_ids(self.spark, self.output_csv).withColumnRenamed("input_id", "scrape_id")
             good = good.join(done, "scrape_id", "left_anti")
-        rows = batch.result_rows(grade(good, captures, image_rows))
+        rows = batch.result_rows(grade(good, captures, image_rows, self.settings))
         refused = bad.withColumns({"created": F.lit(False), "input_id": F.col("scrape_id"), "error": F.lit("Missing required product_url/url column value")})
         rows = rows.unionByName(batch.result_rows(classify.align_sources(refused).withColumn("source_alignment_status", F.col("alignment_status"))))
         sinks.write_csv(rows, self.output_csv, "append" if resume else "overwrite")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from evigrade.config import Settings
 from evigrade.functions import vocab
 from evigrade.functions.text import digits_only, empty_to_null, filled, int_or, is_true, split_snippets, stable_id, tri_state
 from evigrade.operators.capture import capture_flags
@@ -21,7 +22,9 @@ def first_filled(rows: DataFrame, names: tuple[str, ...], default: str = "") ->
     return F.coalesce(*found, F.lit(default))
 
 
-def requests_from_rows(rows: DataFrame, row_number: Column | str = "row_number") -> tuple[DataFrame, DataFrame]:
+def requests_from_rows(
+    rows: DataFrame, row_number: Column | str = "row_number", settings: Settings = Settings()
+) -> tuple[DataFrame, DataFrame]:
     """Normalised requests, and the rows that have no URL.
 
     Cells that may name files (upstream_ai_evidence, upstream_ai_evidence_file and search_evidence)
@@ -44,9 +47,9 @@ def requests_from_rows(rows: DataFrame, row_number: Column | str = "row_number")
         normal_role(get("source_url_role", "unknown")).alias("source_url_role"),
         get("product_hint").alias("product_hint"),
         split_snippets(get("candidate_snippets")).alias("candidate_snippets"),
-        int_or(get("max_images"), 30).alias("max_images"),
-        int_or(get("vision_max"), 12).alias("vision_max"),
-        int_or(get("max_agent_iterations"), 2).alias("max_agent_iterations"),
+        int_or(get("max_images"), settings.max_images).alias("max_images"),
+        int_or(get("vision_max"), settings.vision_max).alias("vision_max"),
+        int_or(get("max_agent_iterations"), settings.max_agent_iterations).alias("max_agent_iterations"),
         tri_state(get("write_raw_debug")).alias("write_raw_debug"),
         get("retailer_label", "retailer").alias("retailer_label"),
         F.concat_ws(

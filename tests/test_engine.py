@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from evigrade import Batch, Settings
 from evigrade.__main__ import main
 from evigrade.config import accept_language, proxy_url
+from evigrade.engine import grade
 from evigrade.functions import html as H
 from evigrade.functions import text as T
 from evigrade.functions import vocab
-from evigrade.operators import batch, images
+from evigrade.operators import batch, capture, images
 from evigrade.session import apply_semantics
 from evigrade.sources import sinks
 
@@ -175,3 +176,21 @@ def test_other_sinks_and_counts(spark, tmp_path):
     after = spark.createDataFrame([(1, "x", "new"), (2, "y", "z")], "k int, a string, b string")
     assert tuple(enrichment_counts(before, after, ["k"], ["a", "b"]).first()) == (2, 1, 1)
     assert tuple(enrichment_counts(after, after, ["k"], ["a", "b"]).first()) == (2, 0, 0)
+
+
+def test_settings_of_a_batch_take_effect(spark, tmp_path):
+    apply_semantics(spark)
+    pictures = spark.createDataFrame([("a", i, f"images/{i}.jpg", "horse", "yes", "a horse", "direct", "") for i in range(5)], IMAGES)
+
+    def graded(**given):
+        run = Batch(spark, batch_file(tmp_path), f"{tmp_path}/out", settings=Settings(**given))
+        good, _ = run.requests()
+        return good, {r.scrape_id: r for r in grade(good, captures(spark), pictures, run.settings).collect()}
+
+    _, rows = graded()
+    assert (rows["a"].capture_profile_used, len(rows["a"].images)) == ("load_wait", 5)
+    good, rows = graded(scrape_profile_max_profiles=1, max_images=2, vision_max=7)
+    assert (rows["a"].capture_profile_used, len(rows["a"].images)) == ("standard", 2)
+    assert {r.vision_max for r in good.collect()} == {7}
+    scored = spark.createDataFrame([("a", 0, 60, True, 1, "x"), ("a", 1, 90, True, 1, "x")], "scrape_id string, ordinal int, capture_score int, real_scrape_evidence boolean, n_images int, raw_markdown string")
+    assert [capture.best_capture(scored, True, stop).first().ordinal for stop in (82, 50)] == [1, 0]
