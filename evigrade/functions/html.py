@@ -118,8 +118,8 @@ def all_images(pages: DataFrame, key: str, url: str = "url", html: str = "html")
         lambda e: F.struct(e["value"].alias("url"), F.lit("og:image").alias("alt")),
     )
     found = F.transform(linked_images(html), lambda u: F.struct(u.alias("url"), F.lit("regex/image-url").alias("alt")))
-    more = pages.select(key, F.concat(found, heroes).alias("_more"))
-    whole = extract_pages(pages, key, url, html).join(more, key).select(key, F.concat("images", "_more").alias("_all"))
+    more = pages.withColumn("_more", F.concat(found, heroes))
+    whole = extract_pages(more, key, url, html, ("_more",)).select(key, F.concat("images", "_more").alias("_all"))
 
     def add(seen: Column, one: Column) -> Column:
         known = F.exists(seen, lambda i: i["url"] == one["url"])
@@ -271,18 +271,19 @@ _TABLES = pa.list_(
 )
 
 
-def extract_pages(pages: DataFrame, key: str, url: str = "url", html: str = "html") -> DataFrame:
-    """(key, images, tables) of every page, from one parse."""
-    kind = dict(pages.dtypes)[key]
+def extract_pages(pages: DataFrame, key: str, url: str = "url", html: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(key, images, tables) of every page, from one parse, and the columns to keep, which pass the parser with their page."""
+    kinds = dict(pages.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [extract_page(h or "", u or "") for u, h in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
             images, tables = pa.array([f[0] for f in found], _IMAGES), pa.array([f[1] for f in found], _TABLES)
-            yield pa.RecordBatch.from_arrays([batch.column(0), images, tables], names=[key, "images", "tables"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), images, tables, *batch.columns[3:]], names=[key, "images", "tables", *keep])
 
     schema = (
-        f"`{key}` {kind}, images array<struct<url:string,alt:string>>, tables array<struct<index:int,caption:string,"
+        f"`{key}` {kinds[key]}, images array<struct<url:string,alt:string>>, tables array<struct<index:int,caption:string,"
         "n_rows:int,n_columns:int,markdown:string>>"
     )
-    return pages.select(key, url, html).mapInArrow(run, schema)
+    schema += "".join(f", `{c}` {kinds[c]}" for c in keep)
+    return pages.select(key, url, html, *keep).mapInArrow(run, schema)
