@@ -109,3 +109,21 @@ def test_resume_leaves_out_what_succeeded(spark):
     asked = spark.createDataFrame([("a",), ("b",), ("c",)], "input_id string")
     done = spark.createDataFrame([("a", "True"), ("b", "no"), ("a", "false")], "input_id string, success string")
     assert sorted(r[0] for r in batch.still_to_do(asked, done).collect()) == ["b", "c"]
+
+
+def test_terms_are_found_in_distinct_pieces(spark):
+    """The pieces are short however long a page is, and give the counts of the whole text."""
+    from evigrade.functions import text as T
+    from evigrade.functions import vocab
+
+    pages = ["", "robot check", "robot x check", "Not a Robot / a b", "packaGE\nitem  model", "item model number/toy", "a<set>b/ean", "<div>x</div>" * 3000 + "doll captcha"]
+    rows = spark.createDataFrame([(p,) for p in pages], "page string").withColumn("whole", F.lower("page"))
+    pieces = F.lower(T.distinct_pieces("page"))
+    terms = vocab.CAPTURE_PRODUCT_TERMS + vocab.CAPTURE_BLOCK_TERMS
+    own = T.count_terms(F.col("whole"), terms, F.col("pieces")).alias("own")
+    hinted = T.hint_score(F.col("whole"), F.lit("Toy set / robot"), F.lit("a b"), F.col("pieces")).alias("hinted")
+    both = rows.withColumn("pieces", pieces).select(own, hinted, T.count_terms(F.col("whole"), terms).alias("all"),
+                                                    T.hint_score(F.col("whole"), F.lit("Toy set / robot"), F.lit("a b")).alias("hint"), F.length("pieces").alias("n"))
+    found = both.collect()
+    assert [(r.own, r.hinted) for r in found] == [(r["all"], r.hint) for r in found]
+    assert found[1]["all"] == 1 and found[2]["all"] == 0 and found[-1]["all"] == 2 and found[-1].n < 100
