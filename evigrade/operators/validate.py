@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from evigrade.functions import vocab
 from evigrade.functions.text import (
-    any_term, business_tokens, count_terms, digits_only, filled, int_or, is_true, listed,
+    any_term, bound, business_tokens, count_terms, digits_only, filled, int_or, is_true, listed,
 )
 from evigrade.operators.classify import classify_pages, normal_role
 
@@ -17,38 +17,51 @@ _BROKEN_SOURCES = ("fallback_source_used", "source_context_mismatch")
 
 def ean_status(ean: Column | str, blob: Column) -> Column:
     """struct(status, candidates): the EAN among all digits of the text, else other identifiers that stand alone."""
-    wanted = digits_only(ean)
-    runs = F.filter(F.split(blob, "[^0-9]+"), lambda r: F.length(r).isin(8, 12, 13, 14))
-    others = F.filter(F.array_sort(F.array_distinct(runs)), lambda r: r != wanted)
     none = F.array().cast("array<string>")
-    found = F.contains(digits_only(blob), wanted)
-    status = (
-        F.when(wanted == "", "not_provided")
-        .when(found, "matched")
-        .when(F.size(others) > 0, "possible_identifier_conflict")
-        .otherwise("not_found_in_source")
-    )
-    candidates = F.when(wanted == "", none).when(found, F.array(wanted)).otherwise(F.slice(others, 1, 8))
-    return F.struct(status.alias("status"), candidates.alias("candidates"))
+    state = lambda status, candidates: F.struct(status.alias("status"), candidates.alias("candidates"))
+
+    def sought(wanted: Column) -> Column:
+        runs = F.filter(F.split(blob, "[^0-9]+"), lambda r: F.length(r).isin(8, 12, 13, 14))
+        others = F.filter(F.array_sort(F.array_distinct(runs)), lambda r: r != wanted)
+        named = lambda o: F.when(F.size(o) > 0, "possible_identifier_conflict").otherwise("not_found_in_source")
+        return (
+            F.when(wanted == "", state(F.lit("not_provided"), none))
+            .when(F.contains(digits_only(blob), wanted), state(F.lit("matched"), F.array(wanted)))
+            .otherwise(bound(others, lambda o: state(named(o), F.slice(o, 1, 8))))
+        )
+
+    return bound(digits_only(ean), sought)
+
+
+def identity_words(main_text: Column | str) -> Column:
+    """The words of what was asked for that are looked up."""
+    return F.slice(business_tokens(main_text), 1, 32)
 
 
 def identity_status(main_text: Column | str, ean_state: Column, blob: Column) -> Column:
     """struct(status, score, terms): how much of what was asked for stands in the text."""
-    words = F.slice(business_tokens(main_text), 1, 32)
-    hits = F.filter(words, lambda w: F.contains(blob, w))
-    n = F.size(hits)
-    ratio = F.coalesce(F.try_divide(n, F.size(words)), F.lit(0.0))
-    status = (
-        F.when(ean_state == "matched", "matched_by_ean")
-        .when(F.size(words) == 0, "no_input_identity")
-        .when((n >= 4) & (ratio >= 0.65), "matched_by_title_tokens")
-        .when((n >= 3) & (ratio >= 0.45), "weak_match_by_title_tokens")
-        .when(n > 0, "partial_token_overlap")
-        .otherwise("input_not_found_in_capture")
-    )
-    score = F.when(ean_state == "matched", F.lit(1.0)).otherwise(F.bround(ratio, 3))
-    terms = F.when(ean_state == "matched", F.array().cast("array<string>")).otherwise(hits)
-    return F.struct(status.alias("status"), score.alias("score"), terms.alias("terms"))
+    return identity_of(identity_words(main_text), ean_state, blob)
+
+
+def identity_of(words: Column, ean_state: Column, blob: Column) -> Column:
+    """identity_status() of identity_words()."""
+
+    def judged(words: Column, hits: Column) -> Column:
+        n = F.size(hits)
+        ratio = F.coalesce(F.try_divide(n, F.size(words)), F.lit(0.0))
+        status = (
+            F.when(ean_state == "matched", "matched_by_ean")
+            .when(F.size(words) == 0, "no_input_identity")
+            .when((n >= 4) & (ratio >= 0.65), "matched_by_title_tokens")
+            .when((n >= 3) & (ratio >= 0.45), "weak_match_by_title_tokens")
+            .when(n > 0, "partial_token_overlap")
+            .otherwise("input_not_found_in_capture")
+        )
+        score = F.when(ean_state == "matched", F.lit(1.0)).otherwise(F.bround(ratio, 3))
+        terms = F.when(ean_state == "matched", F.array().cast("array<string>")).otherwise(hits)
+        return F.struct(status.alias("status"), score.alias("score"), terms.alias("terms"))
+
+    return bound(words, lambda all: bound(F.filter(all, lambda w: F.contains(blob, w)), lambda hits: judged(all, hits)))
 
 
 def declared_alignment(rows: DataFrame) -> Column:
@@ -196,7 +209,8 @@ def triage_order(rows: DataFrame) -> DataFrame:
 
 
 def triage_summary(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """(dimension, value, n): one histogram for each column, in one pass over the rows."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("dimension"), filled(c).alias("value")) for c in columns])
-    seen = rows.select(F.explode(pairs).alias("p")).select("p.*")
-    return seen.groupBy("dimension", "value").agg(F.count("*").alias("n"))
+    """(dimension, value, n): one histogram for each column, in one pass over the rows; equal rows are counted first."""
+    values = rows.groupBy(*[filled(c).alias(f"_{i}") for i, c in enumerate(columns)]).agg(F.count("*").alias("rows"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("dimension"), F.col(f"_{i}").alias("value")) for i, c in enumerate(columns)])
+    seen = values.select(F.explode(pairs).alias("p"), "rows").select("p.*", "rows")
+    return seen.groupBy("dimension", "value").agg(F.sum("rows").alias("n"))
