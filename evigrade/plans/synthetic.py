@@ -136,7 +136,7 @@ SPREAD = ("part", "lineitem", "orders", "documents", "pages", "events")
 def make(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """The rows of one of the above.  The tables that they are made from are spread first: a row of them makes many."""
     used = {t: load(spark, sf_dir, t) for t in TABLES if f"{{{t}}}" in sql}
-    return spark.sql(sql, **{t: spread(df) if t in SPREAD else df for t, df in used.items()})
+    return spark.sql(sql, **{t: spread(df, heavy=True) if t in SPREAD else df for t, df in used.items()})
 
 
 def for_oracle(sql: str) -> str:
