@@ -202,15 +202,42 @@ def image_error_bucket(error: Column | str) -> Column:
     return F.when(e == "", "no_error").otherwise(bucket)
 
 
-def _histogram(items: DataFrame, bucket: Column, name: str, most: int | None = None) -> DataFrame:
-    """scrape_id, name ("bucket:count; …", most common first, ties as first seen) and name_top."""
-    counted = items.withColumn("_b", bucket).where("_b is not null").groupBy("scrape_id", "_b")
-    counted = counted.agg(F.count("*").alias("n"), F.min("ordinal").alias("first"))
-    ordered = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "first", "_b")))
-    ordered = F.slice(ordered, 1, most) if most else ordered
-    out = counted.groupBy("scrape_id").agg(ordered.alias("_all"))
-    text = F.array_join(F.transform("_all", lambda x: F.concat(x["_b"], F.lit(":"), -x["m"])), "; ")
-    return out.select("scrape_id", text.alias(name), F.get("_all", F.lit(0))["_b"].alias(f"{name}_top"))
+def _manifests(items: DataFrame) -> DataFrame:
+    """One row for each scrape_id with items: histograms of errors and attempts, number of items and files, whether a file is a screenshot.
+
+    A histogram is "bucket:count; …", most common first, ties as first seen.  All come from one aggregate over marks of the items.
+    """
+    path = filled("local_path")
+    of = lambda kind, value, first, file, shot: F.struct(
+        F.lit(kind).alias("kind"), value.alias("_b"), first.cast("long").alias("first"), file.alias("file"), shot.alias("shot")
+    )
+    no = F.lit(False)
+    error = of(0, F.when(filled("error") != "", image_error_bucket("error")), F.col("ordinal"), no, no)
+    tries = F.transform("attempts", lambda a, k: of(1, a, F.col("ordinal") * 1000 + k, no, no))
+    item = of(2, F.lit(None).cast("string"), F.col("ordinal"), path != "", path.contains("screenshot_fallback"))
+    marks = F.concat(F.array(item, error), F.coalesce(tries, F.slice(F.array(error), 1, 0)))
+    marks = F.filter(marks, lambda m: (m["kind"] == 2) | m["_b"].isNotNull())
+    counted = items.select("scrape_id", F.explode(marks).alias("m")).select("scrape_id", "m.*").groupBy("scrape_id", "kind", "_b")
+    counted = counted.agg(
+        F.count("*").alias("n"), F.min("first").alias("first"), F.count_if("file").alias("files"), F.bool_or("shot").alias("shot")
+    )
+    one = F.struct((-F.col("n")).alias("m"), "first", "_b")
+    found = counted.groupBy("scrape_id").agg(
+        *[F.array_sort(F.collect_list(F.when(F.col("kind") == k, one))).alias(name) for k, name in ((0, "_errors"), (1, "_tries"))],
+        F.sum(F.when(F.col("kind") == 2, F.col("n"))).alias("image_manifest_item_count"),
+        F.sum("files").alias("_files"),
+        F.bool_or("shot").alias("_shot"),
+    )
+    text = lambda c: F.array_join(F.transform(c, lambda x: F.concat(x["_b"], F.lit(":"), -x["m"])), "; ")
+    return found.select(
+        "scrape_id",
+        text("_errors").alias("image_error_buckets"),
+        F.get("_errors", F.lit(0))["_b"].alias("image_error_buckets_top"),
+        text(F.slice("_tries", 1, 8)).alias("image_attempt_buckets"),
+        "image_manifest_item_count",
+        "_files",
+        "_shot",
+    )
 
 
 #: Columns of image_diagnostics().
@@ -225,16 +252,7 @@ def image_diagnostics(rows: DataFrame, items: DataFrame) -> DataFrame:
     image_downloaded_count, screenshot_fallback_used.  items: scrape_id, ordinal,
     local_path, error, attempts (array of "strategy:status").
     """
-    errors = _histogram(items, F.when(filled("error") != "", image_error_bucket("error")), "image_error_buckets")
-    tries = items.select("scrape_id", "ordinal", F.posexplode("attempts").alias("k", "attempt"))
-    tries = tries.withColumn("ordinal", F.col("ordinal") * 1000 + F.col("k"))
-    tries = _histogram(tries, F.col("attempt"), "image_attempt_buckets", 8).drop("image_attempt_buckets_top")
-    files = items.groupBy("scrape_id").agg(
-        F.count("*").alias("image_manifest_item_count"),
-        F.count_if(filled("local_path") != "").alias("_files"),
-        F.bool_or(filled("local_path").contains("screenshot_fallback")).alias("_shot"),
-    )
-    df = rows.join(errors, "scrape_id", "left").join(tries, "scrape_id", "left").join(files, "scrape_id", "left")
+    df = rows.join(_manifests(items), "scrape_id", "left")
     number = lambda name: F.coalesce(F.col(name).cast("long"), F.lit(0))
     downloaded = F.when(number("image_downloaded_count") != 0, number("image_downloaded_count")).otherwise(number("_files"))
     shot = F.coalesce("_shot", F.lit(False))
