@@ -227,28 +227,52 @@ def _lexicon(words: str) -> np.ndarray:
     return np.unique(tk.scan_words(part, tk.separators("alnum"), tk.byte_codes()).hashes(seed=1))
 
 
+def _bits(members: np.ndarray, size: int) -> np.ndarray:
+    """A packed bitmap of the members."""
+    table = np.zeros(size, bool)
+    table[members] = True
+    return np.packbits(table)
+
+
+def _in_bits(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Positions of values that are in a packed bitmap."""
+    return np.flatnonzero(bits[values >> 3] & (128 >> (values & 7)).astype(np.uint8))
+
+
 def _member(values: np.ndarray, table: np.ndarray, members: np.ndarray) -> np.ndarray:
-    """Positions of values that are members; table is a bitmap of their short forms."""
-    at = np.flatnonzero(table[_short(values)])
+    """Positions of values that are members; table is a packed bitmap of their short forms."""
+    at = _in_bits(table, _short(values))
     return at[np.isin(values[at], members)]
 
 
+class Places:
+    """Where each feature stands in a list: a packed bitmap of all features there may be, and the sorted ones that are."""
+
+    def __init__(self, features: list[int]):
+        given = np.array(features, np.int32)
+        self.order = np.argsort(given).astype(np.int32)
+        self.sorted = given[self.order]
+        self.bits = _bits(given, (1 + len(BEGINNINGS)) << _BITS)
+
+    def find(self, kind: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of the hashes of a kind that are features, and the places of these."""
+        values = _short(hashes) + np.int32(kind << _BITS)
+        at = _in_bits(self.bits, values)
+        at = at[hashes[at] != 0]
+        return at, self.order[np.searchsorted(self.sorted, values[at])]
+
+
 def read_texts(docs: DataFrame, features: list[int], mined: set[int], keep: bool = False) -> DataFrame:
     """Votes, features and shape of every whole text: doc_id, votes, hits, shape; with keep also the columns of docs, by number (text: kept_text)."""
-    place = {f: i for i, f in enumerate(features)}
     is_mined = np.array([f in mined for f in features] or [False])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         separates, codes = tk.separators("alnum"), tk.byte_codes()
-        tables = np.full((1 + len(BEGINNINGS), 1 << _BITS), -1, np.int32)
-        for feature, i in place.items():
-            tables[feature >> _BITS, feature & ((1 << _BITS) - 1)] = i
+        places = Places(features)
         lexicons = []
         for words in LEXICONS.values():
             members = _lexicon(words)
-            table = np.zeros(1 << _BITS, bool)
-            table[_short(members)] = True
-            lexicons.append((table, members))
+            lexicons.append((_bits(_short(members), 1 << _BITS), members))
         for batch in batches:
             column = tk.as_strings(batch.column(1))
             lowered = _lower(column)
@@ -259,9 +283,8 @@ def read_texts(docs: DataFrame, features: list[int], mined: set[int], keep: bool
                 whole, *beginnings = _features(words)
                 kinds = []
                 for kind, hashes in enumerate([whole, *beginnings]):
-                    found = tables[kind][_short(hashes)]
-                    at = np.flatnonzero((found >= 0) & (hashes != 0))
-                    kinds.append((words.text[at], found[at]))
+                    at, found = places.find(kind, hashes)
+                    kinds.append((words.text[at], found))
                 votes = np.zeros((n, len(VOTERS)), np.int8)
                 for v, (table, members) in enumerate(lexicons):
                     votes[words.text[_member(whole, table, members)], v] = 2
