@@ -2,15 +2,15 @@
 
 Angles between vectors are a metric.  A bounded sample gives pivots; every
 vector belongs to the cell of its nearest pivot, and large cells are cut into
-blocks.  Of two blocks one is the host of the pair.  A vector visits a host block
-only if the triangle inequality lets a member of that cell be within the
-range: its angle to the pivot differs from the cell's innermost or outermost
-member by no more than the range, and the plane between the two pivots is
-within the range.  Each block then works alone: its members stay in memory,
-visitors stream past in batches, and one matrix product compares them.  It
-returns link counts and a spanning forest of links, so what leaves a block is
+blocks, each packed into one row.  Pairs of blocks meet in a join without a shuffle: a task reads two
+partitions of blocks, so disk is in proportion to the input whatever the number of pairs.  Two
+cells meet only if the triangle inequality lets members of theirs be within the
+range; of two blocks a member is compared only if its angle to the other's pivot differs
+from that cell's innermost or outermost member by no more than the range, and the plane between the two pivots is
+within the range.  One matrix product compares two blocks.  A task
+returns link counts and a spanning forest of links, so what leaves it is
 linear.  On vectors without clusters no metric bound prunes in many dimensions;
-then every pair of blocks meets, once.
+then every pair of blocks meets, once: the work is quadratic, the disk is not.
 
 Equal vectors are one class with a multiplicity.
 """
@@ -32,6 +32,9 @@ from evigrade.session import cut
 #: Members of a block about; pivots at most.
 BLOCK = 2048
 MOST_PIVOTS = 1024
+#: Blocks of a file, and pairs of blocks that a Python worker is given at once.
+FILE_BLOCKS = 32
+PAIRS = 8
 _EDGE = 1e-9
 
 
@@ -61,93 +64,120 @@ def _assign(classes: DataFrame, pivots: np.ndarray) -> DataFrame:
     return classes.select("cid", "mult", "embedding").mapInArrow(run, schema)
 
 
-def _visits(placed: DataFrame, pivots: np.ndarray, cells: dict[int, tuple[int, float, float]], reach: float):
-    """Each vector at its own block, and as a visitor at every block it may have links in."""
-    width, n = pivots.shape[1], len(pivots)
-    blocks = np.array([cells[c][0] if c in cells else 0 for c in range(n)])
-    inner = np.array([cells[c][1] if c in cells else 9.0 for c in range(n)])
-    outer = np.array([cells[c][2] if c in cells else -9.0 for c in range(n)])
-    base = np.concatenate([[0], np.cumsum(blocks)])
-    cell_of = np.repeat(np.arange(n), blocks)
-    apart = np.linalg.norm(pivots[:, None, :] - pivots[None, :, :], axis=2) if n <= 1024 else None
+def _may_meet(pivots: np.ndarray, cells: dict[int, tuple[int, float, float]], reach: float) -> np.ndarray:
+    """Whether members of two cells may be linked."""
+    outer = np.array([cells[c][2] if c in cells else -9.0 for c in range(len(pivots))])
+    near = _angles(pivots, pivots) <= outer[:, None] + outer[None, :] + reach + _EDGE
+    return near | np.eye(len(pivots), dtype=bool)
+
+
+def _packed(kind: str, near: np.ndarray):
+    """One row for the members of a block and the cells that it may have links in; kind: of their components."""
+
+    def run(table: pa.Table) -> pa.Table:
+        column = table.column("embedding").combine_chunks()
+        numbers = lambda c, t: table.column(c).to_numpy().astype(t).tobytes()
+        row = {
+            "block": table.column("block")[0].as_py(),
+            "cell": table.column("cell")[0].as_py(),
+            "ids": numbers("cid", np.int64),
+            "mults": numbers("mult", np.int64),
+            "dims": column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int32).tobytes(),
+            "x": column.flatten().to_numpy(zero_copy_only=False).astype(kind).tobytes(),
+        }
+        found = pa.array([np.flatnonzero(near[row["cell"]]).astype(np.int32)], pa.list_(pa.int32()))
+        return pa.table({c: pa.array([v], _PACKED[c]) for c, v in row.items()} | {"near": found})
+
+    return run
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = np.arange(int(base[-1]))
-        for whole in batches:
-            for low in range(0, whole.num_rows, 512):
-                batch = whole.slice(low, 512)
-                x = _unit(matrix(batch.column(2), width))
-                cell = batch.column(3).to_numpy(zero_copy_only=False)
-                own = base[cell] + batch.column(5).to_numpy(zero_copy_only=False)
-                dots = x @ pivots.T
-                angles = np.arccos(np.clip(dots, -1, 1))
-                may = (angles <= outer + reach + _EDGE) & (angles >= inner - reach - _EDGE)
-                if reach < math.pi / 2:
-                    ahead = dots[np.arange(len(cell)), cell][:, None] - dots
-                    may &= ahead <= math.sin(reach) * apart[cell] + _EDGE
-                may[np.arange(len(cell)), cell] = True
-                may = may[:, cell_of]
-                a, b = own[:, None], number[None, :]
-                hosts = np.where((a + b) % 2 == 0, np.minimum(a, b), np.maximum(a, b)) == b
-                row, block = np.nonzero(may & hosts)
-                visitor = (block != own[row]).astype(np.int32)
-                taken = batch.select(["cid", "mult", "embedding"]).take(pa.array(row))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(block.astype(np.int32)), pa.array(visitor), *taken.columns],
-                    names=["block", "visitor", "cid", "mult", "embedding"],
-                )
-
-    return placed.mapInArrow(run, f"block int, visitor int, cid long, mult long, embedding {dict(placed.dtypes)['embedding']}")
+
+_PACKED = {"block": pa.int32(), "cell": pa.int32(), "ids": pa.binary(), "mults": pa.binary(), "dims": pa.binary(), "x": pa.binary()}
+
+
+def _pairs(blocks: DataFrame) -> DataFrame:
+    """Every pair of blocks that may have links, once: each partition of blocks is read again for each, and nothing is shuffled."""
+    a = blocks.select(*[F.col(c).alias(f"a_{c}") for c in _PACKED], "near")
+    b = blocks.select(*[F.col(c).alias(f"b_{c}") for c in _PACKED])
+    low, high = F.least("a_block", "b_block"), F.greatest("a_block", "b_block")
+    # of two blocks now the one and now the other is a, so that partitions have equal work
+    host = F.when((F.col("a_block") + F.col("b_block")) % 2 == 0, low).otherwise(high)
+    met = (host == F.col("a_block")) & F.array_contains("near", F.col("b_cell"))
+    return a.join(b.hint("shuffle_replicate_nl"), met).drop("near")
 
 
 class _Block:
-    """The members of one block and what is known of their links."""
-
-    def __init__(self, width: int, threshold: float):
-        self.width, self.threshold = width, threshold
-        self.ids, self.mults, self.rows, self.dims = [], [], [], []
-        self.ready = False
-
-    def add(self, ids, mults, x, dims) -> None:
-        self.ids.append(ids), self.mults.append(mults), self.rows.append(x), self.dims.append(dims)
-
-    def _linked(self, x, dims) -> np.ndarray:
-        return (self.x @ x.T >= self.threshold) & (self.dim[:, None] == dims[None, :])
-
-    def close_members(self) -> None:
-        self.ready = True
-        self.id, self.mult = np.concatenate(self.ids), np.concatenate(self.mults)
-        self.x, self.dim = _unit(np.concatenate(self.rows)), np.concatenate(self.dims)
-        self.links = np.zeros(len(self.id), np.int64)
-        self.root = np.arange(len(self.id))
-        for low in range(0, len(self.id), 512):
-            found = self._linked(self.x[low : low + 512], self.dim[low : low + 512])
-            at = np.arange(found.shape[1])
-            found[low + at, at] = False
-            self.links += found @ self.mult[low : low + 512]
-            found[low + at, at] = True
-            self._join(found)
-
-    def _join(self, found: np.ndarray) -> None:
-        """All members that share a column are connected."""
-        for column in np.ascontiguousarray(found.T):
-            roots = self.root[column]
-            if len(roots) and (low := roots.min()) != roots.max():
-                self.root[np.isin(self.root, roots)] = low
-
-    def visit(self, ids, mults, x, dims):
-        """Counts and one edge for each visitor that has links here."""
-        found = self._linked(_unit(x), dims)
-        self.links += found @ mults
-        counts = self.mult @ found
-        some = np.flatnonzero(counts)
-        linked = found[:, some]
-        self._join(linked)
-        return ids[some], counts[some], self.id[linked.argmax(0)]
-
-    def forest(self):
+    """The members of one block."""
+
+    def __init__(self, row: list, width: int, kind: str):
+        self.name, self.cell, ids, mults, dims, x = row
+        self.id, self.mult = np.frombuffer(ids, np.int64), np.frombuffer(mults, np.int64)
+        self.dim = np.frombuffer(dims, np.int32)
+        bounds = np.concatenate([[0], np.cumsum(self.dim, dtype=np.int64)]).astype(np.int32)
+        column = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.frombuffer(x, kind)))
+        self.x = _unit(matrix(column, width))
+        self.short = self.x.astype(np.float32)
+
+
+def _linked(a: _Block, b: _Block, rows: np.ndarray, columns: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Members of a and of b that are linked: all that single precision doesn't refute, in double precision."""
+    error = (a.x.shape[1] + 8) * 2.0**-22
+    i, j = np.nonzero(a.short[rows] @ b.short[columns].T >= threshold - error)
+    i, j = rows[i], columns[j]
+    same = a.dim[i] == b.dim[j]
+    if a.name == b.name:
+        same &= i < j
+    i, j = i[same], j[same]
+    links = np.zeros(len(i), bool)
+    for low in range(0, len(i), 16384):
+        high = low + 16384
+        links[low:high] = np.einsum("ij,ij->i", a.x[i[low:high]], b.x[j[low:high]]) >= threshold
+    return i[links], j[links]
+
+
+class _Links:
+    """Links of all blocks that a task has met: a count for each member, and which members are connected."""
+
+    def __init__(self):
+        self.first, self.ids = {}, np.zeros(0, np.int64)
+        self.counts, self.root = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def place(self, block: _Block) -> int:
+        if block.name not in self.first:
+            start = self.first[block.name] = len(self.ids)
+            self.ids = np.concatenate([self.ids, block.id])
+            self.counts = np.concatenate([self.counts, np.zeros(len(block.id), np.int64)])
+            self.root = np.concatenate([self.root, np.arange(start, len(self.ids))])
+        return self.first[block.name]
+
+    def add(self, a: _Block, b: _Block, i: np.ndarray, j: np.ndarray) -> None:
+        if not len(i):
+            return
+        at, bt = self.place(a), self.place(b)
+        np.add.at(self.counts, at + i, b.mult[j])
+        np.add.at(self.counts, bt + j, a.mult[i])
+        u, v = at + i, bt + j
+        while True:
+            apart = self.root[u] != self.root[v]
+            u, v = u[apart], v[apart]
+            if not len(u):
+                return
+            ends, some = np.unique(self.root[v], return_index=True)
+            for x, y in zip(self.root[u[some]].tolist(), ends.tolist()):
+                x, y = self._find(x), self._find(y)
+                self.root[max(x, y)] = min(x, y)
+            while (up := self.root[self.root]).tobytes() != self.root.tobytes():
+                self.root = up
+
+    def _find(self, x: int) -> int:
+        while (up := int(self.root[x])) != x:
+            x = up
+        return x
+
+    def rows(self):
+        some = np.flatnonzero(self.counts)
+        yield _rows(0, self.ids[some], self.counts[some])
         moved = np.flatnonzero(self.root != np.arange(len(self.root)))
-        return self.id[moved], self.id[self.root[moved]]
+        yield _rows(1, self.ids[moved], self.ids[self.root[moved]])
 
 
 def _rows(kind: int, a, b) -> pa.RecordBatch:
@@ -155,40 +185,35 @@ def _rows(kind: int, a, b) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=["kind", "a", "b"])
 
 
-def _compare(width: int, threshold: float):
-    """(kind 0, vector, links here) and (kind 1, vector, vector) of every block."""
+def _compare(pivots: np.ndarray, cells: dict[int, tuple[int, float, float]], threshold: float, kind: str):
+    """(kind 0, vector, links here) and (kind 1, vector, vector) of all pairs of blocks that a task meets."""
+    reach, width = math.acos(threshold), pivots.shape[1]
 
-    def finish(block: _Block | None):
-        if block is not None:
-            if not block.ready:
-                block.close_members()
-            some = np.flatnonzero(block.links)
-            yield _rows(0, block.id[some], block.links[some])
-            yield _rows(1, *block.forest())
+    def near(block: _Block, cell: int) -> np.ndarray:
+        """Members that may have links in another cell."""
+        if block.cell == cell:
+            return np.arange(len(block.id))
+        dots = block.x @ pivots[[block.cell, cell]].T
+        angles = np.arccos(np.clip(dots[:, 1], -1, 1))
+        may = (angles <= cells[cell][2] + reach + _EDGE) & (angles >= cells[cell][1] - reach - _EDGE)
+        if reach < math.pi / 2:
+            apart = np.linalg.norm(pivots[block.cell] - pivots[cell])
+            may &= dots[:, 0] - dots[:, 1] <= math.sin(reach) * apart + _EDGE
+        return np.flatnonzero(may)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, name = None, None
-        for whole in batches:
-            numbers = whole.column(0).to_numpy(zero_copy_only=False) * 2 + whole.column(1).to_numpy(zero_copy_only=False)
-            bounds = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
-            for start, end in zip(bounds, bounds[1:]):
-                for low in range(start, end, 1024):
-                    batch = whole.slice(low, min(1024, end - low))
-                    if batch.column(0)[0].as_py() != name:
-                        yield from finish(block)
-                        block, name = _Block(width, threshold), batch.column(0)[0].as_py()
-                    ids, mults = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
-                    x = matrix(batch.column(4), width)
-                    dims = batch.column(4).value_lengths().to_numpy(zero_copy_only=False)
-                    if not batch.column(1)[0].as_py():
-                        block.add(ids, mults, x, dims)
-                        continue
-                    if not block.ready:
-                        block.close_members()
-                    visitors, counts, members = block.visit(ids, mults, x, dims)
-                    yield _rows(0, visitors, counts)
-                    yield _rows(1, visitors, members)
-        yield from finish(block)
+        links, a = _Links(), None
+        for batch in batches:
+            columns = [batch.column(c) for c in range(batch.num_columns)]
+            for at in range(batch.num_rows):
+                sides = [[c[at].as_py() for c in columns[low : low + len(_PACKED)]] for low in (0, len(_PACKED))]
+                if a is None or a.name != sides[0][0]:
+                    a = _Block(sides[0], width, kind)
+                b = _Block(sides[1], width, kind)
+                rows, others = near(a, b.cell), near(b, a.cell)
+                if len(rows) and len(others):
+                    links.add(a, b, *_linked(a, b, rows, others, threshold))
+        yield from links.rows()
 
     return run
 
@@ -208,12 +233,14 @@ def cosine_links(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     spark = vectors.sparkSession
     given = typed(vectors.select(F.col("vec_id").cast("long"), "embedding")).withColumn("sound", is_sound())
     given = given.withColumn("key_a", F.when(F.col("sound"), F.xxhash64("embedding")))
-    given = cut(given.withColumn("key_b", F.when(F.col("sound"), F.xxhash64(F.lit(1), "embedding"))).drop("sound"))
+    given = given.withColumn("key_b", F.when(F.col("sound"), F.xxhash64(F.lit(1), "embedding"))).drop("sound")
     known = given.where("key_a is not null")
     classes = known.groupBy("key_a", "key_b").agg(
         F.count("*").alias("mult"), F.min("vec_id").alias("least"), F.first("embedding").alias("embedding")
     )
     classes = cut(classes.withColumn("cid", F.monotonically_increasing_id()))
+    given = cut(given.select("vec_id", "key_a", "key_b"))
+    known = given.where("key_a is not null")
 
     n, width = classes.agg(F.count("*"), F.max(F.size("embedding"))).first()
     wanted = min(MOST_PIVOTS, max(1, n // BLOCK))
@@ -226,16 +253,25 @@ def cosine_links(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
         row[: len(vector[0])] = vector[0]
     pivots = _unit(pivots)
 
-    placed = cut(_assign(classes, pivots))
+    placed = _assign(classes, pivots)
     of_cell = placed.groupBy("cell").agg(F.count("*").alias("n"), F.min("angle").alias("low"), F.max("angle").alias("high"))
     cells = {r["cell"]: (-(-r["n"] // BLOCK), r["low"], r["high"]) for r in of_cell.collect()}
-    parts = F.element_at(F.array(*[F.lit(cells.get(c, (1,))[0]) for c in range(len(pivots))]), F.col("cell") + 1)
-    placed = placed.withColumn("part", F.pmod(F.xxhash64("cid"), parts).cast("int"))
-
-    visits = _visits(placed, pivots, cells, math.acos(threshold))
-    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), sum(c[0] for c in cells.values()))
-    dealt = visits.repartition(partitions, "block").sortWithinPartitions("block", "visitor", "cid")
-    found = cut(dealt.mapInArrow(_compare(width, threshold), "kind int, a long, b long"))
+    first = np.concatenate([[0], np.cumsum([cells.get(c, (0,))[0] for c in range(len(pivots))])]).tolist()
+    of = lambda values: F.element_at(F.array(*map(F.lit, values)), F.col("cell") + 1)
+    part = F.pmod(F.xxhash64("cid"), of([cells.get(c, (1,))[0] for c in range(len(pivots))])).cast("int")
+    placed = placed.withColumn("block", (of(first[:-1]) + part).cast("int")).drop("angle")
+
+    kind = "<f4" if dict(placed.dtypes)["embedding"] == "array<float>" else "<f8"
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-first[-1] // FILE_BLOCKS))
+    near = _may_meet(pivots, cells, math.acos(threshold))
+    schema = "block int, cell int, ids binary, mults binary, dims binary, x binary, near array<int>"
+    blocks = cut(placed.repartition(partitions, "block").groupBy("block").applyInArrow(_packed(kind, near), schema), wide=True)
+    rows = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", PAIRS)
+    try:
+        found = cut(_pairs(blocks).mapInArrow(_compare(pivots, cells, threshold, kind), "kind int, a long, b long"))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
     counts = found.where("kind = 0").groupBy(F.col("a").alias("cid")).agg(F.sum("b").alias("links"))
     components = connected_components(found.where("kind = 1").select(F.col("a").alias("u"), F.col("b").alias("v")))
     rooted = classes.select("cid", "key_a", "key_b", "mult", "least").join(
