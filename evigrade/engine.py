@@ -15,6 +15,8 @@ from evigrade.config import Settings
 from evigrade.functions.text import filled
 from evigrade.functions.urls import domain
 from evigrade.operators import batch, capture, classify, evidence, images, quality, readiness, validate
+from evigrade.session import cut
+from evigrade.sieve import sifted
 from evigrade.sources import batch_csv, sinks
 
 _NOTHING = "array<struct<local_path:string,alt:string,relevance:string,description:string,download_source:string,error:string>>"
@@ -46,7 +48,7 @@ def grade(
         captures = captures.where(F.col("ordinal") < settings.scrape_profile_max_profiles)
         image_rows = within_limits(image_rows, requests) if image_rows is not None else None
     asked = requests.select("scrape_id", "main_text", "ean")
-    pages = captures.join(asked, "scrape_id").withColumns(
+    pages = captures.withColumns(
         {
             "n_json_ld": F.size("json_ld"),
             "n_tables": F.size("tables"),
@@ -55,9 +57,11 @@ def grade(
             "n_images": F.coalesce("n_images", F.lit(0)) if "n_images" in captures.columns else F.lit(0),
         }
     )
-    scored = capture.score_captures(pages, F.col("main_text"), F.col("ean")).drop("main_text", "ean")
-    best = capture.best_capture(scored, early_stop=True, stop_score=stop_score)
-    tried = scored.groupBy("scrape_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "fetch_profile"))), lambda p: p["fetch_profile"]).alias("capture_profiles_attempted"))
+    chosen = cut(capture.best_of(capture.scored_until_enough(pages, asked, stop_score), early_stop=True, stop_score=stop_score))
+    # pages are measured before they meet the choice, and most others dropped
+    key = F.xxhash64("scrape_id", "ordinal")
+    best = evidence.page_signals(sifted(pages.drop(*chosen.columns[2:]), key, chosen, key)).join(chosen, ["scrape_id", "ordinal"])
+    tried = pages.groupBy("scrape_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "fetch_profile"))), lambda p: p["fetch_profile"]).alias("capture_profiles_attempted"))
     if image_rows is not None:
         one = F.struct("ordinal", "local_path", "alt", "relevance", "description", "download_source", "error")
         held = image_rows.groupBy("scrape_id").agg(F.array_sort(F.collect_list(one)).alias("images"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from evigrade.functions import vocab
 from evigrade.functions.text import any_term, filled, listed
+from evigrade.operators.evidence import signal
 
 
 def quality_gate(rows: DataFrame) -> DataFrame:
@@ -19,9 +20,10 @@ def quality_gate(rows: DataFrame) -> DataFrame:
     n_json_ld, n_images, n_downloaded, n_clean, n_screenshots, n_described,
     n_errors, n_forbidden, n_axes, image_required, real_scrape_evidence,
     weak_capture, access_status, capture_grade, capture_decision, alignment_status;
-    optionally browser_visible, has_upstream and requested_retailer_claims_allowed.
+    optionally browser_visible, has_upstream and requested_retailer_claims_allowed; page_signals may stand for raw_markdown.
     """
     have = set(rows.columns)
+    page = signal("markdown_trimmed", False) if "page_signals" in have else F.trim(filled("raw_markdown")) != ""
     blob = F.lower(filled("evidence_text"))
     decision, grade = filled("capture_decision"), filled("capture_grade")
     real = F.coalesce("real_scrape_evidence", F.lit(False))
@@ -32,7 +34,7 @@ def quality_gate(rows: DataFrame) -> DataFrame:
         blob, ("ean", "gtin", "barcode", "isbn", "sku", "mpn", "article", "artikeldetails")
     )
     url = filled("url") != ""
-    text = (F.col("product_text_chars") >= 80) | (F.col("n_retailer_claims") > 0) | (F.trim(filled("raw_markdown")) != "")
+    text = (F.col("product_text_chars") >= 80) | (F.col("n_retailer_claims") > 0) | page
     visual, shot = F.col("n_clean") > 0, F.col("n_screenshots") > 0
     structured, axes = F.col("n_structured") > 0, F.col("n_axes") > 0
     told = lambda c: F.coalesce(F.col(c), F.lit(False)) if c in have else F.lit(False)
