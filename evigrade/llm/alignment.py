@@ -4,8 +4,7 @@ Both vocabularies cut a text's bytes into intervals.  In each task DuckDB holds
 intervals of a stretch of documents as two tables: an ASOF join finds for each
 token's first byte the other side's token that covers it, and the range condition drops
 tokens that end before; so every overlapping pair is found once, at the first byte
-that they share.  Window sums over the ends that both sides share number the
-groups.  Tasks count the pairs of a block of documents; Spark merges these counts, finds each
+that they share.  The ends that both sides share number the groups.  Tasks count the pairs of a block of documents; Spark merges these counts, finds each
 B id's highest, and sends to every block the counts of its own pairs, where they are
 summed by document.  No task holds all pairs.
 """
@@ -46,11 +45,6 @@ UNION ALL
 SELECT b.part, a.id, b.id FROM b ASOF JOIN a ON b.lo > a.lo WHERE b.lo < a.hi
 """
 _PAIRS = "SELECT part, a, b, count(*) AS n FROM links GROUP BY ALL ORDER BY part"
-_GROUPS = """
-SELECT place, coalesce(sum((hi IN (SELECT hi FROM {other}))::INT) OVER (
-         ORDER BY lo ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INT AS cell
-FROM {side}
-"""
 
 
 class ByteTokenizer:
@@ -117,7 +111,7 @@ class Aligner:
         self.db = duckdb.connect(config={"threads": 1, "temp_directory": ""})
         # each id as text before a comma, a bar, a semicolon and nothing
         self.ids = max(len(self.a.bytes), self.base)
-        self.texts = [f"{number}{end}" for end in (",", "|", ";", "") for number in range(self.ids)]
+        self.texts = pa.array([f"{number}{end}".encode() for end in (",", "|", ";", "") for number in range(self.ids)], pa.binary())
 
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of both sides, none where one of them does not give the text's bytes back."""
@@ -148,16 +142,16 @@ class Aligner:
         ids = np.concatenate(parts)
         hi = np.cumsum(self.sizes[side][ids])
         part = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p) for p in parts])
-        place = np.arange(len(ids), dtype=np.int32)
         lo = hi - self.sizes[side][ids]
-        return pa.table({"part": part, "place": place, "id": ids.astype(np.int32), "lo": lo.astype(np.int32), "hi": hi.astype(np.int32)})
+        return pa.table({"part": part, "id": ids.astype(np.int32), "lo": lo.astype(np.int32), "hi": hi.astype(np.int32)})
 
     def align(self, parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[str, int, np.ndarray, np.ndarray]]:
         """For each part: its groups as text, their number, and the keys and counts of its linked pairs."""
-        ids = []
+        ids, ends = [], []
         for side, name in enumerate("ab"):
             table = self._table(side, [p[side] for p in parts])
             ids.append(table.column("id").to_numpy())
+            ends.append(table.column("hi").to_numpy())
             self.db.register(f"given_{name}", table)
             self.db.execute(f"CREATE OR REPLACE TEMP TABLE {name} AS FROM given_{name}")
             self.db.unregister(f"given_{name}")
@@ -166,19 +160,18 @@ class Aligner:
         keys = pairs["a"].astype(np.int64) * self.base + pairs["b"]
         pair_ends = np.searchsorted(pairs["part"], np.arange(len(parts) + 1))
 
-        cells = []
-        for side, other in ("ab", "ba"):
-            found = self.db.sql(_GROUPS.format(side=side, other=other)).fetchnumpy()
-            cell = np.empty(len(found["place"]), np.int32)
-            cell[found["place"]] = found["cell"]
-            cells.append(cell)
+        # a token's cell: how many ends that both sides share stand before it
+        shared = np.intersect1d(*ends, assume_unique=True)
+        cells = [np.searchsorted(shared, end, "left") for end in ends]
         ends, names = self._places(parts, ids, cells)
-        texts = list(map(self.texts.__getitem__, names.tolist()))
+        # one buffer for all parts, no object for a token
+        _, bounds, texts = self.texts.take(pa.array(names)).buffers()
+        bounds, texts = np.frombuffer(bounds, np.int32), memoryview(texts)
         low = 0
         for p, high in enumerate(np.flatnonzero(ends == 3) + 1):
             some = slice(pair_ends[p], pair_ends[p + 1])
             groups = 1 + np.count_nonzero(ends[low:high] == 2)
-            yield "".join(texts[low:high]), int(groups), keys[some], pairs["n"][some].astype(np.int64)
+            yield str(texts[bounds[low] : bounds[high]], "ascii"), int(groups), keys[some], pairs["n"][some].astype(np.int64)
             low = high
 
     def _places(self, parts, ids: list[np.ndarray], cells: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -203,7 +196,9 @@ class _Document:
         self.keys, self.counts, self.digest = [], [], hashlib.sha256()
 
     def add(self, text: str, groups: int, keys: np.ndarray, counts: np.ndarray) -> None:
-        self.digest.update(f";{text}".encode() if self.n_groups else text.encode())
+        if self.n_groups:
+            self.digest.update(b";")
+        self.digest.update(text.encode())
         self.n_groups += groups
         self.keys.append(keys)
         self.counts.append(counts)

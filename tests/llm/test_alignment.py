@@ -105,3 +105,23 @@ def test_quick_and_whole_tokenizers_agree():
     for _ in range(300):
         text = "".join(rng.choices(letters, k=rng.randint(1, 60)))
         assert both.quick.encode_ordinary(text) == both.whole.encode(text, add_special_tokens=False).ids
+
+
+def test_a_stretch_asks_for_its_links_only():
+    one, asked = alignment.Aligner(), []
+
+    class Seen:
+        def __init__(self, db):
+            self.db = db
+
+        def sql(self, text):
+            asked.append(text)
+            return self.db.sql(text)
+
+        def __getattr__(self, name):
+            return getattr(self.db, name)
+
+    one.db = Seen(one.db)
+    a, b = one.encode("two words and more")
+    text, groups, _, counts = [*one.align([(a, b)])][0]
+    assert asked == [alignment._PAIRS] and groups == text.count(";") + 1 and counts.sum() >= max(len(a), len(b))
